@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from adloom.functions import fixed_values as fixed
-from adloom.functions.text import contains_any, process_strings
+from adloom.functions.text import contains_any, literal, process_strings
 
 _RETARGETING_MARKERS = tuple(
     opener + word + closer
@@ -16,35 +13,36 @@ _RETARGETING_MARKERS = tuple(
 )
 
 
-def is_realweb(campaign: Column) -> Column:
+def is_realweb(campaign: str) -> str:
     """Does the cleaned name start with the agency prefix?  NULL for a NULL name."""
-    return process_strings(campaign).startswith(fixed.AGENCY_PREFIX)
+    return f"startswith({process_strings(campaign)}, {literal(fixed.AGENCY_PREFIX)})"
 
 
-def is_ret_campaign(campaign: Column) -> Column:
+def is_ret_campaign(campaign: str) -> str:
     """Is this a retargeting campaign?  NULL for a NULL name."""
-    return contains_any(F.lower(campaign), _RETARGETING_MARKERS)
+    return contains_any(f"lower({campaign})", _RETARGETING_MARKERS)
 
 
-def platform(campaign: Column) -> Column:
+def platform(campaign: str) -> str:
     """ios, android or no_platform; a NULL name has no platform.
 
     No marker holds white space, so raw and cleaned names give the same answer.
     Staging relies on that to classify after aggregation, on groups, not on rows.
     """
-    name = F.lower(campaign)
-    return (
-        F.when(contains_any(name, fixed.IOS_MARKERS), fixed.IOS)
-        .when(contains_any(name, fixed.ANDROID_MARKERS), fixed.ANDROID)
-        .otherwise(fixed.NO_PLATFORM)
-    )
+    name = f"lower({campaign})"
+    return f"""CASE
+        WHEN {contains_any(name, fixed.IOS_MARKERS)} THEN {literal(fixed.IOS)}
+        WHEN {contains_any(name, fixed.ANDROID_MARKERS)} THEN {literal(fixed.ANDROID)}
+        ELSE {literal(fixed.NO_PLATFORM)} END"""
 
 
-def install_source(campaign: Column) -> Column:
+def install_source(campaign: str) -> str:
     """Advertising network named by the code in the campaign, or ``other``.
 
     One map lookup runs the regex once; a chain of comparisons could run it per branch.
     """
-    code = F.regexp_extract(process_strings(campaign), fixed.INSTALL_CODE_PATTERN, 1)
-    networks = F.create_map(*[F.lit(x) for pair in fixed.SOURCE_BY_CODE.items() for x in pair])
-    return F.coalesce(F.try_element_at(networks, code), F.lit(fixed.UNKNOWN_SOURCE))
+    pattern = literal(fixed.INSTALL_CODE_PATTERN)
+    code = f"regexp_extract({process_strings(campaign)}, {pattern}, 1)"
+    networks = ", ".join(literal(x) for pair in fixed.SOURCE_BY_CODE.items() for x in pair)
+    other = literal(fixed.UNKNOWN_SOURCE)
+    return f"coalesce(try_element_at(map({networks}), {code}), {other})"

@@ -6,34 +6,35 @@ faster on dirty data: a failing ``try_cast`` raises and catches a Java exception
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DECIMAL_INT = r"^\s*[+-]?\d+\s*\z"
-_HEX_INT = r"^\s*([+-]?)0[xX]0*([0-9a-fA-F]{1,16})\s*\z"
-_FLOAT = r"(?i)^\s*[+-]?(inf(inity)?|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*\z"
+from adloom.functions.text import literal
 
+_DECIMAL_INT = literal(r"^\s*[+-]?\d+\s*\z")
+_HEX_INT = literal(r"^\s*([+-]?)0[xX]0*([0-9a-fA-F]{1,16})\s*\z")
+_FLOAT = literal(r"(?i)^\s*[+-]?(inf(inity)?|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*\z")
 
-def safe_int(value: Column, dtype: T.DataType) -> Column:
+
+def safe_int(value: str, dtype: T.DataType) -> str:
     """Cast to a 64-bit integer, or NULL; fractional numbers round half away from zero."""
     if isinstance(dtype, T.StringType):
-        magnitude = F.conv(F.regexp_extract(value, _HEX_INT, 2), 16, 10)
-        signed = F.concat(F.regexp_extract(value, _HEX_INT, 1), magnitude)
-        return F.when(value.rlike(_DECIMAL_INT), value.try_cast("bigint")).when(
-            value.rlike(_HEX_INT), signed.try_cast("bigint")
-        )
+        sign = f"regexp_extract({value}, {_HEX_INT}, 1)"
+        magnitude = f"conv(regexp_extract({value}, {_HEX_INT}, 2), 16, 10)"
+        return f"""CASE
+            WHEN {value} RLIKE {_DECIMAL_INT} THEN try_cast({value} AS BIGINT)
+            WHEN {value} RLIKE {_HEX_INT}
+            THEN try_cast(concat({sign}, {magnitude}) AS BIGINT) END"""
     if isinstance(dtype, (T.IntegralType, T.BooleanType)):
-        return value.cast("bigint")
+        return f"CAST({value} AS BIGINT)"
     if isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        return F.round(value).try_cast("bigint")
+        return f"try_cast(round({value}) AS BIGINT)"
     raise TypeError(f"cannot cast {dtype.simpleString()} to an integer")
 
 
-def safe_float(value: Column, dtype: T.DataType) -> Column:
+def safe_float(value: str, dtype: T.DataType) -> str:
     """Cast to a double, or NULL; Java-only spellings such as 1.0d or 0x1p3 are refused."""
     if isinstance(dtype, T.StringType):
-        return F.when(value.rlike(_FLOAT), value.try_cast("double"))
+        return f"CASE WHEN {value} RLIKE {_FLOAT} THEN try_cast({value} AS DOUBLE) END"
     if isinstance(dtype, T.NumericType):
-        return value.cast("double")
+        return f"CAST({value} AS DOUBLE)"
     raise TypeError(f"cannot cast {dtype.simpleString()} to a float")

@@ -6,19 +6,17 @@ so that a broken export is noticed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from adloom.functions import fixed_values as fixed
-from adloom.functions.text import extract_or_null, trim_white_space
+from adloom.functions.text import extract_or_null, literal, trim_white_space
 
 
-def event_date(text: Column) -> Column:
-    return F.to_date(extract_or_null(text, fixed.EVENT_DAY_PATTERN), fixed.DAY_FORMAT)
+def event_date(text: str) -> str:
+    day = extract_or_null(text, fixed.EVENT_DAY_PATTERN)
+    return f"to_date({day}, {literal(fixed.DAY_FORMAT)})"
 
 
-def event_datetime(text: Column) -> Column:
+def event_datetime(text: str) -> str:
     """Timestamp without time zone; milliseconds are cut off."""
-    seconds = extract_or_null(text, fixed.EVENT_SECOND_PATTERN)
-    single_spaced = F.regexp_replace(trim_white_space(seconds), r"\s+", " ")
-    return F.to_timestamp_ntz(single_spaced, F.lit(fixed.SECOND_FORMAT))
+    seconds = trim_white_space(extract_or_null(text, fixed.EVENT_SECOND_PATTERN))
+    single_spaced = f"regexp_replace({seconds}, {literal(r'\s+')}, ' ')"
+    return f"to_timestamp_ntz({single_spaced}, {literal(fixed.SECOND_FORMAT)})"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,46 +156,39 @@ def distinct_raw(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
     return raw.select(*cabinet.raw_columns).distinct()
 
 
-def _measures(raw: DataFrame, cabinet: Cabinet) -> list[Column]:
+def _measures(raw: DataFrame, cabinet: Cabinet) -> list[str]:
     raw_name = {
         "clicks": cabinet.clicks,
         "costs": cabinet.costs,
         "installs": cabinet.installs,
         "impressions": cabinet.impressions,
     }
+    types = {field.name.lower(): field.dataType for field in raw.schema}
     measures = []
     for metric in cabinet.metrics:
         cast = safe_float if metric == "costs" else safe_int
         name = raw_name[metric]
-        measures.append(cast(F.col(name), raw.schema[_spelling(raw, name)].dataType).alias(metric))
+        measures.append(f"{cast(name, types[name.lower()])} AS {metric}")
     return measures
 
 
-def _spelling(frame: DataFrame, name: str) -> str:
-    return next(column for column in frame.columns if column.lower() == name.lower())
-
-
 def cabinet_rows(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
     """Distinct raw rows under the common column names, metrics cast, not yet summed."""
     rows = distinct_raw(raw, cabinet)
-    day = F.col(cabinet.date)
-    columns = [
-        (day if cabinet.day_delivered else day.cast("date")).alias("date"),
-        process_strings(F.col(cabinet.campaign)).alias("campaign_name"),
-    ]
+    day = cabinet.date if cabinet.day_delivered else f"CAST({cabinet.date} AS DATE)"
+    columns = [f"{day} AS date", f"{process_strings(cabinet.campaign)} AS campaign_name"]
     if cabinet.adset:
-        columns.append(process_strings(F.col(cabinet.adset)).alias("adset_name"))
-    return rows.select(*columns, *_measures(rows, cabinet))
+        columns.append(f"{process_strings(cabinet.adset)} AS adset_name")
+    return rows.selectExpr(*columns, *_measures(rows, cabinet))
 
 
 def with_campaign_columns(frame: DataFrame, cabinet: Cabinet) -> DataFrame:
     """Add platform and flags, all of them functions of the cleaned campaign name."""
-    name = F.col("campaign_name")
-    return frame.select(
+    return frame.selectExpr(
         *cabinet.keys,
-        platform(name).alias("platform"),
-        is_ret_campaign(name).alias("is_ret_campaign"),
-        is_realweb(name).alias("is_realweb"),
+        f"{platform('campaign_name')} AS platform",
+        f"{is_ret_campaign('campaign_name')} AS is_ret_campaign",
+        f"{is_realweb('campaign_name')} AS is_realweb",
         *cabinet.metrics,
     )
 
@@ -207,6 +200,6 @@ def stage_cabinet(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
     on the groups.  Both aggregates combine on the map side before they shuffle: a campaign
     that holds a large share of the rows reaches the second shuffle as one row per task.
     """
-    sums = [F.sum(metric).alias(metric) for metric in cabinet.metrics]
+    sums = [F.expr(f"sum({metric}) AS {metric}") for metric in cabinet.metrics]
     grouped = cabinet_rows(raw, cabinet).groupBy(*cabinet.keys).agg(*sums)
     return with_campaign_columns(grouped, cabinet)

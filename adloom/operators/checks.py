@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.fixed_values import COST_LIMIT
+from adloom.functions.text import literal
 
 PASS, FAIL, ERROR = "pass", "fail", "error"
 
@@ -82,36 +83,32 @@ def failing_rows(check: Check, frame: DataFrame) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
-def _failures_by_value(check: Check) -> Column:
+def _failures_by_value(check: Check) -> str:
     """Failing rows of a check, counted on one row per value of the column."""
-    value, n_rows = F.col("value"), F.col("n_rows")
     if check.kind == "unique":
-        return F.count_if(value.isNotNull() & (n_rows > 1))
+        return "count_if(value IS NOT NULL AND n_rows > 1)"
     if check.kind == "accepted_values":
-        return F.count_if(~value.isin(*check.values))
+        return f"count_if(value NOT IN ({', '.join(map(literal, check.values))}))"
     if check.kind == "not_null":
-        return F.coalesce(F.sum(F.when(value.isNull(), n_rows)), F.lit(0))
-    return F.coalesce(F.sum(F.when(value > check.limit, n_rows)), F.lit(0))
+        return "coalesce(sum(n_rows) FILTER (WHERE value IS NULL), 0L)"
+    return f"coalesce(sum(n_rows) FILTER (WHERE value > {check.limit}), 0L)"
 
 
-def _failures_by_row(check: Check) -> Column:
-    value = F.col(check.column)
-    return F.count_if(value.isNull() if check.kind == "not_null" else value > check.limit)
+def _failures_by_row(check: Check) -> str:
+    condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit}"
+    return f"count_if({check.column} {condition})"
 
 
-def _result_row(check: Check, n_failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.name).alias("check"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        n_failures.cast("bigint").alias("n_failures"),
-        F.when(n_failures > 0, FAIL).otherwise(PASS).alias("status"),
+def _count(frame: DataFrame, checks: list[Check], failures: Callable[[Check], str]) -> DataFrame:
+    """One row per check from one pass over the frame."""
+    counts = [F.expr(f"{failures(check)} AS n{i}") for i, check in enumerate(checks)]
+    rows = ", ".join(
+        f"struct({literal(check.name)} AS check, {literal(check.model)} AS model,"
+        f" {literal(check.column)} AS column, n{i} AS n_failures,"
+        f" if(n{i} > 0, {literal(FAIL)}, {literal(PASS)}) AS status)"
+        for i, check in enumerate(checks)
     )
-
-
-def _as_rows(counted: DataFrame, checks: list[Check]) -> DataFrame:
-    rows = F.array(*[_result_row(check, F.col(f"n{i}")) for i, check in enumerate(checks)])
-    return counted.select(F.inline(rows))
+    return frame.agg(*counts).selectExpr(f"inline(array({rows}))")
 
 
 def check_results(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -135,16 +132,11 @@ def check_results(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> D
 
     parts = []
     for (model, column), group in by_value.items():
-        values = models[model].groupBy(F.col(column).alias("value"))
-        counted = values.agg(F.count(F.lit(1)).alias("n_rows")).agg(
-            *[_failures_by_value(check).alias(f"n{i}") for i, check in enumerate(group)]
-        )
-        parts.append(_as_rows(counted, group))
+        values = models[model].groupBy(F.expr(f"{column} AS value"))
+        counted = values.agg(F.expr("count(1) AS n_rows"))
+        parts.append(_count(counted, group, _failures_by_value))
     for model, group in by_row.items():
-        counted = models[model].agg(
-            *[_failures_by_row(check).alias(f"n{i}") for i, check in enumerate(group)]
-        )
-        parts.append(_as_rows(counted, group))
+        parts.append(_count(models[model], group, _failures_by_row))
     return reduce(DataFrame.unionByName, parts)
 
 

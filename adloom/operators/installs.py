@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,12 @@ INSTALLS_SCHEMA = T.StructType(
 )
 
 
-def _raw_columns() -> list[str]:
-    return list(source_table("AF_installs").columns)
+_RAW_COLUMNS = list(source_table("AF_installs").columns)
 
-
-def _time_order() -> list[Column]:
-    """Raw time text first, then every other column, so that ties have one answer."""
-    return [F.col(name).asc_nulls_first() for name in _raw_columns() if name != INSTALL_ID]
+# Raw time text first, then every other column, so that ties have one answer.
+_TIME_ORDER = ", ".join(
+    f"{name} ASC NULLS FIRST" for name in _RAW_COLUMNS if name != INSTALL_ID
+)
 
 
 def first_install(raw: DataFrame) -> DataFrame:
@@ -45,12 +44,11 @@ def first_install(raw: DataFrame) -> DataFrame:
     no distinct is needed before.  Spark keeps one row per id in each task before the shuffle,
     which also settles an id that holds a large share of the rows.
     """
-    by_time = Window.partitionBy(INSTALL_ID).orderBy(*_time_order())
+    position = f"row_number() OVER (PARTITION BY {INSTALL_ID} ORDER BY {_TIME_ORDER})"
     return (
-        raw.select(*_raw_columns())
-        .withColumn("id_counter", F.row_number().over(by_time))
-        .where(F.col("id_counter") == 1)
-        .drop("id_counter")
+        raw.selectExpr(*_RAW_COLUMNS, f"{position} AS id_counter")
+        .where("id_counter = 1")
+        .select(*_RAW_COLUMNS)
     )
 
 
@@ -64,54 +62,50 @@ def number_installs(raw: DataFrame) -> DataFrame:
     The slices are checkpointed because they are read twice and must be the same both times.
     """
     working_folder(raw.sparkSession)
-    order = _time_order()
+    order = [F.expr(name).asc_nulls_first() for name in _RAW_COLUMNS if name != INSTALL_ID]
     sliced = (
-        raw.select(*_raw_columns())
+        raw.select(*_RAW_COLUMNS)
         .distinct()
-        .repartitionByRange(F.col(INSTALL_ID).asc_nulls_first(), *order)
-        .select("*", F.spark_partition_id().alias("slice"))
+        .repartitionByRange(F.expr(INSTALL_ID).asc_nulls_first(), *order)
+        .selectExpr("*", "spark_partition_id() AS slice")
         .checkpoint()
     )
-    in_slice = F.row_number().over(Window.partitionBy("slice", INSTALL_ID).orderBy(*order))
-    earlier_slices = (
-        Window.partitionBy(INSTALL_ID)
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     # Ranges are sorted by id first, so at most one id per slice goes on from an earlier one:
     # the broadcast side has at most as many rows as there are shuffle partitions.
+    earlier_slices = (
+        f"OVER (PARTITION BY {INSTALL_ID} ORDER BY slice"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    )
     carried = (
         sliced.groupBy("slice", INSTALL_ID)
         .count()
-        .select("slice", INSTALL_ID, F.sum("count").over(earlier_slices).alias("earlier"))
-        .where(F.col("earlier").isNotNull())
-        .select(
-            F.col("slice").alias("to_slice"), F.col(INSTALL_ID).alias("to_id"), "earlier"
-        )
+        .selectExpr("slice", INSTALL_ID, f"sum(count) {earlier_slices} AS earlier")
+        .where("earlier IS NOT NULL")
     )
-    same_place = (F.col("slice") == F.col("to_slice")) & F.col(INSTALL_ID).eqNullSafe(
-        F.col("to_id")
+    in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
+    numbered = sliced.selectExpr("*", f"{in_slice} AS in_slice").alias("numbered")
+    same_place = (
+        f"numbered.slice = carried.slice AND numbered.{INSTALL_ID} <=> carried.{INSTALL_ID}"
     )
-    position = F.col("in_slice") + F.coalesce(F.col("earlier"), F.lit(0))
-    return (
-        sliced.withColumn("in_slice", in_slice)
-        .join(F.broadcast(carried), same_place, "left")
-        .select(*_raw_columns(), position.cast("bigint").alias("id_counter"))
+    return numbered.join(
+        F.broadcast(carried).alias("carried"), F.expr(same_place), "left"
+    ).selectExpr(
+        *[f"numbered.{name}" for name in _RAW_COLUMNS],
+        "in_slice + coalesce(earlier, 0L) AS id_counter",
     )
 
 
 def stage_installs(raw: DataFrame) -> DataFrame:
     """First installs with parsed time, cleaned names and the campaign's classification."""
-    campaign = F.col("Campaign")
-    return first_install(raw).select(
-        event_date(F.col("event_time")).alias("date"),
-        event_datetime(F.col("event_time")).alias("event_time"),
-        process_strings(campaign).alias("campaign_name"),
-        process_strings(F.col("af_adset")).alias("adset_name"),
-        process_strings(F.col("Media_Source")).alias("media_source"),
-        process_strings(F.col("platform")).alias("platform"),
-        F.col(INSTALL_ID).alias(INSTALL_ID),
-        is_ret_campaign(campaign).alias("is_ret_campaign"),
-        is_realweb(campaign).alias("is_realweb"),
-        install_source(campaign).alias("source"),
+    return first_install(raw).selectExpr(
+        f"{event_date('event_time')} AS date",
+        f"{event_datetime('event_time')} AS event_time",
+        f"{process_strings('Campaign')} AS campaign_name",
+        f"{process_strings('af_adset')} AS adset_name",
+        f"{process_strings('Media_Source')} AS media_source",
+        f"{process_strings('platform')} AS platform",
+        INSTALL_ID,
+        f"{is_ret_campaign('Campaign')} AS is_ret_campaign",
+        f"{is_realweb('Campaign')} AS is_realweb",
+        f"{install_source('Campaign')} AS source",
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.fixed_values import UNKNOWN_SOURCE
+from adloom.functions.text import literal
 from adloom.operators.cabinets import CABINET_BY_MODEL, CABINETS, Cabinet
 from adloom.operators.cabinets import cabinet_rows, with_campaign_columns
 
@@ -33,31 +34,29 @@ MART_SCHEMA = T.StructType(
 
 def user_acquisition(frame: DataFrame) -> DataFrame:
     """Rows of the agency's campaigns that are not retargeting; unknown flags drop out."""
-    return frame.where(F.col("is_realweb") & ~F.col("is_ret_campaign"))
+    return frame.where("is_realweb AND NOT is_ret_campaign")
 
 
-def _common_columns(frame: DataFrame) -> DataFrame:
+def _mart_columns(frame: DataFrame, **computed: str) -> DataFrame:
     """Mart columns in order; what a source does not have is a typed NULL."""
     columns = []
     for field in MART_SCHEMA:
-        value = F.col(field.name) if field.name in frame.columns else F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return frame.select(*columns)
+        value = computed.get(field.name, field.name if field.name in frame.columns else "NULL")
+        columns.append(f"CAST({value} AS {field.dataType.simpleString()}) AS {field.name}")
+    return frame.selectExpr(*columns)
 
 
 def _cabinet_part(frame: DataFrame, cabinet: Cabinet) -> DataFrame:
-    part = user_acquisition(frame).withColumn("source", F.lit(cabinet.source))
-    return _common_columns(part)
+    return _mart_columns(user_acquisition(frame), source=literal(cabinet.source))
 
 
 def _install_part(installs: DataFrame) -> DataFrame:
     """One row per install, for known sources whose cabinet does not report installs."""
-    reported = [cabinet.source for cabinet in CABINETS if cabinet.installs]
-    source = F.col("source")
-    part = user_acquisition(installs).where(
-        (source != UNKNOWN_SOURCE) & ~source.isin(*reported)
+    left_out = [UNKNOWN_SOURCE] + [cabinet.source for cabinet in CABINETS if cabinet.installs]
+    kept = user_acquisition(installs).where(
+        f"source NOT IN ({', '.join(map(literal, left_out))})"
     )
-    return _common_columns(part.withColumn("installs", F.lit(1)))
+    return _mart_columns(kept, installs="1")
 
 
 def performance_mart(cabinets: Mapping[str, DataFrame], installs: DataFrame) -> DataFrame:
@@ -73,7 +72,7 @@ def performance_mart(cabinets: Mapping[str, DataFrame], installs: DataFrame) ->
     parts = [_cabinet_part(frame, CABINET_BY_MODEL[name]) for name, frame in cabinets.items()]
     parts.append(_install_part(installs))
     stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.groupBy(*KEYS).agg(*[F.sum(metric).alias(metric) for metric in METRICS])
+    return stacked.groupBy(*KEYS).agg(*[F.expr(f"sum({metric}) AS {metric}") for metric in METRICS])
 
 
 def unsummed(raw: DataFrame, cabinet: Cabinet) -> DataFrame:

@@ -7,11 +7,11 @@ unreadable metrics, rows delivered again under another ad, repeated and missing
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from adloom.functions.text import literal
 from adloom.operators.cabinets import CABINETS, Cabinet
 
 
@@ -19,30 +19,27 @@ def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _pick(number: Column, options: list[str], last: str) -> Column:
-    """The option whose index is the number, or the last one."""
-    chosen = F.when(number == 0, options[0])
-    for index, option in enumerate(options[1:], start=1):
-        chosen = chosen.when(number == index, option)
-    return chosen.otherwise(last)
+def _pick(number: str, modulus: int, *options: str) -> str:
+    """The option at the remainder of the number; the last one for all remainders beyond."""
+    index = f"CAST(least({number} % {modulus} + 1, {len(options)}) AS INT)"
+    return f"elt({index}, {', '.join(map(literal, options))})"
 
 
-def _campaign(first: Column, second: Column) -> Column:
-    prefix = _pick(first % 5, [" Realweb", "realweb", "\tREALWEB", "other"], "x_realweb")
-    code = _pick(second % 9, ["FB", "hw", "mt", "TikTok", "uac", "vk", "ya", "asa"], "ya2")
-    platforms = ["_iOS_", "_[p:ios]", "_and_", "_[P:AND]", "_p01", "_p02", "_android"]
-    marker = _pick(first % 8, platforms, "_web")
-    purpose = _pick(first % 11, ["[ret]", "_old_", "_retarget"], "_ua")
-    name = F.concat(prefix, F.lit("_"), code, marker, purpose, F.lit(" "))
-    return F.when(first % 23 != 0, name)
+def _campaign(first: str, second: str) -> str:
+    prefix = _pick(first, 5, " Realweb", "realweb", "\tREALWEB", "other", "x_realweb")
+    code = _pick(second, 9, "FB", "hw", "mt", "TikTok", "uac", "vk", "ya", "asa", "ya2")
+    platforms = ("_iOS_", "_[p:ios]", "_and_", "_[P:AND]", "_p01", "_p02", "_android", "_web")
+    marker = _pick(first, 8, *platforms)
+    purpose = _pick(first, 11, "[ret]", "_old_", "_retarget", "_ua")
+    return f"if({first} % 23 != 0, concat({prefix}, '_', {code}, {marker}, {purpose}, ' '), NULL)"
 
 
-def _day_text(number: Column) -> Column:
-    return F.concat(F.lit("2022-05-0"), (number % 7 + 1).cast("string"))
+def _day(number: str) -> str:
+    return f"concat('2022-05-0', {number} % 7 + 1)"
 
 
-def _ad_set(gap: Column, number: Column) -> Column:
-    return F.when(gap % 19 != 0, F.concat(F.lit(" AdSet "), (number % 4).cast("string")))
+def _ad_set(gap: str, number: str) -> str:
+    return f"if({gap} % 19 != 0, concat(' AdSet ', {number} % 4), NULL)"
 
 
 def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
@@ -50,97 +47,93 @@ def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
 
     Each first line of an order is delivered a second time under another ad.
     """
-    part, quantity = F.col("l_partkey"), F.col("l_quantity").cast("bigint")
+    day = _day("l_linenumber")
     if cabinet.day_delivered:
-        day = _day_text(F.col("l_linenumber")).cast("date")
+        date = f"CAST({day} AS DATE)"
     else:
-        day = F.concat(_day_text(F.col("l_linenumber")), F.lit(" 10:00:00")).cast("timestamp")
+        date = f"CAST(concat({day}, ' 10:00:00') AS TIMESTAMP)"
+    quantity = "CAST(l_quantity AS BIGINT)"
+    unread = "WHEN l_partkey % 13 = 0 THEN"
     clicks = (
-        F.when(part % 13 == 0, "n/a")
-        .when(part % 17 == 0, "")
-        .when(part % 29 == 0, "12.5")
-        .otherwise(quantity.cast("string"))
+        f"CASE {unread} 'n/a' WHEN l_partkey % 17 = 0 THEN '' WHEN l_partkey % 29 = 0 THEN '12.5'"
+        f" ELSE CAST({quantity} AS STRING) END"
     )
-    costs = F.when(part % 13 == 0, "--").otherwise(
-        (F.col("l_quantity") * 25.25).cast("string")
-    )
-    columns = [
-        day.alias(cabinet.date),
-        _campaign(part, F.col("l_suppkey")).alias(cabinet.campaign),
-        clicks.alias(cabinet.clicks),
-        costs.alias(cabinet.costs),
-        (quantity * 100).cast("string").alias(cabinet.impressions),
-    ]
+    costs = f"CASE {unread} '--' ELSE CAST(l_quantity * 25.25D AS STRING) END"
+    columns = {
+        cabinet.date: date,
+        cabinet.campaign: _campaign("l_partkey", "l_suppkey"),
+        cabinet.clicks: clicks,
+        cabinet.costs: costs,
+        cabinet.impressions: f"CAST({quantity} * 100 AS STRING)",
+    }
     if cabinet.adset:
-        columns.append(_ad_set(F.col("l_orderkey"), part).alias(cabinet.adset))
+        columns[cabinet.adset] = _ad_set("l_orderkey", "l_partkey")
     if cabinet.installs:
-        installs = F.when(part % 31 != 0, (quantity % 5).cast("string"))
-        columns.append(installs.alias(cabinet.installs))
-    once, twice = F.array(F.lit("ad")), F.array(F.lit("ad"), F.lit("ad2"))
-    ads = F.explode(F.when(F.col("l_linenumber") == 1, twice).otherwise(once))
-    own = lineitem.where(F.col("l_suppkey") % 7 == CABINETS.index(cabinet))
-    return own.select(*columns, ads.alias("ad"))
+        columns[cabinet.installs] = f"if(l_partkey % 31 != 0, CAST({quantity} % 5 AS STRING), NULL)"
+    ads = "explode(if(l_linenumber = 1, array('ad', 'ad2'), array('ad')))"
+    own = lineitem.where(f"l_suppkey % 7 = {CABINETS.index(cabinet)}")
+    return own.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()], f"{ads} AS ad")
 
 
 def installs_export(events: DataFrame) -> DataFrame:
     """Raw installs: up to three rows per install id, some without id, time or platform."""
-    event, user = F.col("event_id"), F.col("user_id")
-    time = F.concat(
-        _day_text(event),
-        F.lit(" 1"),
-        (event % 10).cast("string"),
-        F.lit(":0"),
-        (event % 6).cast("string"),
-        F.lit(":00.123"),
-    )
+    time = f"concat({_day('event_id')}, ' 1', event_id % 10, ':0', event_id % 6, ':00.123')"
     platform = (
-        F.when(event % 9 == 0, " iOS")
-        .when(event % 9 == 1, "Android ")
-        .when(event % 9 == 3, "web")
-        .when(event % 9 != 2, "ios")
+        "CASE event_id % 9 WHEN 0 THEN ' iOS' WHEN 1 THEN 'Android ' WHEN 2 THEN NULL"
+        " WHEN 3 THEN 'web' ELSE 'ios' END"
     )
-    install_id = F.concat(F.lit("af-"), F.floor(event / 3).cast("bigint").cast("string"))
-    return events.select(
-        F.when(event % 101 != 0, time).alias("event_time"),
-        _campaign(user, event).alias("Campaign"),
-        (event % 3).cast("string").alias("af_c_id"),
-        _ad_set(event, user).alias("af_adset"),
-        F.col("event_type").alias("Media_Source"),
-        platform.alias("platform"),
-        F.when(event % 97 != 0, install_id).alias("appsflyer_id"),
+    return events.selectExpr(
+        f"if(event_id % 101 != 0, {time}, NULL) AS event_time",
+        f"{_campaign('user_id', 'event_id')} AS Campaign",
+        "CAST(event_id % 3 AS STRING) AS af_c_id",
+        f"{_ad_set('event_id', 'user_id')} AS af_adset",
+        "event_type AS Media_Source",
+        f"{platform} AS platform",
+        "if(event_id % 97 != 0, concat('af-', event_id div 3), NULL) AS appsflyer_id",
     )
 
 
 def dirty_metrics(lineitem: DataFrame) -> DataFrame:
     """Every line's quantity spelled in one of the ways exports spell numbers."""
-    digits = F.col("l_quantity").cast("bigint").cast("string")
-    spellings: list[Callable[[Column], Column]] = [
-        lambda d: F.concat(F.lit(" "), d, F.lit("\t")),
-        lambda d: F.concat(F.lit("+"), d),
-        lambda d: F.concat(F.lit("-"), d, F.lit(".5")),
-        lambda d: F.concat(d, F.lit("e3")),
-        lambda d: F.concat(F.lit("0x"), d),
-        lambda d: F.concat(F.lit("-0X"), d, F.lit("aF")),
-        lambda d: F.concat(F.lit("92233720368547758"), d),
-        lambda d: F.concat(d, F.lit(".0d")),
-        lambda d: F.concat(F.lit("."), d),
-        lambda d: F.concat(d, F.lit(",5")),
-        lambda d: F.concat(d, F.lit("_000")),
-        lambda d: F.concat(d, F.lit(" 0")),
-        lambda d: F.lit(""),
-        lambda d: F.lit(None).cast("string"),
-        lambda d: F.concat(F.lit("0x1p"), d),
-    ]
-    kind = F.col("l_orderkey") % (len(spellings) + 1)
-    spelled = F.when(kind == 0, spellings[0](digits))
-    for index, spelling in enumerate(spellings[1:], start=1):
-        spelled = spelled.when(kind == index, spelling(digits))
-    return lineitem.select("l_orderkey", "l_linenumber", spelled.otherwise(digits).alias("raw"))
-
-
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All raw tables by lower-case name."""
-    lineitem, events = given(spark, folder, "lineitem"), given(spark, folder, "events")
-    tables = {c.table.lower(): cabinet_export(lineitem, c) for c in CABINETS}
-    tables["af_installs"] = installs_export(events)
-    return tables
+    digits = "CAST(CAST(l_quantity AS BIGINT) AS STRING)"
+    spellings = (
+        r"concat(' ', {d}, '\t')",
+        "concat('+', {d})",
+        "concat('-', {d}, '.5')",
+        "concat({d}, 'e3')",
+        "concat('0x', {d})",
+        "concat('-0X', {d}, 'aF')",
+        "concat('92233720368547758', {d})",
+        "concat({d}, '.0d')",
+        "concat('.', {d})",
+        "concat({d}, ',5')",
+        "concat({d}, '_000')",
+        "concat({d}, ' 0')",
+        "''",
+        "NULL",
+        "concat('0x1p', {d})",
+        "{d}",
+    )
+    cases = " ".join(f"WHEN {i} THEN {s.format(d=digits)}" for i, s in enumerate(spellings))
+    raw = f"CASE l_orderkey % {len(spellings)} {cases} END"
+    return lineitem.selectExpr("l_orderkey", "l_linenumber", f"{raw} AS raw")
+
+
+class RawTables(Mapping[str, DataFrame]):
+    """Raw tables by lower-case name, each derived when it is asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+        self._cabinets = {cabinet.table.lower(): cabinet for cabinet in CABINETS}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "af_installs":
+            return installs_export(given(self._spark, self._folder, "events"))
+        cabinet = self._cabinets[name]
+        return cabinet_export(given(self._spark, self._folder, "lineitem"), cabinet)
+
+    def __iter__(self) -> Iterator[str]:
+        yield from [*self._cabinets, "af_installs"]
+
+    def __len__(self) -> int:
+        return len(self._cabinets) + 1
