@@ -5,22 +5,19 @@ from __future__ import annotations
 from adloom.functions import fixed_values as fixed
 from adloom.functions.text import contains_any, literal, process_strings
 
-_RETARGETING_MARKERS = tuple(
-    opener + word + closer
-    for word in fixed.RETARGETING_WORDS
-    for opener in fixed.RETARGETING_OPENERS
-    for closer in fixed.RETARGETING_CLOSERS
-)
-
-
 def is_realweb(campaign: str) -> str:
     """Does the cleaned name start with the agency prefix?  NULL for a NULL name."""
     return f"startswith({process_strings(campaign)}, {literal(fixed.AGENCY_PREFIX)})"
 
 
 def is_ret_campaign(campaign: str) -> str:
-    """Is this a retargeting campaign?  NULL for a NULL name."""
-    return contains_any(f"lower({campaign})", _RETARGETING_MARKERS)
+    """Is this a retargeting campaign?  NULL for a NULL name.
+
+    The pattern runs only on names that hold one of its words at all.
+    """
+    name = f"lower({campaign})"
+    possible = contains_any(name, fixed.RETARGETING_WORDS)
+    return f"({possible} AND {name} RLIKE {literal(fixed.RETARGETING_PATTERN)})"
 
 
 def platform(campaign: str) -> str:

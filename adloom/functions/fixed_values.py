@@ -19,10 +19,9 @@ SOURCE_BY_CODE = {
 }
 UNKNOWN_SOURCE = "other"
 
-# Retargeting campaigns carry one of the words between any two of the delimiters.
+# Retargeting campaigns carry one of the words between delimiters.
 RETARGETING_WORDS = ("old", "ret")
-RETARGETING_OPENERS = ("[", "_")
-RETARGETING_CLOSERS = ("]", "_")
+RETARGETING_PATTERN = r"([\[_]old[\]_])|([\[_]ret[\]_])"
 
 # Platform markers, searched anywhere in the lower-cased name; iOS wins over Android.
 IOS_MARKERS = ("[p:ios]", "_ios_", "p02")

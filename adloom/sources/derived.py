@@ -70,9 +70,19 @@ def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
         columns[cabinet.adset] = _ad_set("l_orderkey", "l_partkey")
     if cabinet.installs:
         columns[cabinet.installs] = f"if(l_partkey % 31 != 0, CAST({quantity} % 5 AS STRING), NULL)"
-    ads = "explode(if(l_linenumber = 1, array('ad', 'ad2'), array('ad')))"
+    columns["ads"] = "if(l_linenumber = 1, array('ad', 'ad2'), array('ad'))"
     own = lineitem.where(f"l_suppkey % 7 = {CABINETS.index(cabinet)}")
-    return own.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()], f"{ads} AS ad")
+    return _as_table(own, columns).selectExpr("* EXCEPT (ads)", "explode(ads) AS ad")
+
+
+def _as_table(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Compute columns once per row, as if they were scanned.
+
+    Filters above a plain projection move below it and repeat its expressions; they do not
+    move below a generator.
+    """
+    row = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    return frame.selectExpr(f"inline(array(struct({row})))")
 
 
 def installs_export(events: DataFrame) -> DataFrame:
@@ -82,15 +92,16 @@ def installs_export(events: DataFrame) -> DataFrame:
         "CASE event_id % 9 WHEN 0 THEN ' iOS' WHEN 1 THEN 'Android ' WHEN 2 THEN NULL"
         " WHEN 3 THEN 'web' ELSE 'ios' END"
     )
-    return events.selectExpr(
-        f"if(event_id % 101 != 0, {time}, NULL) AS event_time",
-        f"{_campaign('user_id', 'event_id')} AS Campaign",
-        "CAST(event_id % 3 AS STRING) AS af_c_id",
-        f"{_ad_set('event_id', 'user_id')} AS af_adset",
-        "event_type AS Media_Source",
-        f"{platform} AS platform",
-        "if(event_id % 97 != 0, concat('af-', event_id div 3), NULL) AS appsflyer_id",
-    )
+    columns = {
+        "event_time": f"if(event_id % 101 != 0, {time}, NULL)",
+        "Campaign": _campaign("user_id", "event_id"),
+        "af_c_id": "CAST(event_id % 3 AS STRING)",
+        "af_adset": _ad_set("event_id", "user_id"),
+        "Media_Source": "event_type",
+        "platform": platform,
+        "appsflyer_id": "if(event_id % 97 != 0, concat('af-', event_id div 3), NULL)",
+    }
+    return _as_table(events, columns)
 
 
 def dirty_metrics(lineitem: DataFrame) -> DataFrame:
@@ -123,14 +134,14 @@ class RawTables(Mapping[str, DataFrame]):
     """Raw tables by lower-case name, each derived when it is asked for."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark, self._folder = spark, folder
+        self._lineitem = given(spark, folder, "lineitem")
+        self._events = given(spark, folder, "events")
         self._cabinets = {cabinet.table.lower(): cabinet for cabinet in CABINETS}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "af_installs":
-            return installs_export(given(self._spark, self._folder, "events"))
-        cabinet = self._cabinets[name]
-        return cabinet_export(given(self._spark, self._folder, "lineitem"), cabinet)
+            return installs_export(self._events)
+        return cabinet_export(self._lineitem, self._cabinets[name])
 
     def __iter__(self) -> Iterator[str]:
         yield from [*self._cabinets, "af_installs"]
