@@ -83,60 +83,60 @@ def failing_rows(check: Check, frame: DataFrame) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
-def _failures_by_value(check: Check) -> str:
-    """Failing rows of a check, counted on one row per value of the column."""
+def _value_failures(check: Check) -> str:
+    """Failing values of a check, counted on one row per value of the column."""
     if check.kind == "unique":
         return "count_if(value IS NOT NULL AND n_rows > 1)"
-    if check.kind == "accepted_values":
-        return f"count_if(value NOT IN ({', '.join(map(literal, check.values))}))"
-    if check.kind == "not_null":
-        return "coalesce(sum(n_rows) FILTER (WHERE value IS NULL), 0L)"
-    return f"coalesce(sum(n_rows) FILTER (WHERE value > {check.limit}), 0L)"
+    return f"count_if(value NOT IN ({', '.join(map(literal, check.values))}))"
 
 
-def _failures_by_row(check: Check) -> str:
+def _row_failures(check: Check) -> str:
     condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit}"
     return f"count_if({check.column} {condition})"
 
 
-def _count(frame: DataFrame, checks: list[Check], failures: Callable[[Check], str]) -> DataFrame:
-    """One row per check from one pass over the frame."""
-    counts = [F.expr(f"{failures(check)} AS n{i}") for i, check in enumerate(checks)]
+def _one_pass(frame: DataFrame, by_value: list[Check], by_row: list[Check]) -> DataFrame:
+    """One row per check; the checks by value must be about the same column."""
+    row_counts = [F.expr(f"{_row_failures(check)} AS r{i}") for i, check in enumerate(by_row)]
+    if by_value:
+        per_value = frame.groupBy(F.expr(f"{by_value[0].column} AS value"))
+        counted = per_value.agg(F.expr("count(1) AS n_rows"), *row_counts).agg(
+            *[F.expr(f"{_value_failures(check)} AS v{i}") for i, check in enumerate(by_value)],
+            *[F.expr(f"coalesce(sum(r{i}), 0L) AS r{i}") for i in range(len(by_row))],
+        )
+    else:
+        counted = frame.agg(*row_counts)
+    counts = {f"v{i}": check for i, check in enumerate(by_value)}
+    counts |= {f"r{i}": check for i, check in enumerate(by_row)}
     rows = ", ".join(
         f"struct({literal(check.name)} AS check, {literal(check.model)} AS model,"
-        f" {literal(check.column)} AS column, n{i} AS n_failures,"
-        f" if(n{i} > 0, {literal(FAIL)}, {literal(PASS)}) AS status)"
-        for i, check in enumerate(checks)
+        f" {literal(check.column)} AS column, {count} AS n_failures,"
+        f" if({count} > 0, {literal(FAIL)}, {literal(PASS)}) AS status)"
+        for count, check in counts.items()
     )
-    return frame.agg(*counts).selectExpr(f"inline(array({rows}))")
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
 def check_results(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: how many rows it reports, and whether it passes.
 
-    A model is read once per column with value checks, plus once for all its row checks.
-    Value counts combine on the map side, so a frequent value makes no large task.
+    A model is read once per column with checks by value; its checks by row ride along with the
+    first of these.  Counts combine on the map side, so a frequent value makes no large task.
     """
-    by_value: dict[tuple[str, str], list[Check]] = {}
     by_row: dict[str, list[Check]] = {}
-    checks = list(checks)
-    needs_values = {
-        (c.model, c.column) for c in checks if c.kind in ("unique", "accepted_values")
-    }
+    by_value: dict[str, dict[str, list[Check]]] = {}
     for check in checks:
-        place = (check.model, check.column)
-        if place in needs_values:
-            by_value.setdefault(place, []).append(check)
+        if check.kind in ("unique", "accepted_values"):
+            by_value.setdefault(check.model, {}).setdefault(check.column, []).append(check)
         else:
             by_row.setdefault(check.model, []).append(check)
 
     parts = []
-    for (model, column), group in by_value.items():
-        values = models[model].groupBy(F.expr(f"{column} AS value"))
-        counted = values.agg(F.expr("count(1) AS n_rows"))
-        parts.append(_count(counted, group, _failures_by_value))
-    for model, group in by_row.items():
-        parts.append(_count(models[model], group, _failures_by_row))
+    for model in by_row | by_value:
+        row_checks = by_row.get(model, [])
+        for value_checks in by_value.get(model, {}).values() or [[]]:
+            parts.append(_one_pass(models[model], value_checks, row_checks))
+            row_checks = []
     return reduce(DataFrame.unionByName, parts)
 
 

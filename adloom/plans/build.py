@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.operators.cabinets import CABINETS, stage_cabinet
+from adloom.operators.cabinets import CABINETS, Cabinet, stage_cabinet
 from adloom.operators.checks import DECLARED_CHECKS, ERROR, FAIL, PASS, RESULTS_SCHEMA
 from adloom.operators.checks import Check, failing_rows
 from adloom.operators.installs import stage_installs
@@ -17,26 +18,44 @@ from adloom.sources.sinks import CABINET_LAYOUT, INSTALLS_LAYOUT, Layout, Target
 from adloom.sources.sinks import materialize, stored_rows, write_table
 
 
-def build_models(
-    spark: SparkSession, raw: Mapping[str, DataFrame], target: Target
-) -> dict[str, DataFrame]:
-    """Write every model in order of dependence; readers get the written form.
+# Models written at the same time; none of the staging models depends on another.
+WRITERS = 4
+
 
-    ``raw`` maps raw table names, in lower case, to their frames.
+def build_staging(raw: Mapping[str, DataFrame], target: Target) -> dict[str, DataFrame]:
+    """Write all staging models; readers get the written form.
+
+    ``raw`` maps raw table names, in lower case, to their frames.  Several models are written at
+    once, so that the last tasks of one do not leave the executors idle.
     """
-    models: dict[str, DataFrame] = {}
-    for cabinet in CABINETS:
+
+    def write_cabinet(cabinet: Cabinet) -> DataFrame:
         staged = stage_cabinet(raw[cabinet.table.lower()], cabinet)
-        models[cabinet.model] = materialize(staged, cabinet.model, target, CABINET_LAYOUT)
-    installs = stage_installs(raw["af_installs"])
-    models["stg_af_installs"] = materialize(
-        installs, "stg_af_installs", target, INSTALLS_LAYOUT
-    )
+        return materialize(staged, cabinet.model, target, CABINET_LAYOUT)
+
+    def write_installs() -> DataFrame:
+        staged = stage_installs(raw["af_installs"])
+        return materialize(staged, "stg_af_installs", target, INSTALLS_LAYOUT)
 
-    cabinets = {cabinet.model: models[cabinet.model] for cabinet in CABINETS}
-    mart = performance_mart(cabinets, models["stg_af_installs"])
-    models["mart"] = materialize(mart, "mart", target, Layout(), always_table=True)
+    with ThreadPoolExecutor(WRITERS) as writers:
+        written = {c.model: writers.submit(write_cabinet, c) for c in CABINETS}
+        written["stg_af_installs"] = writers.submit(write_installs)
+        return {model: frame.result() for model, frame in written.items()}
 
+
+def build_mart(staging: Mapping[str, DataFrame], target: Target) -> DataFrame:
+    """Write the mart from the written staging models."""
+    cabinets = {cabinet.model: staging[cabinet.model] for cabinet in CABINETS}
+    mart = performance_mart(cabinets, staging["stg_af_installs"])
+    return materialize(mart, "mart", target, Layout(), always_table=True)
+
+
+def build_models(
+    spark: SparkSession, raw: Mapping[str, DataFrame], target: Target
+) -> dict[str, DataFrame]:
+    """Write every model in order of dependence."""
+    models = build_staging(raw, target)
+    models["mart"] = build_mart(models, target)
     first = example_first(spark)
     models["example_first"] = materialize(first, "example_first", target, always_table=True)
     second = example_second(models["example_first"])

@@ -59,20 +59,27 @@ def _install_part(installs: DataFrame) -> DataFrame:
     return _mart_columns(kept, installs="1")
 
 
-def performance_mart(cabinets: Mapping[str, DataFrame], installs: DataFrame) -> DataFrame:
+def performance_mart(
+    cabinets: Mapping[str, DataFrame], installs: DataFrame, summed: bool = True
+) -> DataFrame:
     """Clicks, impressions, installs and costs per day, campaign, ad set, platform, source.
 
-    ``cabinets`` maps model names to frames with the staged columns.  Staged tables and
-    unsummed rows give the same sums.  Installs come from the cabinet where it reports them and
-    from ``installs`` otherwise.  Stacking all parts and summing once needs no join, keeps NULL
-    ad sets together, and leaves a metric NULL where no part has it.
+    ``cabinets`` maps model names to frames with the staged columns.  Installs come from the
+    cabinet where it reports them and from ``installs`` otherwise.  Stacking all parts and
+    summing needs no join, keeps NULL ad sets together, and leaves a metric NULL where no part
+    has it.  Staged cabinets are summed already: those that report installs have nothing to be
+    added and skip the shuffle.  Pass ``summed=False`` for frames from ``unsummed``.
 
     Huawei reports no ad sets: its cost rows have a NULL ad set, its installs keep theirs.
     """
-    parts = [_cabinet_part(frame, CABINET_BY_MODEL[name]) for name, frame in cabinets.items()]
-    parts.append(_install_part(installs))
+    finished, parts = [], [_install_part(installs)]
+    for model, frame in cabinets.items():
+        cabinet = CABINET_BY_MODEL[model]
+        complete = summed and cabinet.installs is not None
+        (finished if complete else parts).append(_cabinet_part(frame, cabinet))
     stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.groupBy(*KEYS).agg(*[F.expr(f"sum({metric}) AS {metric}") for metric in METRICS])
+    sums = [F.expr(f"sum({metric}) AS {metric}") for metric in METRICS]
+    return reduce(DataFrame.unionByName, finished, stacked.groupBy(*KEYS).agg(*sums))
 
 
 def unsummed(raw: DataFrame, cabinet: Cabinet) -> DataFrame:

@@ -8,6 +8,7 @@ unreadable metrics, rows delivered again under another ad, repeated and missing
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -134,14 +135,13 @@ class RawTables(Mapping[str, DataFrame]):
     """Raw tables by lower-case name, each derived when it is asked for."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._lineitem = given(spark, folder, "lineitem")
-        self._events = given(spark, folder, "events")
+        self._given = cache(lambda name: given(spark, folder, name))
         self._cabinets = {cabinet.table.lower(): cabinet for cabinet in CABINETS}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "af_installs":
-            return installs_export(self._events)
-        return cabinet_export(self._lineitem, self._cabinets[name])
+            return installs_export(self._given("events"))
+        return cabinet_export(self._given("lineitem"), self._cabinets[name])
 
     def __iter__(self) -> Iterator[str]:
         yield from [*self._cabinets, "af_installs"]
