@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+from adloom.operators.cabinets import CABINETS
+from adloom.operators.checks import DECLARED_CHECKS, Check, check_results
+from adloom.plans.build import build_models, run_checks
+from adloom.sources.derived import RawTables
+from adloom.sources.sinks import Target
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def rows_of(frame):
+    return Counter(map(tuple, frame.collect()))
+
+
+@pytest.fixture(scope="module")
+def target(tmp_path_factory):
+    return Target("prod", "production", str(tmp_path_factory.mktemp("build")))
+
+
+@pytest.fixture(scope="module")
+def models(spark, target):
+    return build_models(spark, RawTables(spark, SMALL), target)
+
+
+def test_every_model_is_written(models, target):
+    expected = {cabinet.model for cabinet in CABINETS}
+    expected |= {"stg_af_installs", "mart", "example_first", "example_second"}
+    assert set(models) == expected
+    for model in expected:
+        assert Path(target.path(model)).is_dir()
+
+
+def test_second_build_gives_the_same(spark, models, tmp_path):
+    before = {name: rows_of(frame) for name, frame in models.items()}
+    target = Target("prod", "production", str(tmp_path))
+    build_models(spark, RawTables(spark, SMALL), target)
+    again = build_models(spark, RawTables(spark, SMALL), target)
+    assert {name: rows_of(frame) for name, frame in again.items()} == before
+
+
+def test_checks_agree_with_the_lazy_results_and_store_failures(spark, models, target):
+    results = run_checks(models, target)
+    assert rows_of(results) == rows_of(check_results(models, DECLARED_CHECKS))
+    failed = {row.check: row.n_failures for row in results.collect() if row.status == "fail"}
+    assert set(failed) == {
+        "not_null_example_first_id",
+        "not_null_stg_af_installs_appsflyer_id",
+        "accepted_values_stg_af_installs_platform",
+        "accepted_values_mart_platform",
+    }
+    for name, n_failures in failed.items():
+        stored = spark.read.parquet(f"{target.folder}/production_audit/{name}")
+        assert stored.count() == n_failures
+
+
+def test_a_check_that_cannot_run_is_an_error_and_others_go_on(models, target):
+    checks = (
+        Check("unique", "mart", "no_such_column"),
+        Check("unique", "no_such_model", "id"),
+        Check("not_null", "mart", "campaign_name"),
+    )
+    rows = run_checks(models, target, checks).collect()
+    assert [(row.n_failures, row.status) for row in rows] == [
+        (None, "error"),
+        (None, "error"),
+        (0, "pass"),
+    ]
+
+
+def test_development_build_makes_views(spark, tmp_path):
+    target = Target("dev", "personal", str(tmp_path))
+    models = build_models(spark, RawTables(spark, SMALL), target)
+    assert sorted(p.name for p in Path(tmp_path, "personal").iterdir()) == [
+        "example_first",
+        "mart",
+    ]
+    assert spark.table("stg_yandex").count() == models["stg_yandex"].count()

@@ -1,0 +1,209 @@
+from __future__ import annotations
+
+import math
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from adloom import functions as A
+from adloom.functions.fixed_values import WHITE_SPACE
+
+STRING = T.StringType()
+
+
+def test_trim_strips_unicode_white_space_at_both_ends_only(column):
+    values = ["\ta b \n", "   ", " 　x\u0085 ", "", None]
+    assert column(A.trim_white_space("x"), values) == ["a b", "", "x", "", None]
+
+
+def test_white_space_list_is_the_unicode_property(column):
+    everything = [chr(code) for code in range(1, 0x3100)]
+    by_property = column(r"x RLIKE '^\\p{IsWhite_Space}$'", everything)
+    assert [c in WHITE_SPACE for c in everything] == by_property
+
+
+def test_process_strings_lowers_cyrillic(column):
+    assert column(A.process_strings("x"), [" КАМПАНИЯ Один\t", None]) == ["кампания один", None]
+
+
+def test_literal_survives_quotes_and_backslashes(column):
+    awkward = "it's a \\d \\\\ \"x\" ' \n"
+    assert column(A.literal(awkward), ["any"]) == [awkward]
+
+
+def test_extract_gives_null_without_match_and_empty_for_an_empty_group(column):
+    values = ["12-3 x", "abc", " x", None]
+    assert column(A.extract_or_null("x", r"([\d-]*)\s"), values) == ["12-3", None, "", None]
+
+
+def test_is_realweb_is_anchored_after_cleaning(column):
+    values = [" RealWeb_x", "\tREALWEB", "zz_realweb_uac_x", "realwe", "", None]
+    assert column(A.is_realweb("x"), values) == [True, True, False, False, False, None]
+
+
+def test_is_ret_campaign_needs_delimiters_that_may_differ(column):
+    names = {
+        "x[ret]y": True,
+        "a_ret]": True,
+        "A_OLD_b": True,
+        "[old_": True,
+        "_old]": True,
+        "retargeting": False,
+        "_retarget": False,
+        "ret_": False,
+        "_ret": False,
+        "old": False,
+        "]ret[": False,
+        "": False,
+        None: None,
+    }
+    assert column(A.is_ret_campaign("x"), list(names)) == list(names.values())
+
+
+def test_platform_tests_ios_first_and_has_a_default(column):
+    names = {
+        "x[P:iOS]_and_": "ios",
+        "a_IOS_b": "ios",
+        "xp02y": "ios",
+        "p01p02": "ios",
+        "a_and_b": "android",
+        "Android": "android",
+        "[p:and]": "android",
+        "xp01": "android",
+        "ios": "no_platform",
+        "_and": "no_platform",
+        "": "no_platform",
+        None: "no_platform",
+    }
+    assert column(A.platform("x"), list(names)) == list(names.values())
+
+
+def test_platform_and_flags_do_not_depend_on_cleaning(column):
+    names = [" X_iOS_\t", " _AND_ ", " a[RET]\n", "p02 ", "\t_old_", None]
+    for classify in (A.platform, A.is_ret_campaign):
+        assert column(classify("x"), names) == column(classify(A.process_strings("x")), names)
+
+
+def test_install_source_is_unanchored_and_letters_only(column):
+    names = {
+        " Realweb_FB_x": "facebook",
+        "realweb_hw_": "huawei",
+        "realweb_mt_1": "mytarget",
+        "realweb_tiktok_": "tiktok",
+        "zz_realweb_uac_x": "google_ads",
+        "realweb_vk_": "vkontakte",
+        "realweb_ya_": "yandex",
+        "realweb_ya2_x": "other",
+        "realweb_asa_x": "other",
+        "realweb_fb": "other",
+        "realweb_vk_realweb_ya_": "vkontakte",
+        "": "other",
+        None: "other",
+    }
+    assert column(A.install_source("x"), list(names)) == list(names.values())
+
+
+def test_safe_int_on_strings(column):
+    values = {
+        "12": 12,
+        " 12 ": 12,
+        "\t12\n": 12,
+        "+7": 7,
+        "-7": -7,
+        "12.5": None,
+        "12.0": None,
+        "1e3": None,
+        "1_000": None,
+        "0x1A": 26,
+        "-0X1a": -26,
+        "0x000000000000000000001F": 31,
+        "0x7fffffffffffffff": 2**63 - 1,
+        "-0x8000000000000000": -(2**63),
+        "0x8000000000000000": None,
+        "0x": None,
+        "0x1p3": None,
+        "n/a": None,
+        "": None,
+        "9223372036854775807": 2**63 - 1,
+        "9223372036854775808": None,
+        None: None,
+    }
+    assert column(A.safe_int("x", STRING), list(values)) == list(values.values())
+
+
+def test_safe_int_rounds_fractions_half_away_from_zero(column):
+    doubles = [12.5, -12.5, 0.49, float("nan"), 1e30, float("inf"), None]
+    expected = [13, -13, 0, None, None, None, None]
+    assert column(A.safe_int("x", T.DoubleType()), doubles, "double") == expected
+    exact = [Decimal("2.50"), Decimal("-2.50"), None]
+    assert column(A.safe_int("x", T.DecimalType(9, 2)), exact, "decimal(9,2)") == [3, -3, None]
+    assert column(A.safe_int("x", T.IntegerType()), [5, None], "int") == [5, None]
+    assert column(A.safe_int("x", T.BooleanType()), [True, False], "boolean") == [1, 0]
+
+
+def test_safe_float_on_strings(column):
+    values = {
+        "12": 12.0,
+        " 2.5 ": 2.5,
+        "1e3": 1000.0,
+        "-1.5E-1": -0.15,
+        ".5": 0.5,
+        "5.": 5.0,
+        "inf": math.inf,
+        "-Infinity": -math.inf,
+        "1.0d": None,
+        "1.0F": None,
+        "0x1p3": None,
+        "1,5": None,
+        "--": None,
+        "e3": None,
+        ".": None,
+        "": None,
+        None: None,
+    }
+    assert column(A.safe_float("x", STRING), list(values)) == list(values.values())
+    assert math.isnan(column(A.safe_float("x", STRING), ["NaN"])[0])
+
+
+def test_safe_float_widens_numbers(column):
+    assert column(A.safe_float("x", T.LongType()), [3, None], "bigint") == [3.0, None]
+
+
+@pytest.mark.parametrize("cast", [A.safe_int, A.safe_float])
+def test_casts_refuse_other_types(cast):
+    with pytest.raises(TypeError):
+        cast("x", T.DateType())
+
+
+def test_event_time_is_null_where_the_pattern_does_not_match(column):
+    values = [
+        "2022-05-01 10:11:12.123",
+        "2022-05-01 10:11:12.123\n",
+        "2022-05-01 10:11:12",
+        "2022-05-01T10:11:12",
+        None,
+    ]
+    day = date(2022, 5, 1)
+    assert column(A.event_date("x"), values) == [day, day, day, None, None]
+    second = datetime(2022, 5, 1, 10, 11, 12)
+    assert column(A.event_datetime("x"), values) == [second, None, None, None, None]
+
+
+def test_event_time_allows_loose_spelling(column):
+    values = ["2022-5-1 1:2:3.000", "2022-05-01  01:02:03.999"]
+    assert column(A.event_date("x"), values) == [date(2022, 5, 1)] * 2
+    assert column(A.event_datetime("x"), values) == [datetime(2022, 5, 1, 1, 2, 3)] * 2
+
+
+@pytest.mark.parametrize("text", [" 2022-05-01 10:11:12.123", "2022-13-01 10:11:12.123", "- x"])
+def test_broken_day_raises(column, text):
+    with pytest.raises(PySparkException):
+        column(A.event_date("x"), [text])
+
+
+def test_broken_second_raises(column):
+    with pytest.raises(PySparkException):
+        column(A.event_datetime("x"), ["2022-05-01T10:11:12.123"])
