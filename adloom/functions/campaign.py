@@ -1,32 +1,36 @@
-"""Classification of campaigns by their names."""
+"""Classification of campaigns by their names.
+
+Names are cleaned first.  ``cleaned=True`` says that this was done before and saves doing it twice.
+"""
 
 from __future__ import annotations
 
 from adloom.functions import fixed_values as fixed
 from adloom.functions.text import contains_any, literal, process_strings
 
-def is_realweb(campaign: str) -> str:
+def is_realweb(campaign: str, cleaned: bool = False) -> str:
     """Does the cleaned name start with the agency prefix?  NULL for a NULL name."""
-    return f"startswith({process_strings(campaign)}, {literal(fixed.AGENCY_PREFIX)})"
+    name = campaign if cleaned else process_strings(campaign)
+    return f"startswith({name}, {literal(fixed.AGENCY_PREFIX)})"
 
 
-def is_ret_campaign(campaign: str) -> str:
+def is_ret_campaign(campaign: str, cleaned: bool = False) -> str:
     """Is this a retargeting campaign?  NULL for a NULL name.
 
     The pattern runs only on names that hold one of its words at all.
     """
-    name = f"lower({campaign})"
+    name = campaign if cleaned else f"lower({campaign})"
     possible = contains_any(name, fixed.RETARGETING_WORDS)
     return f"({possible} AND {name} RLIKE {literal(fixed.RETARGETING_PATTERN)})"
 
 
-def platform(campaign: str) -> str:
+def platform(campaign: str, cleaned: bool = False) -> str:
     """ios, android or no_platform; a NULL name has no platform.
 
     No marker holds white space, so raw and cleaned names give the same answer.
     Staging relies on that to classify after aggregation, on groups, not on rows.
     """
-    name = f"lower({campaign})"
+    name = campaign if cleaned else f"lower({campaign})"
     return f"""CASE
         WHEN {contains_any(name, fixed.IOS_MARKERS)} THEN {literal(fixed.IOS)}
         WHEN {contains_any(name, fixed.ANDROID_MARKERS)} THEN {literal(fixed.ANDROID)}

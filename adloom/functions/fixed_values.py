@@ -31,6 +31,7 @@ ANDROID = "android"
 NO_PLATFORM = "no_platform"
 
 # Install time text looks like 2022-05-01 10:11:12.123.
+EVENT_TIME_USUAL = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}\z"
 EVENT_DAY_PATTERN = r"([\d-]*)[\t\n\f\r ]"
 EVENT_SECOND_PATTERN = r"(?d)(.*)\.\d{3}\z"
 DAY_FORMAT = "yyyy-M-d"

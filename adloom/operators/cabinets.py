@@ -172,34 +172,47 @@ def _measures(raw: DataFrame, cabinet: Cabinet) -> list[str]:
     return measures
 
 
-def cabinet_rows(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
-    """Distinct raw rows under the common column names, metrics cast, not yet summed."""
-    rows = distinct_raw(raw, cabinet)
+def _named(cabinet: Cabinet) -> list[str]:
     day = cabinet.date if cabinet.day_delivered else f"CAST({cabinet.date} AS DATE)"
     columns = [f"{day} AS date", f"{process_strings(cabinet.campaign)} AS campaign_name"]
     if cabinet.adset:
         columns.append(f"{process_strings(cabinet.adset)} AS adset_name")
-    return rows.selectExpr(*columns, *_measures(rows, cabinet))
+    return columns
+
+
+def _classified(campaign: str, cleaned: bool) -> list[str]:
+    return [
+        f"{platform(campaign, cleaned)} AS platform",
+        f"{is_ret_campaign(campaign, cleaned)} AS is_ret_campaign",
+        f"{is_realweb(campaign, cleaned)} AS is_realweb",
+    ]
+
 
+def unsummed(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
+    """Distinct rows with the staged columns, before the sums.
 
-def with_campaign_columns(frame: DataFrame, cabinet: Cabinet) -> DataFrame:
-    """Add platform and flags, all of them functions of the cleaned campaign name."""
-    return frame.selectExpr(
-        *cabinet.keys,
-        f"{platform('campaign_name')} AS platform",
-        f"{is_ret_campaign('campaign_name')} AS is_ret_campaign",
-        f"{is_realweb('campaign_name')} AS is_realweb",
-        *cabinet.metrics,
+    A mart built straight from raw tables stacks these and saves each cabinet's own
+    aggregation shuffle.  Flags read the raw name, so a filter on them reaches the scan as
+    tests of the raw column.
+    """
+    rows = distinct_raw(raw, cabinet)
+    return rows.selectExpr(
+        *_named(cabinet), *_classified(cabinet.campaign, False), *_measures(rows, cabinet)
     )
 
 
 def stage_cabinet(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
     """Sums per day, campaign, ad set and platform, with the campaign flags.
 
-    Platform follows from the campaign name, so it is left out of the grouping and worked out
-    on the groups.  Both aggregates combine on the map side before they shuffle: a campaign
-    that holds a large share of the rows reaches the second shuffle as one row per task.
+    Platform and flags follow from the campaign name, so they are left out of the grouping and
+    worked out on the groups.  Both aggregates combine on the map side before they shuffle: a
+    campaign that holds a large share of the rows reaches the second shuffle as one row per task.
     """
+    rows = distinct_raw(raw, cabinet)
     sums = [F.expr(f"sum({metric}) AS {metric}") for metric in cabinet.metrics]
-    grouped = cabinet_rows(raw, cabinet).groupBy(*cabinet.keys).agg(*sums)
-    return with_campaign_columns(grouped, cabinet)
+    return (
+        rows.selectExpr(*_named(cabinet), *_measures(rows, cabinet))
+        .groupBy(*cabinet.keys)
+        .agg(*sums)
+        .selectExpr(*cabinet.keys, *_classified("campaign_name", True), *cabinet.metrics)
+    )

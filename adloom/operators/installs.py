@@ -32,24 +32,21 @@ INSTALLS_SCHEMA = T.StructType(
 _RAW_COLUMNS = list(source_table("AF_installs").columns)
 
 # Raw time text first, then every other column, so that ties have one answer.
-_TIME_ORDER = ", ".join(
-    f"{name} ASC NULLS FIRST" for name in _RAW_COLUMNS if name != INSTALL_ID
-)
+_ORDER_COLUMNS = [name for name in _RAW_COLUMNS if name != INSTALL_ID]
+_TIME_ORDER = ", ".join(f"{name} ASC NULLS FIRST" for name in _ORDER_COLUMNS)
 
 
 def first_install(raw: DataFrame) -> DataFrame:
     """The earliest raw row of each install id; rows without id count as one id.
 
-    The order covers all columns, so repeated rows cannot change which row comes first and
-    no distinct is needed before.  Spark keeps one row per id in each task before the shuffle,
-    which also settles an id that holds a large share of the rows.
+    This is row number 1 of ``number_installs``, taken as the smallest row per id: structs
+    compare field by field, NULL first.  Repeated rows cannot change the smallest, so no
+    distinct is needed before, and one shuffle is enough.  Each task sends on one row per id,
+    which settles an id that holds a large share of the rows.
     """
-    position = f"row_number() OVER (PARTITION BY {INSTALL_ID} ORDER BY {_TIME_ORDER})"
-    return (
-        raw.selectExpr(*_RAW_COLUMNS, f"{position} AS id_counter")
-        .where("id_counter = 1")
-        .select(*_RAW_COLUMNS)
-    )
+    smallest = F.expr(f"min(struct({', '.join(_ORDER_COLUMNS)})) AS earliest")
+    columns = [n if n == INSTALL_ID else f"earliest.{n} AS {n}" for n in _RAW_COLUMNS]
+    return raw.groupBy(INSTALL_ID).agg(smallest).selectExpr(*columns)
 
 
 def number_installs(raw: DataFrame) -> DataFrame:
@@ -62,7 +59,7 @@ def number_installs(raw: DataFrame) -> DataFrame:
     The slices are checkpointed because they are read twice and must be the same both times.
     """
     working_folder(raw.sparkSession)
-    order = [F.expr(name).asc_nulls_first() for name in _RAW_COLUMNS if name != INSTALL_ID]
+    order = [F.expr(name).asc_nulls_first() for name in _ORDER_COLUMNS]
     sliced = (
         raw.select(*_RAW_COLUMNS)
         .distinct()

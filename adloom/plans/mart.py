@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from adloom.functions.fixed_values import UNKNOWN_SOURCE
 from adloom.functions.text import literal
 from adloom.operators.cabinets import CABINET_BY_MODEL, CABINETS, Cabinet
-from adloom.operators.cabinets import cabinet_rows, with_campaign_columns
 
 KEYS = ["date", "campaign_name", "adset_name", "platform", "source"]
 METRICS = ["clicks", "impressions", "installs", "costs"]
@@ -80,12 +79,3 @@ def performance_mart(
     stacked = reduce(DataFrame.unionByName, parts)
     sums = [F.expr(f"sum({metric}) AS {metric}") for metric in METRICS]
     return reduce(DataFrame.unionByName, finished, stacked.groupBy(*KEYS).agg(*sums))
-
-
-def unsummed(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
-    """Cabinet rows with staged columns but before the sums.
-
-    A mart built straight from raw tables stacks these and saves each cabinet's own
-    aggregation shuffle: the mart's sum is the only one.
-    """
-    return with_campaign_columns(cabinet_rows(raw, cabinet), cabinet)

@@ -4,8 +4,13 @@ from datetime import date, datetime
 
 import pytest
 
-from adloom.operators.cabinets import CABINET_BY_MODEL, CABINETS, distinct_raw, stage_cabinet
-from adloom.plans.mart import unsummed
+from adloom.operators.cabinets import (
+    CABINET_BY_MODEL,
+    CABINETS,
+    distinct_raw,
+    stage_cabinet,
+    unsummed,
+)
 from adloom.sources.derived import RawTables
 
 FACEBOOK = CABINET_BY_MODEL["stg_facebook"]

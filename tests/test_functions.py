@@ -83,8 +83,9 @@ def test_platform_tests_ios_first_and_has_a_default(column):
 
 def test_platform_and_flags_do_not_depend_on_cleaning(column):
     names = [" X_iOS_\t", " _AND_ ", " a[RET]\n", "p02 ", "\t_old_", None]
-    for classify in (A.platform, A.is_ret_campaign):
-        assert column(classify("x"), names) == column(classify(A.process_strings("x")), names)
+    for classify in (A.platform, A.is_ret_campaign, A.is_realweb):
+        cleaned = classify(A.process_strings("x"), cleaned=True)
+        assert column(classify("x"), names) == column(cleaned, names)
 
 
 def test_install_source_is_unanchored_and_letters_only(column):
@@ -198,12 +199,18 @@ def test_event_time_allows_loose_spelling(column):
     assert column(A.event_datetime("x"), values) == [datetime(2022, 5, 1, 1, 2, 3)] * 2
 
 
-@pytest.mark.parametrize("text", [" 2022-05-01 10:11:12.123", "2022-13-01 10:11:12.123", "- x"])
+@pytest.mark.parametrize(
+    "text",
+    [" 2022-05-01 10:11:12.123", "2022-13-01 10:11:12.123", "2022-5-32 1:1:1.123", "2022 x", "- x"],
+)
 def test_broken_day_raises(column, text):
     with pytest.raises(PySparkException):
         column(A.event_date("x"), [text])
 
 
-def test_broken_second_raises(column):
+@pytest.mark.parametrize(
+    "text", ["2022-05-01T10:11:12.123", "2022-05-01 25:11:12.123", "2022-05-01.123", ".123"]
+)
+def test_broken_second_raises(column, text):
     with pytest.raises(PySparkException):
-        column(A.event_datetime("x"), ["2022-05-01T10:11:12.123"])
+        column(A.event_datetime("x"), [text])

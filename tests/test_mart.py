@@ -5,10 +5,10 @@ from datetime import date
 
 import pytest
 
-from adloom.operators.cabinets import CABINETS, stage_cabinet
+from adloom.operators.cabinets import CABINETS, stage_cabinet, unsummed
 from adloom.operators.installs import stage_installs
 from adloom.plans.examples import example_first, example_second
-from adloom.plans.mart import KEYS, MART_SCHEMA, performance_mart, unsummed, user_acquisition
+from adloom.plans.mart import KEYS, MART_SCHEMA, performance_mart, user_acquisition
 from adloom.sources.derived import RawTables
 
 FOLDER = "/root/testdata/sf0.001"
