@@ -11,13 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from adloom.operators.cabinets import CABINETS, Cabinet, stage_cabinet
 from adloom.operators.checks import DECLARED_CHECKS, ERROR, FAIL, PASS, RESULTS_SCHEMA
 from adloom.operators.checks import Check, failing_rows
-from adloom.operators.installs import stage_installs
+from adloom.operators.installs import INSTALLS_SCHEMA, stage_installs
 from adloom.plans.examples import example_first, example_second
-from adloom.plans.mart import performance_mart
+from adloom.plans.mart import MART_SCHEMA, performance_mart
 from adloom.sources.sinks import CABINET_LAYOUT, INSTALLS_LAYOUT, Layout, Target
 from adloom.sources.sinks import materialize, stored_rows, write_table
 
 
+MODEL_SCHEMAS = {cabinet.model: cabinet.schema for cabinet in CABINETS} | {
+    "stg_af_installs": INSTALLS_SCHEMA,
+    "mart": MART_SCHEMA,
+}
+
 # Models written at the same time; none of the staging models depends on another.
 WRITERS = 4
 

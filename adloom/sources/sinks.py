@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,8 @@ def write_table(
     """Replace the table of a model and return a scan of it in the model's column order."""
     spark = frame.sparkSession
     ready = arranged(frame, layout) if layout else frame
-    writer = ready.write.mode("overwrite")
+    # Static: a rebuild also removes days that are no longer there.
+    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if layout:
         writer = writer.partitionBy(layout.partition)
     if target.folder is not None:
@@ -89,11 +91,15 @@ def materialize(
     return write_view(frame, model)
 
 
-def read_model(spark: SparkSession, model: str, target: Target) -> DataFrame:
-    """Scan a model that was written as a table before."""
+def read_model(
+    spark: SparkSession, model: str, target: Target, schema: StructType
+) -> DataFrame:
+    """Scan a model that another job wrote as a table, in the model's column order."""
     if target.folder is not None:
-        return spark.read.parquet(target.path(model))
-    return spark.table(f"{target.schema}.{model}")
+        stored = spark.read.schema(schema).parquet(target.path(model))
+    else:
+        stored = spark.table(f"{target.schema}.{model}")
+    return stored.select(*schema.names)
 
 
 def stored_rows(frame: DataFrame) -> int:

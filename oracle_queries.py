@@ -6,36 +6,26 @@ Every statement reads the given tables as a whole.  Raw tables are spelled out a
 
 from __future__ import annotations
 
-_SPACE = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-
-# cabinet: supplier residue, source label, date, campaign, adset, costs, installs, impressions
-_CABINETS = {
-    "facebook": (0, "facebook", "date", "Campaign", "adset", "spend", "installs", '"show"'),
-    "google_ads": (
-        1,
-        "google_ads",
-        "ad_date",
-        "campaign_name",
-        "adset_name",
-        "spend",
-        "installs",
-        "impressions",
-    ),
-    "huawei_ads": (2, "huawei", "date", "campaign_name", None, "spend", None, "impressions"),
-    "mytarget": (3, "mytarget", "date", "cmp_name", "adset", "costs", None, "impressions"),
-    "tiktok": (4, "tiktok", "date", "name", "adset", "costs", None, "impressions"),
-    "vkontakte": (
-        5,
-        "vkontakte",
-        "date",
-        "campaign_name",
-        "adset_name",
-        "spend",
-        None,
-        "impressions",
-    ),
-    "yandex": (6, "yandex", "date", "campaign_name", "adset_name", "spend", None, "impressions"),
-}
+from adloom.functions import fixed_values as fixed
+from adloom.operators.cabinets import CABINETS, Cabinet
+
+_SPACE = (
+    r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
+    r"\x{3000}]"
+)
+
+
+def _name(column: str) -> str:
+    """Column names may be reserved words."""
+    return f'"{column}"'
+
+
+def _raw(cabinet: Cabinet) -> str:
+    return f"raw_{cabinet.table.lower()}"
+
+
+def _texts(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{value}'" for value in values) + "]"
 
 
 def _campaign(first: str, second: str) -> str:
@@ -51,35 +41,28 @@ def _campaign(first: str, second: str) -> str:
   ELSE '_ua' END) || ' ' END"""
 
 
-def _raw_cabinet(table: str) -> str:
-    residue, _, date, campaign, adset, costs, installs, impressions = _CABINETS[table]
+def _raw_cabinet(cabinet: Cabinet) -> str:
     day = "'2022-05-0' || CAST(1 + l_linenumber % 7 AS VARCHAR)"
-    if table == "facebook":
-        when = f"CAST({day} AS DATE)"
+    if cabinet.day_delivered:
+        date = f"CAST({day} AS DATE)"
     else:
-        when = f"CAST({day} || ' 10:00:00' AS TIMESTAMP)"
-    columns = [
-        f"{when} AS {date}",
-        f"{_campaign('l_partkey', 'l_suppkey')} AS {campaign}",
-        "CASE WHEN l_partkey % 13 = 0 THEN 'n/a' WHEN l_partkey % 17 = 0 THEN ''"
-        " WHEN l_partkey % 29 = 0 THEN '12.5'"
-        " ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS clicks",
-        "CASE WHEN l_partkey % 13 = 0 THEN '--'"
-        f" ELSE CAST(l_quantity * 25.25 AS VARCHAR) END AS {costs}",
-        f"CAST(CAST(l_quantity AS BIGINT) * 100 AS VARCHAR) AS {impressions}",
-    ]
-    if adset:
-        columns.append(
-            "CASE WHEN l_orderkey % 19 = 0 THEN NULL"
-            f" ELSE ' AdSet ' || CAST(l_partkey % 4 AS VARCHAR) END AS {adset}"
-        )
-    if installs:
-        columns.append(
-            "CASE WHEN l_partkey % 31 = 0 THEN NULL"
-            f" ELSE CAST(CAST(l_quantity AS BIGINT) % 5 AS VARCHAR) END AS {installs}"
-        )
-    select = f"SELECT {', '.join(columns)}"
-    own = f"FROM lineitem WHERE l_suppkey % 7 = {residue}"
+        date = f"CAST({day} || ' 10:00:00' AS TIMESTAMP)"
+    quantity = "CAST(l_quantity AS BIGINT)"
+    columns = {
+        cabinet.date: date,
+        cabinet.campaign: _campaign("l_partkey", "l_suppkey"),
+        cabinet.adset: "CASE WHEN l_orderkey % 19 = 0 THEN NULL"
+        " ELSE ' AdSet ' || CAST(l_partkey % 4 AS VARCHAR) END",
+        cabinet.clicks: "CASE WHEN l_partkey % 13 = 0 THEN 'n/a' WHEN l_partkey % 17 = 0 THEN ''"
+        f" WHEN l_partkey % 29 = 0 THEN '12.5' ELSE CAST({quantity} AS VARCHAR) END",
+        cabinet.costs: "CASE WHEN l_partkey % 13 = 0 THEN '--'"
+        " ELSE CAST(l_quantity * 25.25 AS VARCHAR) END",
+        cabinet.installs: "CASE WHEN l_partkey % 31 = 0 THEN NULL"
+        f" ELSE CAST({quantity} % 5 AS VARCHAR) END",
+        cabinet.impressions: f"CAST({quantity} * 100 AS VARCHAR)",
+    }
+    select = "SELECT " + ", ".join(f"{v} AS {_name(k)}" for k, v in columns.items() if k)
+    own = f"FROM lineitem WHERE l_suppkey % 7 = {CABINETS.index(cabinet)}"
     return f"{select}, 'ad' AS ad {own} UNION ALL {select}, 'ad2' AS ad {own} AND l_linenumber = 1"
 
 
@@ -104,24 +87,27 @@ def _clean(text: str) -> str:
 
 
 def _is_realweb(name: str) -> str:
-    return f"regexp_matches({_clean(name)}, '^realweb')"
+    return f"starts_with({_clean(name)}, '{fixed.AGENCY_PREFIX}')"
 
 
 def _is_ret(name: str) -> str:
-    return rf"regexp_matches(lower({name}), '([\[_]old[\]_])|([\[_]ret[\]_])')"
+    return f"regexp_matches(lower({name}), '{fixed.RETARGETING_PATTERN}')"
+
+
+def _has_marker(name: str, markers: tuple[str, ...]) -> str:
+    return f"coalesce(list_bool_or([contains(lower({name}), m) FOR m IN {_texts(markers)}]), false)"
 
 
 def _platform(name: str) -> str:
-    return rf"""CASE WHEN regexp_matches(lower({name}), '\[p:ios\]|_ios_|p02') THEN 'ios'
- WHEN regexp_matches(lower({name}), '\[p:and\]|_and_|android|p01') THEN 'android'
- ELSE 'no_platform' END"""
+    ios = f"if({_has_marker(name, fixed.IOS_MARKERS)}, '{fixed.IOS}', NULL)"
+    android = f"if({_has_marker(name, fixed.ANDROID_MARKERS)}, '{fixed.ANDROID}', NULL)"
+    return f"coalesce({ios}, {android}, '{fixed.NO_PLATFORM}')"
 
 
 def _source(name: str) -> str:
-    return f"""CASE regexp_extract({_clean(name)}, 'realweb_([a-z]+)_', 1)
- WHEN 'fb' THEN 'facebook' WHEN 'hw' THEN 'huawei' WHEN 'mt' THEN 'mytarget'
- WHEN 'tiktok' THEN 'tiktok' WHEN 'uac' THEN 'google_ads' WHEN 'vk' THEN 'vkontakte'
- WHEN 'ya' THEN 'yandex' ELSE 'other' END"""
+    codes, sources = map(_texts, zip(*fixed.SOURCE_BY_CODE.items()))
+    code = f"regexp_extract({_clean(name)}, '{fixed.INSTALL_CODE_PATTERN}', 1)"
+    return f"coalesce({sources}[list_position({codes}, {code})], '{fixed.UNKNOWN_SOURCE}')"
 
 
 def _int(text: str) -> str:
@@ -152,26 +138,26 @@ def _event_second(text: str) -> str:
  THEN CAST(regexp_extract({text}, '(.*)\.\d{{3}}$', 1) AS TIMESTAMP) END"""
 
 
-def _staged_cabinet(table: str) -> str:
-    _, _, date, campaign, adset, costs, installs, impressions = _CABINETS[table]
-    used = [date, campaign, adset, "clicks", costs, installs, impressions]
-    raw = ", ".join(column for column in used if column)
-    adset_select = f"{_clean(adset)} AS adset_name," if adset else ""
-    adset_out = "adset_name," if adset else ""
-    sums = f"""CAST(SUM({_int('clicks')}) AS BIGINT) AS clicks,
- SUM({_float(costs)}) AS costs,"""
-    if installs:
-        sums += f" CAST(SUM({_int(installs)}) AS BIGINT) AS installs,"
-    sums += f" CAST(SUM({_int(impressions)}) AS BIGINT) AS impressions"
-    installs_out = "installs," if installs else ""
-    day = date if table == "facebook" else f"CAST({date} AS DATE)"
-    keys = "1, 2, 3, 4" if adset else "1, 2, 3"
-    return f"""SELECT date, campaign_name, {adset_out} platform,
- {_is_ret('campaign_name')} AS is_ret_campaign, {_is_realweb('campaign_name')} AS is_realweb,
- clicks, costs, {installs_out} impressions
-FROM (SELECT {day} AS date, {_clean(campaign)} AS campaign_name, {adset_select}
- {_platform(campaign)} AS platform, {sums}
- FROM (SELECT DISTINCT {raw} FROM raw_{table}) GROUP BY {keys})"""
+def _staged_cabinet(cabinet: Cabinet) -> str:
+    raw_columns = ", ".join(map(_name, cabinet.raw_columns))
+    keys = [f"CAST({_name(cabinet.date)} AS DATE) AS date"]
+    keys.append(f"{_clean(cabinet.campaign)} AS campaign_name")
+    if cabinet.adset:
+        keys.append(f"{_clean(cabinet.adset)} AS adset_name")
+    keys.append(f"{_platform(cabinet.campaign)} AS platform")
+    keys.append(f"{_is_ret(_clean(cabinet.campaign))} AS is_ret_campaign")
+    keys.append(f"{_is_realweb(_clean(cabinet.campaign))} AS is_realweb")
+    counts = {
+        "clicks": cabinet.clicks,
+        "installs": cabinet.installs,
+        "impressions": cabinet.impressions,
+    }
+    sums = [f"SUM({_float(_name(cabinet.costs))}) AS costs"]
+    for metric, column in counts.items():
+        if column:
+            sums.append(f"CAST(SUM({_int(_name(column))}) AS BIGINT) AS {metric}")
+    return f"""WITH d AS (SELECT DISTINCT {raw_columns} FROM {_raw(cabinet)})
+SELECT {', '.join(keys + sums)} FROM d GROUP BY ALL"""
 
 
 _TIES = ", ".join(
@@ -190,38 +176,32 @@ FROM numbered WHERE id_counter = 1"""
 
 
 def _mart() -> str:
-    parts = []
-    for table, (_, label, _, _, adset, _, installs, _) in _CABINETS.items():
-        parts.append(
-            f"""SELECT date, campaign_name, {'adset_name' if adset else 'NULL AS adset_name'},
- platform, '{label}' AS source, clicks, impressions,
- {'installs' if installs else 'CAST(NULL AS BIGINT) AS installs'}, costs
- FROM stg_{table} WHERE is_realweb AND NOT is_ret_campaign"""
-        )
+    kept = "WHERE is_realweb AND NOT is_ret_campaign"
+    reported = [cabinet.source for cabinet in CABINETS if cabinet.installs]
+    left_out = ", ".join(f"'{source}'" for source in [fixed.UNKNOWN_SOURCE, *reported])
+    parts = [f"SELECT *, '{c.source}' AS source FROM {c.model} {kept}" for c in CABINETS]
     parts.append(
-        """SELECT date, campaign_name, adset_name, platform, source, NULL, NULL, 1, NULL
- FROM stg_af_installs WHERE is_realweb AND NOT is_ret_campaign
- AND source NOT IN ('other', 'facebook', 'google_ads')"""
+        f"""SELECT date, campaign_name, adset_name, platform, source, 1 AS installs
+ FROM stg_af_installs {kept} AND source NOT IN ({left_out})"""
     )
-    stacked = " UNION ALL ".join(parts)
     return f"""SELECT date, campaign_name, adset_name, platform, source,
  CAST(SUM(clicks) AS BIGINT) AS clicks, CAST(SUM(impressions) AS BIGINT) AS impressions,
  CAST(SUM(installs) AS BIGINT) AS installs, SUM(costs) AS costs
-FROM ({stacked}) GROUP BY ALL"""
+FROM ({' UNION ALL BY NAME '.join(parts)}) GROUP BY ALL"""
 
 
 def _expressions() -> dict[str, str]:
-    parts = {f"raw_{table}": _raw_cabinet(table) for table in _CABINETS}
+    parts = {_raw(cabinet): _raw_cabinet(cabinet) for cabinet in CABINETS}
     parts["raw_af_installs"] = _RAW_INSTALLS
-    parts |= {f"stg_{table}": _staged_cabinet(table) for table in _CABINETS}
+    parts |= {cabinet.model: _staged_cabinet(cabinet) for cabinet in CABINETS}
     parts["numbered"] = _NUMBERED
     parts["stg_af_installs"] = _STAGED_INSTALLS
     parts["mart"] = _mart()
     parts["example_first"] = "SELECT 1 AS id UNION ALL SELECT NULL"
     parts["example_second"] = "SELECT * FROM example_first WHERE id = 1"
     parts["all_cabinet_campaigns"] = " UNION ALL ".join(
-        f"SELECT '{table}' AS cabinet, {spec[3]} AS campaign FROM raw_{table}"
-        for table, spec in _CABINETS.items()
+        f"SELECT '{c.table.lower()}' AS cabinet, {c.campaign} AS campaign FROM {_raw(c)}"
+        for c in CABINETS
     )
     return parts
 
@@ -291,7 +271,7 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHA
 
 def statements() -> dict[str, str]:
     """One DuckDB statement per registered query that SQL can express."""
-    selects = {f"stg_{table}": f"SELECT * FROM stg_{table}" for table in _CABINETS}
+    selects = {cabinet.model: f"SELECT * FROM {cabinet.model}" for cabinet in CABINETS}
     selects["stg_af_installs"] = "SELECT * FROM stg_af_installs"
     for key in ("mart", "mart_from_tables"):
         selects[key] = "SELECT * FROM mart"

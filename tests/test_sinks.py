@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 
 from adloom.operators.cabinets import CABINET_BY_MODEL, stage_cabinet
-from adloom.operators.installs import stage_installs
+from adloom.operators.installs import INSTALLS_SCHEMA, stage_installs
+from adloom.plans.build import MODEL_SCHEMAS
 from adloom.sources.derived import RawTables
 from adloom.sources.sinks import (
     CABINET_LAYOUT,
@@ -49,15 +50,22 @@ def test_production_writes_day_partitions_with_unknown_days(installs, tmp_path):
     folders = {p.name for p in Path(target.path("stg_af_installs")).iterdir() if p.is_dir()}
     assert "date=__HIVE_DEFAULT_PARTITION__" in folders
     assert "date=2022-05-01" in folders
-    assert rows_of(read_model(installs.sparkSession, "stg_af_installs", target).select(
-        *installs.columns
-    )) == rows_of(installs)
+    same(read_model(installs.sparkSession, "stg_af_installs", target, INSTALLS_SCHEMA), installs)
+
+
+def test_rebuild_removes_days_that_are_gone(installs, conf, tmp_path):
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    target = Target("prod", "production", str(tmp_path))
+    materialize(installs, "stg_af_installs", target, INSTALLS_LAYOUT)
+    one_day = installs.where("date = DATE'2022-05-02'")
+    same(materialize(one_day, "stg_af_installs", target, INSTALLS_LAYOUT), one_day)
 
 
 def test_catalog_table_is_replaced(spark, cabinet):
     target = Target("prod", "sink_test")
     for _ in range(2):
         same(write_table(cabinet, "stg_facebook", target, CABINET_LAYOUT), cabinet)
+    same(read_model(spark, "stg_facebook", target, MODEL_SCHEMAS["stg_facebook"]), cabinet)
     layout = spark.sql("DESCRIBE TABLE EXTENDED sink_test.stg_facebook").collect()
     assert "# Partition Information" in [row.col_name for row in layout]
     same(write_table(cabinet, "plain", target), cabinet)
