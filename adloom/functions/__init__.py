@@ -11,6 +11,7 @@ from adloom.functions.event_time import event_date, event_datetime
 from adloom.functions.text import (
     contains_any,
     extract_or_null,
+    identifier,
     literal,
     process_strings,
     trim_white_space,
@@ -21,6 +22,7 @@ __all__ = [
     "event_date",
     "event_datetime",
     "extract_or_null",
+    "identifier",
     "install_source",
     "is_realweb",
     "is_ret_campaign",

@@ -12,6 +12,11 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def identifier(name: str) -> str:
+    """A column name that may be a reserved word or hold odd characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def trim_white_space(text: str) -> str:
     """Strip all Unicode white space from both ends; plain ``trim`` strips U+0020 only."""
     return f"btrim({text}, {literal(WHITE_SPACE)})"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.fixed_values import COST_LIMIT
-from adloom.functions.text import literal
+from adloom.functions.text import identifier, literal
 
 PASS, FAIL, ERROR = "pass", "fail", "error"
 
@@ -92,14 +92,14 @@ def _value_failures(check: Check) -> str:
 
 def _row_failures(check: Check) -> str:
     condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit}"
-    return f"count_if({check.column} {condition})"
+    return f"count_if({identifier(check.column)} {condition})"
 
 
 def _one_pass(frame: DataFrame, by_value: list[Check], by_row: list[Check]) -> DataFrame:
     """One row per check; the checks by value must be about the same column."""
     row_counts = [F.expr(f"{_row_failures(check)} AS r{i}") for i, check in enumerate(by_row)]
     if by_value:
-        per_value = frame.groupBy(F.expr(f"{by_value[0].column} AS value"))
+        per_value = frame.groupBy(F.col(identifier(by_value[0].column)).alias("value"))
         counted = per_value.agg(F.expr("count(1) AS n_rows"), *row_counts).agg(
             *[F.expr(f"{_value_failures(check)} AS v{i}") for i, check in enumerate(by_value)],
             *[F.expr(f"coalesce(sum(r{i}), 0L) AS r{i}") for i in range(len(by_row))],

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 def example_first(spark: SparkSession) -> DataFrame:
     """Rows 1 and NULL; the NULL is there for the not-null check to find."""
-    one = spark.range(1).select(F.lit(1).alias("id"))
-    unknown = spark.range(1).select(F.lit(None).cast("int").alias("id"))
+    row = spark.range(0, 1, 1, 1)
+    one = row.selectExpr("1 AS id")
+    unknown = row.selectExpr("CAST(NULL AS INT) AS id")
     return one.unionByName(unknown)
 
 

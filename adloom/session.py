@@ -9,14 +9,26 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
+REQUIRED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.caseSensitive": "false",
+    "spark.sql.parser.escapedStringLiterals": "false",
+    "spark.sql.adaptive.enabled": "true",
+}
+
 # Bytes of shuffle data one task should take: fits in memory next to a sort or hash map.
 TASK_BYTES = 256 * MIB
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what results depend on: days are UTC days, bad dates and overflows raise."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.ansi.enabled", "true")
+    """Set what results and plans rely on.
+
+    Days are UTC days, bad dates and overflows raise, column names ignore case, string literals
+    have escapes.  Adaptive execution splits a hot day when a partitioned table is written.
+    """
+    for name, value in REQUIRED.items():
+        spark.conf.set(name, value)
     return spark
 
 
@@ -27,10 +39,7 @@ def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
     the small ones, so that one setting serves the raw tables and the small aggregates.
     """
     partitions = max(200, -(-shuffle_bytes // TASK_BYTES))
-    return {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
+    return REQUIRED | {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
