@@ -13,6 +13,10 @@ from adloom.sources.registry import source_table
 
 INSTALL_ID = "appsflyer_id"
 
+# Carried counts are one row per slice at most; up to this many they are broadcast, beyond it
+# they are joined like any table.
+BROADCAST_SLICES = 100_000
+
 INSTALLS_SCHEMA = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -67,8 +71,7 @@ def number_installs(raw: DataFrame) -> DataFrame:
         .selectExpr("*", "spark_partition_id() AS slice")
         .checkpoint()
     )
-    # Ranges are sorted by id first, so at most one id per slice goes on from an earlier one:
-    # the broadcast side has at most as many rows as there are shuffle partitions.
+    # Ranges are sorted by id first, so at most one id per slice goes on from an earlier one.
     earlier_slices = (
         f"OVER (PARTITION BY {INSTALL_ID} ORDER BY slice"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -76,19 +79,19 @@ def number_installs(raw: DataFrame) -> DataFrame:
     carried = (
         sliced.groupBy("slice", INSTALL_ID)
         .count()
-        .selectExpr("slice", INSTALL_ID, f"sum(count) {earlier_slices} AS earlier")
+        .selectExpr("slice", f"{INSTALL_ID} AS carried_id", f"sum(count) {earlier_slices} AS earlier")
         .where("earlier IS NOT NULL")
     )
+    if sliced.rdd.getNumPartitions() <= BROADCAST_SLICES:
+        carried = F.broadcast(carried)
     in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
-    numbered = sliced.selectExpr("*", f"{in_slice} AS in_slice").alias("numbered")
-    same_place = (
-        f"numbered.slice = carried.slice AND numbered.{INSTALL_ID} <=> carried.{INSTALL_ID}"
-    )
-    return numbered.join(
-        F.broadcast(carried).alias("carried"), F.expr(same_place), "left"
-    ).selectExpr(
-        *[f"numbered.{name}" for name in _RAW_COLUMNS],
-        "in_slice + coalesce(earlier, 0L) AS id_counter",
+    return (
+        sliced.selectExpr("*", f"{in_slice} AS in_slice")
+        .join(carried, "slice", "left")
+        .selectExpr(
+            *_RAW_COLUMNS,
+            f"in_slice + if({INSTALL_ID} <=> carried_id, coalesce(earlier, 0L), 0L) AS id_counter",
+        )
     )
 
 

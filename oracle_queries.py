@@ -297,7 +297,8 @@ def statements() -> dict[str, str]:
  WHERE costs > 5000"""
     selects["check_mart_campaign"] = "SELECT * FROM mart WHERE campaign_name IS NULL"
     selects["check_mart_platform"] = _accepted("mart")
-    selects["check_results"] = _check_results()
+    for key in ("check_results", "checks_on_tables"):
+        selects[key] = _check_results()
     selects["failed_checks"] = f"""SELECT "check", 'Failure in test ' || "check" AS message
  FROM ({_check_results()}) WHERE status = 'fail'"""
     selects["sink_view"] = "SELECT * FROM stg_tiktok"
