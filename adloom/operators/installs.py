@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from adloom.functions import event_date, event_datetime, install_source
 from adloom.functions import is_realweb, is_ret_campaign, process_strings
-from adloom.session import working_folder
+from adloom.session import most_shuffle_partitions, new_folder
 from adloom.sources.registry import source_table
 
 INSTALL_ID = "appsflyer_id"
@@ -60,17 +60,20 @@ def number_installs(raw: DataFrame) -> DataFrame:
     by id and time, so that a hot id spreads over several slices, and are numbered within the
     slice.  An id that goes on in a slice starts there after the rows of the earlier slices.
 
-    The slices are checkpointed because they are read twice and must be the same both times.
+    The slices are written to the working folder because they are read twice and must be the
+    same both times; the counts read only the id from there.
     """
-    working_folder(raw.sparkSession)
+    spark = raw.sparkSession
+    folder = new_folder(spark, "slices")
     order = [F.expr(name).asc_nulls_first() for name in _ORDER_COLUMNS]
-    sliced = (
+    (
         raw.select(*_RAW_COLUMNS)
         .distinct()
         .repartitionByRange(F.expr(INSTALL_ID).asc_nulls_first(), *order)
         .selectExpr("*", "spark_partition_id() AS slice")
-        .checkpoint()
+        .write.parquet(folder)
     )
+    sliced = spark.read.parquet(folder)
     # Ranges are sorted by id first, so at most one id per slice goes on from an earlier one.
     earlier_slices = (
         f"OVER (PARTITION BY {INSTALL_ID} ORDER BY slice"
@@ -79,10 +82,12 @@ def number_installs(raw: DataFrame) -> DataFrame:
     carried = (
         sliced.groupBy("slice", INSTALL_ID)
         .count()
-        .selectExpr("slice", f"{INSTALL_ID} AS carried_id", f"sum(count) {earlier_slices} AS earlier")
+        .selectExpr(
+            "slice", f"{INSTALL_ID} AS carried_id", f"sum(count) {earlier_slices} AS earlier"
+        )
         .where("earlier IS NOT NULL")
     )
-    if sliced.rdd.getNumPartitions() <= BROADCAST_SLICES:
+    if most_shuffle_partitions(spark) <= BROADCAST_SLICES:
         carried = F.broadcast(carried)
     in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
     return (

@@ -17,9 +17,13 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
 }
 
-# Bytes of shuffle data one task should take: fits in memory next to a sort or hash map.
+# Bytes one task should take: they fit in memory next to a sort or hash map.
 TASK_BYTES = 256 * MIB
 
+# More tasks than this on both sides of a shuffle burden the driver, which keeps a size for every
+# pair; beyond it tasks grow, and spill.
+MOST_TASKS = 50_000
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what results and plans rely on.
@@ -32,21 +36,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
-    """Settings for a session whose largest shuffle moves about ``shuffle_bytes``.
+def cluster_settings(input_bytes: int, shuffle_bytes: int | None = None) -> dict[str, str]:
+    """Settings for a session by its largest input and largest shuffle.
 
     Start with enough partitions for the largest shuffle and let adaptive execution merge
     the small ones, so that one setting serves the raw tables and the small aggregates.
     """
-    partitions = max(200, -(-shuffle_bytes // TASK_BYTES))
+    if shuffle_bytes is None:
+        shuffle_bytes = input_bytes
+    partitions = min(MOST_TASKS, max(200, -(-shuffle_bytes // TASK_BYTES)))
+    split_bytes = max(TASK_BYTES, -(-input_bytes // MOST_TASKS))
     return REQUIRED | {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
     }
 
 
+def most_shuffle_partitions(spark: SparkSession) -> int:
+    """Upper bound of the partitions a shuffle without a given number has."""
+    names = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    )
+    return max(int(value) for name in names if (value := spark.conf.get(name, None)))
+
+
 def working_folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints and tables written on the way.
 

@@ -38,7 +38,8 @@ def test_earliest_row_by_raw_text_and_null_time_first(spark):
         install("2022-05-01 9:00:00.000", "c", adset="nine"),
         install("2022-05-01 10:00:00.000", "c", adset="ten"),
     ]
-    found = {row.appsflyer_id: row.af_adset for row in first_install(raw_rows(spark, rows)).collect()}
+    first = first_install(raw_rows(spark, rows)).collect()
+    found = {row.appsflyer_id: row.af_adset for row in first}
     assert found == {"a": "early", "b": "unknown", "c": "ten"}
 
 

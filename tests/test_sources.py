@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 
 from adloom.operators.cabinets import CABINETS
-from adloom.session import cluster_settings, new_folder, prepare, working_folder
+from adloom.session import cluster_settings, most_shuffle_partitions, new_folder, prepare
+from adloom.session import working_folder
 from adloom.sources.derived import RawTables, given
 from adloom.sources.registry import SOURCES, read_source, registry_frame, source_table
 
@@ -84,6 +85,19 @@ def test_working_folder_is_the_one_the_session_names(spark):
     assert first != second and first.startswith(named)
 
 
-def test_shuffle_partitions_follow_the_data():
-    assert cluster_settings(0)["spark.sql.shuffle.partitions"] == "200"
-    assert int(cluster_settings(10 * 2**40)["spark.sql.shuffle.partitions"]) == 40960
+def test_partitions_follow_the_data_up_to_a_bound():
+    shuffle, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    assert cluster_settings(0)[shuffle] == "200"
+    assert cluster_settings(2**40)[shuffle] == "4096"
+    assert cluster_settings(2**40)[split] == str(256 * 2**20)
+    large = cluster_settings(100 * 10**12, shuffle_bytes=2**43)
+    assert int(large[shuffle]) == 32768
+    assert 100 * 10**12 / int(large[split]) <= 50_000
+    assert cluster_settings(10**15)[shuffle] == "50000"
+
+
+def test_most_shuffle_partitions(spark, conf):
+    conf("spark.sql.shuffle.partitions", "8")
+    assert most_shuffle_partitions(spark) == 8
+    conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "32")
+    assert most_shuffle_partitions(spark) == 32
