@@ -24,7 +24,7 @@ MODEL_SCHEMAS = {cabinet.model: cabinet.schema for cabinet in CABINETS} | {
 }
 
 # Models written at the same time; none of the staging models depends on another.
-WRITERS = 4
+WRITERS = 8
 
 
 def build_staging(raw: Mapping[str, DataFrame], target: Target) -> dict[str, DataFrame]:

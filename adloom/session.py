@@ -56,11 +56,9 @@ def cluster_settings(input_bytes: int, shuffle_bytes: int | None = None) -> dict
 
 def most_shuffle_partitions(spark: SparkSession) -> int:
     """Upper bound of the partitions a shuffle without a given number has."""
-    names = (
-        "spark.sql.shuffle.partitions",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-    )
-    return max(int(value) for name in names if (value := spark.conf.get(name, None)))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(partitions, int(initial or 0))
 
 
 def working_folder(spark: SparkSession) -> str:

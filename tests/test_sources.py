@@ -101,3 +101,9 @@ def test_most_shuffle_partitions(spark, conf):
     assert most_shuffle_partitions(spark) == 8
     conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "32")
     assert most_shuffle_partitions(spark) == 32
+
+
+def test_default_number_of_shuffle_partitions(spark, conf):
+    conf("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.shuffle.partitions")
+    assert most_shuffle_partitions(spark) in (8, 200)
