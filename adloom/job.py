@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adloom.operators.cabinets import CABINETS
 from adloom.operators.reports import failed_checks, read_document, write_document
 from adloom.plans.build import build_models, run_checks
-from adloom.session import prepare
+from adloom.session import cluster_settings, prepare
 from adloom.sources.registry import read_source
 from adloom.sources.sinks import Target
 
@@ -45,8 +45,12 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--raw-schema", help="catalog schema of the advertising exports")
     parser.add_argument("--folder", help="where tables go; the catalog without it")
     parser.add_argument("--document", required=True, help="path for the check results")
+    parser.add_argument("--input-gb", type=int, help="size splits and shuffles for this much")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("adloom").getOrCreate()
+    if options.input_gb:
+        for name, value in cluster_settings(options.input_gb * 10**9).items():
+            spark.conf.set(name, value)
     schemas = {"advertising": options.raw_schema} if options.raw_schema else None
     raw = read_sources(spark, options.raw_folder, schemas)
     target = Target(options.target, options.schema, options.folder)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,13 +19,14 @@ from adloom.plans.mart import MART_SCHEMA, performance_mart
 from adloom.sources.sinks import CABINET_LAYOUT, INSTALLS_LAYOUT, Layout, Target
 from adloom.sources.sinks import materialize, stored_rows, write_table
 
+logger = logging.getLogger(__name__)
 
 MODEL_SCHEMAS = {cabinet.model: cabinet.schema for cabinet in CABINETS} | {
     "stg_af_installs": INSTALLS_SCHEMA,
     "mart": MART_SCHEMA,
 }
 
-# Models written at the same time; none of the staging models depends on another.
+# Models written, or checks run, at the same time; none of them depends on another.
 WRITERS = 8
 
 
@@ -76,19 +79,22 @@ def run_checks(
     """Write the failing rows of each check to its own audit table; return one row per check.
 
     Each check runs once: its failures are counted on the written table.  A check that cannot
-    run gets the status error and the others go on.
+    run gets the status error, and the others go on.
     """
     audit = Target(target.name, f"{target.schema}_audit", target.folder)
     spark = next(iter(models.values())).sparkSession
-    rows = []
-    for check in checks:
+
+    def run_one(check: Check) -> tuple:
         try:
-            # Failures are few and scattered; rebalancing keeps them from a file per task.
+            # Failures are scattered; rebalancing keeps them from one small file per task.
             failures = failing_rows(check, models[check.model]).hint("rebalance")
-            failures = write_table(failures, check.name, audit)
-            n_failures = stored_rows(failures)
+            n_failures = stored_rows(write_table(failures, check.name, audit))
             status = FAIL if n_failures else PASS
-        except (PySparkException, KeyError):
+        except (PySparkException, Py4JJavaError, KeyError, ValueError):
+            logger.warning("check %s could not run", check.name, exc_info=True)
             n_failures, status = None, ERROR
-        rows.append((check.name, check.model, check.column, n_failures, status))
+        return check.name, check.model, check.column, n_failures, status
+
+    with ThreadPoolExecutor(WRITERS) as runners:
+        rows = list(runners.map(run_one, checks))
     return spark.createDataFrame(rows, RESULTS_SCHEMA)

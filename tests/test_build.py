@@ -63,10 +63,12 @@ def test_a_check_that_cannot_run_is_an_error_and_others_go_on(models, target):
     checks = (
         Check("unique", "mart", "no_such_column"),
         Check("unique", "no_such_model", "id"),
+        Check("no_such_kind", "mart", "platform"),
         Check("not_null", "mart", "campaign_name"),
     )
     rows = run_checks(models, target, checks).collect()
     assert [(row.n_failures, row.status) for row in rows] == [
+        (None, "error"),
         (None, "error"),
         (None, "error"),
         (0, "pass"),

@@ -94,20 +94,34 @@ def _numbered_by_hand(rows):
         yield from ((*row, place) for place, row in enumerate(ordered, start=1))
 
 
-@pytest.mark.parametrize("broadcast", [100_000, 0])
-@pytest.mark.parametrize("slices", [1, 5, 32])
-def test_numbers_equal_a_plain_count_with_a_hot_id(spark, conf, monkeypatch, slices, broadcast):
-    monkeypatch.setattr(installs, "BROADCAST_SLICES", broadcast)
-    conf("spark.sql.shuffle.partitions", str(slices))
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    chance = random.Random(slices)
+def _many_installs(seed):
+    chance = random.Random(seed)
     ids = [None] * 4 + ["hot"] * 4 + [f"id{i}" for i in range(8)]
     times = [None, *(f"2022-05-01 00:00:{i:02d}.000" for i in range(60))]
     rows = [
         install(chance.choice(times), chance.choice(ids), adset=str(chance.randrange(9)))
         for _ in range(1500)
     ]
-    rows += rows[:700]
+    return rows + rows[:700]
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+@pytest.mark.parametrize("slices", [1, 5, 32])
+def test_numbers_equal_a_plain_count_with_a_hot_id(spark, conf, monkeypatch, slices, broadcast):
+    monkeypatch.setattr(installs, "BROADCAST_SLICES", broadcast)
+    conf("spark.sql.shuffle.partitions", str(slices))
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = _many_installs(slices)
+    found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows)).collect())
+    assert found == Counter(_numbered_by_hand(rows))
+
+
+def test_numbers_hold_when_adaptive_execution_merges_slices(spark, conf):
+    conf("spark.sql.shuffle.partitions", "64")
+    conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+    rows = _many_installs(0)
     found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows)).collect())
     assert found == Counter(_numbered_by_hand(rows))
 
