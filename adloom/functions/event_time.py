@@ -12,6 +12,7 @@ from __future__ import annotations
 from adloom.functions import fixed_values as fixed
 from adloom.functions.text import extract_or_null, literal, trim_white_space
 
+_SPACES = literal(r"\s+")
 _USUAL = literal(fixed.EVENT_TIME_USUAL)
 
 
@@ -24,6 +25,6 @@ def event_date(text: str) -> str:
 def event_datetime(text: str) -> str:
     """Timestamp without time zone; milliseconds are cut off."""
     seconds = trim_white_space(extract_or_null(text, fixed.EVENT_SECOND_PATTERN))
-    single_spaced = f"regexp_replace({seconds}, {literal(r'\s+')}, ' ')"
+    single_spaced = f"regexp_replace({seconds}, {_SPACES}, ' ')"
     return f"""CASE WHEN {text} RLIKE {_USUAL} THEN CAST(left({text}, 19) AS TIMESTAMP_NTZ)
         ELSE to_timestamp_ntz({single_spaced}, {literal(fixed.SECOND_FORMAT)}) END"""
