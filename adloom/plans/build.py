@@ -54,7 +54,7 @@ def build_staging(raw: Mapping[str, DataFrame], target: Target) -> dict[str, Dat
 def build_mart(staging: Mapping[str, DataFrame], target: Target) -> DataFrame:
     """Write the mart from the written staging models."""
     cabinets = {cabinet.model: staging[cabinet.model] for cabinet in CABINETS}
-    mart = performance_mart(cabinets, staging["stg_af_installs"])
+    mart = performance_mart(cabinets, staging["stg_af_installs"], summed=True)
     return materialize(mart, "mart", target, Layout(), always_table=True)
 
 

@@ -59,15 +59,15 @@ def _install_part(installs: DataFrame) -> DataFrame:
 
 
 def performance_mart(
-    cabinets: Mapping[str, DataFrame], installs: DataFrame, summed: bool = True
+    cabinets: Mapping[str, DataFrame], installs: DataFrame, summed: bool = False
 ) -> DataFrame:
     """Clicks, impressions, installs and costs per day, campaign, ad set, platform, source.
 
     ``cabinets`` maps model names to frames with the staged columns.  Installs come from the
     cabinet where it reports them and from ``installs`` otherwise.  Stacking all parts and
     summing needs no join, keeps NULL ad sets together, and leaves a metric NULL where no part
-    has it.  Staged cabinets are summed already: those that report installs have nothing to be
-    added and skip the shuffle.  Pass ``summed=False`` for frames from ``unsummed``.
+    has it.  ``summed=True`` says that the cabinets are staged, not ``unsummed``: those that report
+    installs then have nothing to be added and skip the shuffle.
 
     Huawei reports no ad sets: its cost rows have a NULL ad set, its installs keep theirs.
     """

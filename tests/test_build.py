@@ -83,3 +83,17 @@ def test_development_build_makes_views(spark, tmp_path):
         "mart",
     ]
     assert spark.table("stg_yandex").count() == models["stg_yandex"].count()
+
+
+def test_catalog_build_and_checks(spark, models):
+    target = Target("prod", "catalog_build")
+    built = build_models(spark, RawTables(spark, SMALL), target)
+    tables = {row.tableName for row in spark.sql("SHOW TABLES IN catalog_build").collect()}
+    assert set(built) <= tables
+    assert rows_of(spark.table("catalog_build.mart").select(*built["mart"].columns)) == rows_of(
+        models["mart"]
+    )
+    results = run_checks(built, target)
+    assert rows_of(results) == rows_of(check_results(models, DECLARED_CHECKS))
+    stored = spark.table("catalog_build_audit.accepted_values_mart_platform")
+    assert stored.count() == 2

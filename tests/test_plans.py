@@ -72,7 +72,7 @@ def test_first_install_shuffles_once_after_partial_aggregation(raw, capsys):
 
 def test_mart_from_raw_has_one_shuffle_per_source_and_one_for_the_sums(raw, capsys):
     rows = {c.model: unsummed(raw[c.table.lower()], c) for c in CABINETS}
-    text = plan(performance_mart(rows, stage_installs(raw["af_installs"]), summed=False), capsys)
+    text = plan(performance_mart(rows, stage_installs(raw["af_installs"])), capsys)
     assert nodes(text, "Exchange") == len(CABINETS) + 2
     assert "Join" not in text and "Cartesian" not in text and "Python" not in text
 
@@ -84,7 +84,7 @@ def test_mart_from_staged_tables_shuffles_once_and_skips_row_groups(spark, raw,
         frame = stage_cabinet(raw[cabinet.table.lower()], cabinet)
         staged[cabinet.model] = write_table(frame, cabinet.model, target, CABINET_LAYOUT)
     installs = write_table(stage_installs(raw["af_installs"]), "installs", target)
-    mart = performance_mart(staged, installs).where("date = DATE'2022-05-03'")
+    mart = performance_mart(staged, installs, summed=True).where("date = DATE'2022-05-03'")
     text = plan(mart, capsys)
     assert nodes(text, "Exchange") == 1
     assert text.count("EqualTo(is_realweb,true)") == len(CABINETS) + 1
@@ -108,7 +108,7 @@ def test_checks_read_the_mart_once(spark, raw, capsys):
         "example_first": first,
         "example_second": example_second(first),
         "stg_af_installs": installs,
-        "mart": performance_mart(rows, installs, summed=False),
+        "mart": performance_mart(rows, installs),
     }
     text = plan(check_results(models, DECLARED_CHECKS), capsys)
     assert text.count("/yandex]") == 1
