@@ -8,8 +8,9 @@ import __spark_entry__ as entry_points
 from compare import connect, duckdb_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+STATEMENTS = entry_points.oracle_queries.statements()
+EXTRA = set(entry_points.llm.queries()) if entry_points.llm else set()
+QUERIES = {k: v for k, v in entry_points.queries().items() if k not in EXTRA}
 
 
 @pytest.fixture(scope="module")
