@@ -1,10 +1,11 @@
 """Quality rules per document and per host, with DataFrame functions only.
 
 Each document is measured in one pass over its whole text.  It fails outright with too few words or
-mostly repeated ones.  The other rules are soft: alone they say little, so the host decides.  A
-host's failure rate is shrunk towards the rate of all hosts with a beta prior whose strength is
-fitted to the hosts' own spread; on a host whose shrunk rate exceeds the limit, a document that
-breaks a soft rule is rejected.  A document that breaks no rule stays, whatever its host.
+mostly repeated ones.  The other rules are soft: good tables or code break them too, so the host
+decides.  A host's failure rate is shrunk towards the rate of all hosts with a beta prior whose
+strength is fitted to the hosts' own spread.  On a host whose shrunk rate exceeds the limit, a
+document that breaks a soft rule is rejected; on a nearly spotless host it is kept.  A document
+that breaks no rule stays, whatever its host.
 
 The host of a document is its source.  Defined cases: a null text has no words and fails; a null
 host is a host of its own; an empty table gives an empty result; repeated rows count as rows.
@@ -31,11 +32,12 @@ class QualityRules:
     most_repeated: int = 50
     # Soft rules, as percentages of words, lines or characters per word.
     most_symbols: int = 10
-    most_dup_lines: int = 30
+    most_dup_lines: int = 50
+    few_dup_lines: int = 3
     least_word_chars: int = 200
     most_word_chars: int = 1200
-    # A host with a larger shrunk failure rate has its soft failures rejected.
-    host_limit: float = 0.25
+    # Where fewer of a host's documents fail than this, a soft failure is taken for an exception.
+    host_limit: float = 0.05
     # Bounds of the prior's strength in documents.
     weakest: float = 1.0
     strongest: float = 1e6
@@ -99,7 +101,8 @@ def base_failed(rules: QualityRules) -> str:
 
 def soft_failed(rules: QualityRules) -> str:
     return f"""(100 * n_symbols > {rules.most_symbols} * n_words
-        OR 100 * n_dup_lines > {rules.most_dup_lines} * n_lines
+        OR (100 * n_dup_lines > {rules.most_dup_lines} * n_lines
+            AND n_dup_lines > {rules.few_dup_lines})
         OR 100 * word_chars < {rules.least_word_chars} * n_words
         OR 100 * word_chars > {rules.most_word_chars} * n_words)"""
 

@@ -60,7 +60,7 @@ measured AS (
   FROM numbered LEFT JOIN covered USING (rid)),
 flagged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+    100 * n_symbols > 10 * n_words OR (100 * n_dup_lines > 50 * n_lines AND n_dup_lines > 3)
     OR 100 * word_chars < 200 * n_words OR 100 * word_chars > 1200 * n_words AS soft
   FROM measured),
 hosts AS (
@@ -75,7 +75,7 @@ prior AS (
     CASE WHEN variance > 0 THEN mean * (1 - mean) / variance - 1 ELSE 1e6 END)) AS strength
   FROM spread),
 verdicts AS (
-  SELECT host, (f + mean * strength) / (n + strength) > 0.25 AS bad_host FROM hosts, prior)
+  SELECT host, (f + mean * strength) / (n + strength) > 0.05 AS bad_host FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (soft AND bad_host) AS kept
 FROM flagged JOIN verdicts USING (host)
