@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,17 @@ BATCH_ROWS = 2000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's settings, and small Arrow batches because texts can be long."""
+    """The library's settings, and small Arrow batches because texts can be long.
+
+    Python workers on this machine find the package where the driver did; a cluster gets it with
+    ``--py-files`` or has it installed.
+    """
     session.prepare(spark)
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
@@ -80,3 +91,10 @@ def distinct_words(flat: pa.Array) -> tuple[np.ndarray, list[bytes]]:
     """The place of each word in the list of different words, and that list."""
     coded = flat.dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary()).to_pylist()
+
+
+def vocabulary_path(name: str) -> str:
+    """Where the driver finds a public vocabulary; its content is what is sent to the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import mixing, quality, statements
+from adloom.llm import lm_score, mixing, packing, quality, statements
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), packing.PackRule.from_file())
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -20,10 +24,18 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_documents(
+        table(spark, folder, "documents"), lm_score.LatticeRule.from_file()
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op5_packing": op5_packing,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
+        "op10_lm_score": op10_lm_score,
     }
 
 
