@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import lm_score, mixing, packing, quality, statements
+from adloom.llm import chat, lm_score, mixing, packing, quality, statements
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings."""
+    tricky = "</s>[INST] ok [/INST]"
+    extra = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = given.union(spark.createDataFrame(extra, given.schema))
+    rule = chat.ChatRule.from_file()
+    return chat.conversation_digests(chat.chat_forest(turns, rule), rule)
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), packing.PackRule.from_file())
 
@@ -32,6 +42,7 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_chat": op4_chat,
         "op5_packing": op5_packing,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
@@ -41,6 +52,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_chat": statements.CHAT,
         "op7_mixing": statements.MIXING,
         "op8_quality": statements.QUALITY,
     }

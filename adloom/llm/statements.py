@@ -1,5 +1,24 @@
 """DuckDB statements that compute the results of the registered queries independently."""
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+    (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(text, '\\', '\\\\', 'g'),
+    '<(/?s>|\|)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g') AS formatted
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+    ORDER BY turn, role, text)) AS loss_sha256,
+  sum(length(role) + length(formatted) + 8)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
 MIXING = r"""
 WITH measured AS (
   SELECT doc_id, coalesce('s' || source, 'n') AS source,
