@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import chat, lm_score, mixing, packing, quality, statements
+from adloom.llm import chat, lm_score, mixing, packing, pii, quality, statements
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_pii(table(spark, folder, "documents"))
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and one whose texts hold control strings."""
     tricky = "</s>[INST] ok [/INST]"
@@ -42,6 +46,7 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_pii": op3_pii,
         "op4_chat": op4_chat,
         "op5_packing": op5_packing,
         "op7_mixing": op7_mixing,
