@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import chat, lm_score, mixing, packing, pii, quality, statements
+from adloom.llm import chat, jaccard, lm_score, mixing, packing, pii, quality, statements
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_pii(table(spark, folder, "documents"))
 
@@ -46,6 +50,7 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_jaccard": op2_jaccard,
         "op3_pii": op3_pii,
         "op4_chat": op4_chat,
         "op5_packing": op5_packing,
@@ -57,6 +62,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_jaccard": statements.JACCARD,
         "op4_chat": statements.CHAT,
         "op7_mixing": statements.MIXING,
         "op8_quality": statements.QUALITY,

@@ -1,5 +1,32 @@
 """DuckDB statements that compute the results of the registered queries independently."""
 
+JACCARD = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN words ELSE words[i:i + 3] END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 3) + 1)) AS i
+    FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+sized AS (SELECT s.doc_id, hash(shingle) AS shingle, n FROM shingles s JOIN sizes USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+steps AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM sizes
+  UNION SELECT r.node, s.b FROM reached r JOIN steps s ON r.other = s.a),
+found AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, t.doc_id)
+  AS component_id
+FROM texts t LEFT JOIN sizes z ON t.doc_id = z.doc_id LEFT JOIN found f ON t.doc_id = f.node
+"""
+
 CHAT = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
