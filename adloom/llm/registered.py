@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import chat, jaccard, lm_score, mixing, packing, pii, quality, statements
+from adloom.llm import caps, chat, jaccard, lm_score, mixing, packing, pii, quality, statements
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents"))
 
@@ -50,6 +54,7 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_caps": op1_caps,
         "op2_jaccard": op2_jaccard,
         "op3_pii": op3_pii,
         "op4_chat": op4_chat,
@@ -62,6 +67,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_caps": statements.CAPS,
         "op2_jaccard": statements.JACCARD,
         "op4_chat": statements.CHAT,
         "op7_mixing": statements.MIXING,

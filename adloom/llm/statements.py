@@ -1,5 +1,27 @@
 """DuckDB statements that compute the results of the registered queries independently."""
 
+CAPS = r"""
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT vec_id AS node, vec_id AS other FROM valid
+  UNION SELECT r.node, s.b FROM reached r JOIN steps s ON r.other = s.a),
+found AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM steps GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links,
+  coalesce(component_id, vec_id) AS component_id,
+  coalesce(vec_id = coalesce(component_id, vec_id), false) AS kept
+FROM embeddings LEFT JOIN found ON vec_id = node LEFT JOIN counts ON vec_id = a
+"""
+
 JACCARD = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
