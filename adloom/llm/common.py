@@ -77,10 +77,10 @@ def words(texts: pa.Array, lower: bool) -> tuple[np.ndarray, pa.Array]:
 
     Words are split at ASCII white space; ``lower`` lower-cases A-Z.  A null text has no words.
     """
-    texts = texts.cast(pa.large_string())
+    # Trimming makes a new array; lower-casing a slice of one gives wrong texts in some versions.
+    texts = pc.ascii_trim_whitespace(texts.cast(pa.large_string()))
     if lower:
         texts = pc.ascii_lower(texts)
-    texts = pc.ascii_trim_whitespace(texts)
     texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), None, texts)
     lists = pc.ascii_split_whitespace(texts)
     bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0))))

@@ -32,10 +32,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adloom.llm.common import column, distinct_words, saved, words
+from adloom.llm.common import column, distinct_words, fresh, saved, words
 from adloom.llm.components import components
 
 # Buckets of the counting sketch: 2 ** 20 counters of 8 bytes, whatever the input.
@@ -370,3 +370,34 @@ def similar_documents(
     return result.select(
         F.col("doc_id").alias(doc_id), F.col("size").alias("n_shingles"), "component_id"
     )
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    rule: JaccardRule = JaccardRule(),
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The documents without the near duplicates, with all their columns.
+
+    Of a group the document with the least id stays; of rows with one id, the first by text.  Rows
+    without an id stay.
+    """
+    found = saved(similar_documents(docs, rule, doc_id, text), "jaccard-documents")
+    dropped = (
+        found.where(column(doc_id) != F.col("component_id"))
+        .select(column(doc_id).alias(fresh(docs.columns, "dropped_id")))
+        .distinct()
+    )
+    name = dropped.columns[0]
+    place = fresh(docs.columns, "place")
+    kept = docs.join(dropped, column(doc_id).cast("bigint") == F.col(name), "left_anti")
+    first = Window.partitionBy(column(doc_id)).orderBy(column(text))
+    repeated = found.groupBy(column(doc_id)).count().where("count > 1").limit(1).count()
+    if not repeated:
+        return kept
+    return (
+        kept.withColumn(place, F.row_number().over(first))
+        .where((F.col(place) == 1) | column(doc_id).isNull())
+        .drop(place)
+    )
