@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.llm import caps, chat, jaccard, lm_score, mixing, packing, pii, quality, statements
+import corpus_pipeline
+from adloom.llm import (
+    caps,
+    chat,
+    jaccard,
+    language,
+    lm_score,
+    mixing,
+    packing,
+    pii,
+    quality,
+    sharding,
+    statements,
+)
 from adloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +51,14 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), packing.PackRule.from_file())
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document among 64."""
+    shards = [f"shard-{k:02d}" for k in range(64)]
+    return sharding.place_documents(
+        table(spark, folder, "documents").select("doc_id"), shards
+    )
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -46,6 +67,12 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(
+        table(spark, folder, "pages"), table(spark, folder, "documents")
+    )
+
+
 def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score_documents(
         table(spark, folder, "documents"), lm_score.LatticeRule.from_file()
@@ -59,9 +86,12 @@ def queries() -> dict[str, Query]:
         "op3_pii": op3_pii,
         "op4_chat": op4_chat,
         "op5_packing": op5_packing,
+        "op6_sharding": op6_sharding,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
+        "op9_language": op9_language,
         "op10_lm_score": op10_lm_score,
+        "pipeline": corpus_pipeline.run,
     }
 
 
