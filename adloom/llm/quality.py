@@ -186,8 +186,12 @@ def good_documents(
         column(text).alias("text"),
         F.coalesce(F.concat(F.lit("s"), column(host)), F.lit("n")).alias("host"),
     )
+    # The generator keeps filters on the flags from being pushed into the measures' expressions,
+    # which they would repeat many times over.
     flagged = measured(packed, "text").selectExpr(
-        row, "host", f"{base_failed(rules)} AS base_failed", f"{soft_failed(rules)} AS soft"
+        row,
+        "host",
+        f"inline(array(struct({base_failed(rules)} AS base_failed, {soft_failed(rules)} AS soft)))",
     )
     verdicts = saved(
         host_verdicts(flagged.selectExpr("host", "base_failed OR soft AS failed"), rules),
