@@ -14,12 +14,14 @@ packed each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +30,10 @@ from tokenizers import Tokenizer
 
 from adloom.llm.common import column, distinct_words, saved, vocabulary_path, words
 
-# Words that a worker remembers with their ids, and the longest such word in bytes.
-MEMO_WORDS = 800_000
+# Words of which a worker remembers the ids, twice at most, and the longest such word in bytes.
+MEMO_WORDS = 500_000
 MEMO_BYTES = 64
 
-_memo: dict[bytes, bytes] = {}
-_memo_of: list[str] = []
-
 
 @dataclass(frozen=True)
 class PackRule:
@@ -50,36 +49,83 @@ class PackRule:
             return PackRule(file.read(), **other)
 
 
-def word_ids(tokenizer: Tokenizer, vocabulary: str, found: list[bytes]) -> list[bytes]:
-    """The ids of each word as little-endian bytes, from memory where it was seen before.
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the tokenizer, which normalizes and lower-cases, sees a letter at the end."""
+    if word.isascii():
+        return word[-1:].isalpha()
+    return unicodedata.normalize("NFC", word.decode()).lower()[-1:].isalpha()
+
+
+class WordIds:
+    """The ids of words, remembered from batch to batch.
+
+    The tokenizer splits at white space, between a letter and a comma or full stop, and drops the
+    white space; so the ids of a text are those of its words in a row, and those of a word with a
+    comma are its own and the comma's.  Two dictionaries take turns: when the young one is full it
+    becomes the old one, and words still in use move on.
+    """
+
+    def __init__(self, vocabulary: str) -> None:
+        self.vocabulary = vocabulary
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.marks = {mark: self._plain(mark) for mark in (b",", b".")}
+
+    def _plain(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _known(self, word: bytes) -> bytes | None:
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is not None:
+                self.young[word] = ids
+        return ids
+
+    def of(self, found: list[bytes]) -> list[bytes]:
+        """The ids of each word as little-endian bytes."""
+        if len(self.young) > MEMO_WORDS:
+            self.old, self.young = self.young, {}
+        ids = [self._known(word) for word in found]
+        missing = [k for k, known in enumerate(ids) if known is None]
+        cores, marks = {}, []
+        for k in missing:
+            word, mark = found[k], found[k][-1:]
+            split = mark in self.marks and _ends_in_letter(word[:-1])
+            core = word[:-1] if split else word
+            marks.append((core, mark if split else b""))
+            if core not in cores:
+                cores[core] = self._known(core)
+        new = [core for core, known in cores.items() if known is None]
+        cores.update((core, self._plain(core)) for core in new)
+        self.young.update((core, cores[core]) for core in new if len(core) <= MEMO_BYTES)
+        for k, (core, mark) in zip(missing, marks):
+            ids[k] = cores[core] + self.marks[mark] if mark else cores[core]
+        return ids
+
+
+_word_ids: list[WordIds] = []
+
+
+def word_ids(vocabulary: str) -> WordIds:
+    """The worker's memory for this vocabulary."""
+    if not _word_ids or _word_ids[0].vocabulary != vocabulary:
+        _word_ids[:] = [WordIds(vocabulary)]
+    return _word_ids[0]
+
+
+def text_ids(memory: WordIds, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch of texts in a row, and where each text's ids begin and end.
 
-    The tokenizer drops white space and joins nothing across it, so the ids of a text are those of
-    its words in a row.
+    The tokenizer lower-cases anyway; doing so for A-Z first leaves fewer different words.  Only
+    its special tokens are matched before that, so a batch that may hold one is left as it is.
     """
-    if _memo_of != [vocabulary]:
-        _memo.clear()
-        _memo_of[:] = [vocabulary]
-    if len(_memo) > MEMO_WORDS:
-        _memo.clear()
-    ids = []
-    for word in found:
-        known = _memo.get(word)
-        if known is None:
-            encoded = tokenizer.encode(word.decode(), add_special_tokens=False)
-            known = np.array(encoded.ids, dtype="<u4").tobytes()
-            if len(word) <= MEMO_BYTES:
-                _memo[word] = known
-        ids.append(known)
-    return ids
-
-
-def text_ids(
-    tokenizer: Tokenizer, vocabulary: str, texts: pa.Array
-) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of a batch of texts in a row, and where each text's ids begin and end."""
-    bounds, flat = words(texts, lower=False)
+    special = pc.any(pc.match_substring(texts, "<|")).as_py()
+    bounds, flat = words(texts, lower=not special)
     places, found = distinct_words(flat)
-    ids = word_ids(tokenizer, vocabulary, found)
+    ids = memory.of(found)
     pool = np.frombuffer(b"".join(ids), dtype="<u4")
     lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
     starts = np.cumsum(lengths) - lengths
@@ -96,13 +142,12 @@ def pieces(docs: DataFrame, rule: PackRule, doc_id: str, text: str, with_ids: bo
     capacity, end_id = rule.capacity, rule.end_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        tokenizer = Tokenizer.from_str(vocabulary)
+        memory = word_ids(shared.value)
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            ids, bounds = text_ids(tokenizer, vocabulary, batch.column("text"))
+            ids, bounds = text_ids(memory, batch.column("text"))
             rows: list[tuple[int, int, int, int, int]] = []
             held: list[np.ndarray] = []
             for row, (first, last) in enumerate(zip(bounds[:-1], bounds[1:])):
