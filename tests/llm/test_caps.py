@@ -1,0 +1,109 @@
+"""Near vectors against all pairs."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from adloom.llm import caps
+
+
+def least_reachable(nodes, links) -> dict:
+    parent = {node: node for node in nodes}
+
+    def find(node):
+        while parent[node] != node:
+            node = parent[node]
+        return node
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {node: find(node) for node in nodes}
+
+
+def brute(rows) -> Counter:
+    units = []
+    for vec_id, vector, label in rows:
+        fine = vec_id is not None and label is not None and vector and None not in vector
+        if fine and np.isfinite(vector).all() and np.any(vector):
+            array = np.array(vector, np.float64) / np.abs(vector).max()
+            units.append((label, array / np.linalg.norm(array)))
+        else:
+            units.append(None)
+    links, counts = [], Counter()
+    for a, x in enumerate(units):
+        for b, y in enumerate(units[:a]):
+            if x and y and x[0] == y[0] and len(x[1]) == len(y[1]) and x[1] @ y[1] >= 0.98:
+                links.append((rows[a][0], rows[b][0]))
+                counts[a] += 1
+                counts[b] += 1
+    ids = {r[0] for r in rows if r[0] is not None}
+    least = least_reachable(ids, links)
+    return Counter(
+        (r[0], counts[k], least.get(r[0]), r[0] is not None and least[r[0]] == r[0])
+        for k, r in enumerate(rows)
+    )
+
+
+def vectors(seed: int, dimension: int = 24) -> list[tuple]:
+    chance = np.random.default_rng(seed)
+    rows = []
+    for label in (1, 2, None):
+        for _ in range(40):
+            centre = chance.normal(size=dimension)
+            for _ in range(random.Random(len(rows)).choice([1, 1, 1, 4])):
+                noise = chance.normal(size=dimension) * chance.choice([0.0, 0.05, 0.15, 0.25])
+                rows.append(((centre + noise).tolist(), label))
+    centre = chance.normal(size=dimension)
+    rows += [((centre + chance.normal(size=dimension) * 0.1).tolist(), 2) for _ in range(150)]
+    rows += [(centre.tolist(), 2)] * 30 + [((centre * 1e3).tolist(), 2), (centre.tolist(), 1)]
+    odd = [None, [], [0.0] * dimension, [float("nan")] * dimension, [None] + [1.0] * (dimension - 1),
+           [float("inf")] + [1.0] * (dimension - 1), centre[:5].tolist(), centre[:5].tolist()]
+    rows += [(vector, 2) for vector in odd]
+    random.Random(seed).shuffle(rows)
+    return [(k, vector, label) for k, (vector, label) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_links_equal_all_pairs(spark, kind):
+    rows = vectors(3)
+    if kind == "float":
+        rows = [(k, v and [x if x is None else float(np.float32(x)) for x in v], c) for k, v, c in rows]
+    rows += [(None, rows[0][1], 2)]
+    frame = spark.createDataFrame(
+        [(k, v, c, "x") for k, v, c in rows],
+        f"vec_id bigint, embedding array<{kind}>, label int, node string",
+    )
+    small = caps.CapRule(homes=16, lookers=32, per_filter=2)
+    for rule in (caps.CapRule(), small):
+        found = caps.near_vectors(frame, rule).collect()
+        got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in found)
+        assert got == brute(rows)
+
+
+def test_list_decoding_finds_the_filters_of_near_vectors():
+    """Pairs at the limiting angle: a looks under the filter that b lives under."""
+    chance = np.random.default_rng(1)
+    a = chance.normal(size=(4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    other = chance.normal(size=a.shape)
+    other -= (other * a).sum(axis=1, keepdims=True) * a
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * other
+    for bits in (0, 6, 10, 14):
+        code = caps.product_code(64, bits, caps.CapRule())
+        rows, filters = code.listed(a)
+        listed = set(zip(rows.tolist(), filters.tolist()))
+        assert len(listed) == len(rows)
+        assert all((k, home) in listed for k, home in enumerate(code.best(b).tolist()))
+        assert all((k, home) in listed for k, home in enumerate(code.best(a).tolist()))
+    assert len(rows) < 0.1 * len(a) * 2**14
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    assert caps.near_vectors(frame).collect() == []

@@ -1,0 +1,106 @@
+"""Mixing against a plain version that sorts every source."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from adloom.llm import mixing
+
+
+def key(doc_id) -> int:
+    text = "mix:" + ("" if doc_id is None else str(doc_id))
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
+def goals(sizes: dict, weights=(3, 1, 2)) -> dict:
+    """Targets by sharing out again and again what goes beyond a limit."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % 3] for k, s in enumerate(order)}
+    left, free, goal = 1.5 * sum(sizes.values()), set(order), {}
+    while free:
+        unit = left / sum(weight[s] for s in free)
+        over = {s for s in free if unit * weight[s] > 2 * sizes[s]}
+        if not over:
+            return goal | {s: unit * weight[s] for s in free}
+        for s in over:
+            goal[s] = 2.0 * sizes[s]
+            left -= goal[s]
+        free -= over
+    return goal
+
+
+def documents(n: int = 900) -> list[tuple]:
+    rows = []
+    for k in range(n):
+        source = "hot" if k % 3 == 0 else (None if k % 17 == 0 else f"s{k % 7}")
+        rows.append((k, "w " * (1 + k * 13 % 40), source))
+    return rows + [(n, None, "hot"), (n + 1, "", "s1"), (n + 2, "a b c", "lone"), (None, "x y", "s2")]
+
+
+@pytest.mark.parametrize("range_rows", [4, 256, 10**6])
+def test_mix_equals_sorting_each_source(spark, range_rows):
+    rows = documents()
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    rule = mixing.MixRule(range_rows=range_rows)
+    found = {r.doc_id: r for r in mixing.mix_sources(frame, rule).collect()}
+    sizes, own = defaultdict(int), defaultdict(list)
+    for doc_id, text, source in rows:
+        n = len((text or "").split())
+        sizes[source] += n
+        own[source].append((key(doc_id), doc_id is not None, doc_id, n))
+    expected = goals(sizes)
+    for source, docs in own.items():
+        budget = int(expected[source] + 0.5)
+        epochs = budget // sizes[source] if sizes[source] else 0
+        rest = budget - epochs * sizes[source]
+        for _, _, doc_id, n in sorted(docs):
+            row = found[doc_id]
+            taken = min(n, rest)
+            rest -= taken
+            assert (row.size, row.source_size) == (n, sizes[source])
+            assert row.target == pytest.approx(expected[source])
+            assert row.taken == epochs * n + taken
+    assert len(found) == len(rows)
+
+
+def test_mixed_documents_hold_what_the_mix_takes(spark):
+    rows = [(k, t, s, "kept", k) for k, t, s in documents(300)]
+    frame = spark.createDataFrame(
+        rows, "doc_id bigint, text string, source string, size string, epochs bigint"
+    )
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(frame).collect()}
+    out = mixing.mixed_documents(frame)
+    assert out.columns == frame.columns
+    words = Counter()
+    texts = {r[0]: r[1] for r in rows}
+    for row in out.collect():
+        words[row.doc_id] += len((row.text or "").split())
+        assert row.size == "kept" and row.epochs == (row.doc_id if row.doc_id is not None else None
+                                                     ) or row.doc_id is None
+        assert (texts[row.doc_id] or "").startswith(row.text or "")
+    assert {k: n for k, n in words.items() if n} == {k: n for k, n in taken.items() if n}
+
+
+def test_repeated_rows_and_long_text(spark):
+    long = "word " * 50_000
+    rows = [(1, "a b c", "s")] * 4 + [(2, long, "t"), (3, "a", "t")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix_sources(frame).collect()
+    assert len(found) == 6
+    assert all(0 <= r.taken <= 2 * r.size for r in found)
+    assert len({(r.taken) for r in found if r.doc_id == 1}) == 1
+    cut = mixing.mixed_documents(frame).where("doc_id = 2").collect()
+    total = sum(r.taken for r in found if r.doc_id == 2)
+    assert sum(len(r.text.split()) for r in cut) == total
+
+
+def test_empty_table_and_texts_without_words(spark):
+    empty = spark.createDataFrame([], "doc_id bigint, text string, source string")
+    assert mixing.mix_sources(empty).collect() == []
+    assert mixing.mixed_documents(empty).collect() == []
+    blank = spark.createDataFrame([(1, " ", "s")], "doc_id bigint, text string, source string")
+    row = mixing.mix_sources(blank).first()
+    assert (row.size, row.target, row.taken) == (0, 0.0, 0)
