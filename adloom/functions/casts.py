@@ -12,7 +12,8 @@ from adloom.functions.text import literal
 
 _DECIMAL_INT = literal(r"^\s*[+-]?\d+\s*\z")
 _HEX_INT = literal(r"^\s*([+-]?)0[xX]0*([0-9a-fA-F]{1,16})\s*\z")
-_FLOAT = literal(r"(?i)^\s*[+-]?(inf(inity)?|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*\z")
+_FLOAT = literal(r"(?i)^\s*[+-]?(inf(inity)?|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*\z")
+_NAN = literal(r"(?i)^\s*[+-]?nan\s*\z")
 
 
 def safe_int(value: str, dtype: T.DataType) -> str:
@@ -32,9 +33,13 @@ def safe_int(value: str, dtype: T.DataType) -> str:
 
 
 def safe_float(value: str, dtype: T.DataType) -> str:
-    """Cast to a double, or NULL; Java-only spellings such as 1.0d or 0x1p3 are refused."""
+    """Cast to a double, or NULL; Java-only spellings such as 1.0d or 0x1p3 are refused.
+
+    Not-a-number may have a sign, which means nothing.
+    """
     if isinstance(dtype, T.StringType):
-        return f"CASE WHEN {value} RLIKE {_FLOAT} THEN try_cast({value} AS DOUBLE) END"
+        return f"""CASE WHEN {value} RLIKE {_FLOAT} THEN try_cast({value} AS DOUBLE)
+            WHEN {value} RLIKE {_NAN} THEN double('NaN') END"""
     if isinstance(dtype, T.NumericType):
         return f"CAST({value} AS DOUBLE)"
     raise TypeError(f"cannot cast {dtype.simpleString()} to a float")

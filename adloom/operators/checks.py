@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import hashlib
+import re
+from collections import Counter
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,8 +32,8 @@ RESULTS_SCHEMA = T.StructType(
 def unique(frame: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; NULLs are not compared."""
     return (
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("unique_field"))
+        frame.where(F.col(identifier(column)).isNotNull())
+        .groupBy(F.col(identifier(column)).alias("unique_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
         .where(F.col("n_records") > 1)
     )
@@ -38,26 +41,31 @@ def unique(frame: DataFrame, column: str) -> DataFrame:
 
 def not_null(frame: DataFrame, column: str) -> DataFrame:
     """Whole rows without a value."""
-    return frame.where(F.col(column).isNull())
+    return frame.where(F.col(identifier(column)).isNull())
 
 
 def accepted_values(frame: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
     """Values outside the list with their row counts; NULL is let through."""
     return (
-        frame.where(~F.col(column).isin(*values))
-        .groupBy(F.col(column).alias("value_field"))
+        frame.where(~F.col(identifier(column)).isin(*values))
+        .groupBy(F.col(identifier(column)).alias("value_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
 
 
 def exceed_costs_limit(frame: DataFrame, column: str, limit: float = COST_LIMIT) -> DataFrame:
     """Values above the limit; NULL is let through."""
-    return frame.select(F.col(column).alias("limit_field")).where(F.col("limit_field") > limit)
+    own = F.col(identifier(column)).alias("limit_field")
+    return frame.select(own).where(F.col("limit_field") > limit)
 
 
 @dataclass(frozen=True)
 class Check:
-    """A check attached to a column of a model."""
+    """A check attached to a column of a model.
+
+    The name tells checks of one kind on one column apart by their values or limit; those that
+    would not do in a table name are replaced by a digest.
+    """
 
     kind: str
     model: str
@@ -67,45 +75,92 @@ class Check:
 
     @property
     def name(self) -> str:
-        return f"{self.kind}_{self.model}_{self.column}"
+        parameters: list[str] = []
+        if self.kind == "accepted_values":
+            parameters = [str(value) for value in self.values]
+        elif self.kind == "exceed_costs_limit" and self.limit != COST_LIMIT:
+            parameters = [f"{self.limit:g}"]
+        plain = all(re.fullmatch("[a-z0-9]+(_[a-z0-9]+)*", part) for part in parameters)
+        if not plain or sum(map(len, parameters)) > 60:
+            parameters = [hashlib.md5(repr(parameters).encode()).hexdigest()[:12]]
+        return "__".join([f"{self.kind}_{self.model}_{self.column}", *parameters])
+
+
+KINDS = ("unique", "not_null", "accepted_values", "exceed_costs_limit")
+
+
+def validated(checks: Iterable[Check]) -> list[Check]:
+    """The checks as a list; raises for what no engine could run or tell apart."""
+    found = list(checks)
+    for check in found:
+        if check.kind not in KINDS:
+            raise ValueError(f"unknown check {check.kind}")
+        if check.kind == "accepted_values" and not check.values:
+            raise ValueError(f"check {check.name} has no accepted values")
+    names = Counter(check.name.lower() for check in found)
+    if twice := sorted(name for name, n in names.items() if n > 1):
+        raise ValueError(f"checks declared twice: {', '.join(twice)}")
+    return found
 
 
 def failing_rows(check: Check, frame: DataFrame) -> DataFrame:
     """The rows that one check reports."""
+    [check] = validated([check])
     if check.kind == "unique":
         return unique(frame, check.column)
     if check.kind == "not_null":
         return not_null(frame, check.column)
     if check.kind == "accepted_values":
         return accepted_values(frame, check.column, check.values)
-    if check.kind == "exceed_costs_limit":
-        return exceed_costs_limit(frame, check.column, check.limit)
-    raise ValueError(f"unknown check {check.kind}")
+    return exceed_costs_limit(frame, check.column, check.limit)
 
 
-def _value_failures(check: Check) -> str:
-    """Failing values of a check, counted on one row per value of the column."""
+def _value_failures(check: Check, place: int) -> str:
+    """Failing values of a check, counted on one row per column and value."""
     if check.kind == "unique":
-        return "count_if(value IS NOT NULL AND n_rows > 1)"
-    return f"count_if(value NOT IN ({', '.join(map(literal, check.values))}))"
+        return f"count_if(place = {place} AND value IS NOT NULL AND n_rows > 1)"
+    accepted = ", ".join(map(literal, check.values))
+    return f"count_if(place = {place} AND value NOT IN ({accepted}))"
 
 
-def _row_failures(check: Check) -> str:
-    condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit}"
-    return f"count_if({identifier(check.column)} {condition})"
+def _row_condition(check: Check) -> str:
+    condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit!r}D"
+    return f"{identifier(check.column)} {condition}"
 
 
 def _one_pass(frame: DataFrame, by_value: list[Check], by_row: list[Check]) -> DataFrame:
-    """One row per check; the checks by value must be about the same column."""
-    row_counts = [F.expr(f"{_row_failures(check)} AS r{i}") for i, check in enumerate(by_row)]
-    if by_value:
-        per_value = frame.groupBy(F.col(identifier(by_value[0].column)).alias("value"))
-        counted = per_value.agg(F.expr("count(1) AS n_rows"), *row_counts).agg(
-            *[F.expr(f"{_value_failures(check)} AS v{i}") for i, check in enumerate(by_value)],
-            *[F.expr(f"coalesce(sum(r{i}), 0L) AS r{i}") for i in range(len(by_row))],
+    """One row per check of a model, from one pass over its rows.
+
+    Columns with checks by value become pairs of the column's place and the value as text, which
+    one aggregate counts; it combines on the map side, so a frequent value makes no large task.
+    Checks by row are counted along with the first column's pairs.
+    """
+    columns = list(dict.fromkeys(check.column for check in by_value))
+    if columns:
+        pairs = ", ".join(
+            f"struct({place} AS place, CAST({identifier(column)} AS STRING) AS value)"
+            for place, column in enumerate(columns)
+        )
+        conditions = [f"{_row_condition(check)} AS c{i}" for i, check in enumerate(by_row)]
+        counted = (
+            frame.selectExpr(*conditions, f"inline(array({pairs}))")
+            .groupBy("place", "value")
+            .agg(
+                F.expr("count(1) AS n_rows"),
+                *[F.expr(f"count_if(place = 0 AND c{i}) AS r{i}") for i in range(len(by_row))],
+            )
+            .agg(
+                *[
+                    F.expr(f"{_value_failures(check, columns.index(check.column))} AS v{i}")
+                    for i, check in enumerate(by_value)
+                ],
+                *[F.expr(f"coalesce(sum(r{i}), 0L) AS r{i}") for i in range(len(by_row))],
+            )
         )
     else:
-        counted = frame.agg(*row_counts)
+        counted = frame.agg(
+            *[F.expr(f"count_if({_row_condition(c)}) AS r{i}") for i, c in enumerate(by_row)]
+        )
     counts = {f"v{i}": check for i, check in enumerate(by_value)}
     counts |= {f"r{i}": check for i, check in enumerate(by_row)}
     rows = ", ".join(
@@ -120,23 +175,17 @@ def _one_pass(frame: DataFrame, by_value: list[Check], by_row: list[Check]) -> D
 def check_results(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: how many rows it reports, and whether it passes.
 
-    A model is read once per column with checks by value; its checks by row ride along with the
-    first of these.  Counts combine on the map side, so a frequent value makes no large task.
+    Every model is read once, whatever checks it has.
     """
     by_row: dict[str, list[Check]] = {}
-    by_value: dict[str, dict[str, list[Check]]] = {}
-    for check in checks:
-        if check.kind in ("unique", "accepted_values"):
-            by_value.setdefault(check.model, {}).setdefault(check.column, []).append(check)
-        else:
-            by_row.setdefault(check.model, []).append(check)
-
-    parts = []
-    for model in by_row | by_value:
-        row_checks = by_row.get(model, [])
-        for value_checks in by_value.get(model, {}).values() or [[]]:
-            parts.append(_one_pass(models[model], value_checks, row_checks))
-            row_checks = []
+    by_value: dict[str, list[Check]] = {}
+    for check in validated(checks):
+        kinds = by_value if check.kind in ("unique", "accepted_values") else by_row
+        kinds.setdefault(check.model, []).append(check)
+    parts = [
+        _one_pass(models[model], by_value.get(model, []), by_row.get(model, []))
+        for model in by_row | by_value
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

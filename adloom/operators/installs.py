@@ -8,15 +8,10 @@ from pyspark.sql import types as T
 
 from adloom.functions import event_date, event_datetime, install_source
 from adloom.functions import is_realweb, is_ret_campaign, process_strings
-from adloom.session import most_shuffle_partitions, new_folder
 from adloom.sources.registry import source_table
 
 INSTALL_ID = "appsflyer_id"
 
-# Carried counts are one row per slice at most; up to this many they are broadcast, beyond it
-# they are joined like any table.
-BROADCAST_SLICES = 100_000
-
 INSTALLS_SCHEMA = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -53,18 +48,44 @@ def first_install(raw: DataFrame) -> DataFrame:
     return raw.groupBy(INSTALL_ID).agg(smallest).selectExpr(*columns)
 
 
-def number_installs(raw: DataFrame) -> DataFrame:
+def slice_borders(sliced: DataFrame) -> DataFrame:
+    """The first and the last install id of every slice with their rows: two rows per slice at most.
+
+    Ranges are sorted by id first, so only these can go on across a border.  Structs compare with
+    NULL first, as the ranges do.
+    """
+    ends = sliced.groupBy("slice").agg(
+        F.expr(f"min(struct({INSTALL_ID})) AS lowest"),
+        F.expr(f"max(struct({INSTALL_ID})) AS highest"),
+    )
+    counted = (
+        sliced.select("slice", INSTALL_ID)
+        .join(ends, "slice")
+        .groupBy("slice", "lowest", "highest")
+        .agg(
+            F.expr(f"count_if({INSTALL_ID} <=> lowest.{INSTALL_ID}) AS n_lowest"),
+            F.expr(f"count_if({INSTALL_ID} <=> highest.{INSTALL_ID}) AS n_highest"),
+        )
+    )
+    first = "struct(lowest AS id, n_lowest AS n, true AS first)"
+    last = "struct(highest AS id, n_highest AS n, false AS first)"
+    return counted.selectExpr(
+        "slice", f"inline(IF(lowest = highest, array({first}), array({first}, {last})))"
+    )
+
+
+def number_installs(raw: DataFrame, folder: str) -> DataFrame:
     """All distinct raw rows with their position within the install id.
 
     A plain window would sort all rows of an id in one task.  Here rows are range-partitioned
     by id and time, so that a hot id spreads over several slices, and are numbered within the
     slice.  An id that goes on in a slice starts there after the rows of the earlier slices.
 
-    The slices are written to the working folder because they are read twice and must be the
-    same both times; the counts read only the id from there.
+    The slices are written to ``folder`` because they are read several times and must be the same
+    every time; the counts read only the id from there.  The result reads them too, so the folder
+    is the caller's to delete when the result is used up.
     """
     spark = raw.sparkSession
-    folder = new_folder(spark, "slices")
     order = [F.expr(name).asc_nulls_first() for name in _ORDER_COLUMNS]
     (
         raw.select(*_RAW_COLUMNS)
@@ -74,21 +95,15 @@ def number_installs(raw: DataFrame) -> DataFrame:
         .write.parquet(folder)
     )
     sliced = spark.read.parquet(folder)
-    # Ranges are sorted by id first, so at most one id per slice goes on from an earlier one.
     earlier_slices = (
-        f"OVER (PARTITION BY {INSTALL_ID} ORDER BY slice"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        "OVER (PARTITION BY id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
     carried = (
-        sliced.groupBy("slice", INSTALL_ID)
-        .count()
-        .selectExpr(
-            "slice", f"{INSTALL_ID} AS carried_id", f"sum(count) {earlier_slices} AS earlier"
-        )
-        .where("earlier IS NOT NULL")
+        slice_borders(sliced)
+        .selectExpr("slice", "id", "first", f"sum(n) {earlier_slices} AS earlier")
+        .where("first AND earlier IS NOT NULL")
+        .selectExpr("slice", f"id.{INSTALL_ID} AS carried_id", "earlier")
     )
-    if most_shuffle_partitions(spark) <= BROADCAST_SLICES:
-        carried = F.broadcast(carried)
     in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
     return (
         sliced.selectExpr("*", f"{in_slice} AS in_slice")

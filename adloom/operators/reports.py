@@ -44,30 +44,46 @@ def write_document(results: DataFrame, path: str) -> None:
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """Read a result document; a run that wrote none counts as one without results."""
+    """Read a result document; a run that wrote none counts as one without results.
+
+    A damaged document raises when it is read.
+    """
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     try:
-        return spark.read.option("multiLine", True).schema(DOCUMENT_SCHEMA).json(path)
+        document = reader.schema(DOCUMENT_SCHEMA).json(path)
+        return document.withColumn(
+            "results",
+            F.coalesce("results", F.raise_error(F.lit(f"no results in {path}"))),
+        )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
 
 
-def _messages(document: DataFrame, status: str, part: int, before_name: str) -> DataFrame:
-    name: Column = F.split(F.col("unique_id"), r"\.")[part]
-    text = F.concat(F.lit("Failure in test " + before_name), name)
+def _messages(
+    document: DataFrame, status: str, part: int, before_name: str, kind: str | None = None
+) -> DataFrame:
+    parts = F.split(F.col("unique_id"), r"\.")
+    name: Column = parts[part]
+    text = F.concat(F.lit(before_name), name)
+    rows = document.select(F.inline("results")).where(F.col("status") == status)
     return (
-        document.select(F.inline("results"))
-        .where(F.col("status") == status)
+        (rows if kind is None else rows.where(parts[0] == kind))
         .select(name.alias("check"), text.alias("message"))
     )
 
 
 def failed_checks(document: DataFrame) -> DataFrame:
     """Name and message of every failed check; one that could not run is no failure."""
-    return _messages(document, FAIL, 2, "")
+    return _messages(document, FAIL, 2, "Failure in test ")
+
+
+def errored_checks(document: DataFrame) -> DataFrame:
+    """Name and message of every check that could not run."""
+    return _messages(document, ERROR, 2, "Error in test ", "test")
 
 
 def stale_sources(document: DataFrame) -> DataFrame:
     """Name and message of every source whose freshness check reports an error."""
-    return _messages(document, ERROR, 3, "freshness of source ")
+    return _messages(document, ERROR, 3, "Failure in test freshness of source ")

@@ -10,64 +10,99 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from adloom.operators.cabinets import CABINETS, Cabinet, stage_cabinet
+from adloom.operators.cabinets import CABINETS, CABINET_BY_MODEL, stage_cabinet
 from adloom.operators.checks import DECLARED_CHECKS, ERROR, FAIL, PASS, RESULTS_SCHEMA
-from adloom.operators.checks import Check, failing_rows
+from adloom.operators.checks import Check, failing_rows, validated
 from adloom.operators.installs import INSTALLS_SCHEMA, stage_installs
-from adloom.plans.examples import example_first, example_second
+from adloom.plans.examples import EXAMPLE_SCHEMA, example_first, example_second
 from adloom.plans.mart import MART_SCHEMA, performance_mart
 from adloom.sources.sinks import CABINET_LAYOUT, INSTALLS_LAYOUT, Layout, Target
-from adloom.sources.sinks import materialize, stored_rows, write_table
+from adloom.sources.sinks import AUDIT, materialize, read_model, stored_rows, write_table
 
 logger = logging.getLogger(__name__)
 
 MODEL_SCHEMAS = {cabinet.model: cabinet.schema for cabinet in CABINETS} | {
     "stg_af_installs": INSTALLS_SCHEMA,
     "mart": MART_SCHEMA,
+    "example_first": EXAMPLE_SCHEMA,
+    "example_second": EXAMPLE_SCHEMA,
 }
 
+INSTALLS = "stg_af_installs"
+STAGING = (*(cabinet.model for cabinet in CABINETS), INSTALLS)
+MODELS = (*STAGING, "mart", "example_first", "example_second")
+
 # Models written, or checks run, at the same time; none of them depends on another.
 WRITERS = 8
 
 
-def build_staging(raw: Mapping[str, DataFrame], target: Target) -> dict[str, DataFrame]:
-    """Write all staging models; readers get the written form.
+def require_schema(frame: DataFrame, model: str) -> DataFrame:
+    """The frame itself if its columns are those declared for the model; else raises."""
+    expected = [(field.name, field.dataType) for field in MODEL_SCHEMAS[model]]
+    found = [(field.name, field.dataType) for field in frame.schema]
+    if found != expected:
+        wrong = [f"{n} {t.simpleString()}" for n, t in found if (n, t) not in expected]
+        raise ValueError(f"model {model} has unexpected columns: {', '.join(wrong) or 'order'}")
+    return frame
+
+
+def build_staging(
+    raw: Mapping[str, DataFrame], target: Target, models: Iterable[str] = STAGING
+) -> dict[str, DataFrame]:
+    """Write staging models, all or some; readers get the written form.
 
     ``raw`` maps raw table names, in lower case, to their frames.  Several models are written at
     once, so that the last tasks of one do not leave the executors idle.
     """
 
-    def write_cabinet(cabinet: Cabinet) -> DataFrame:
-        staged = stage_cabinet(raw[cabinet.table.lower()], cabinet)
-        return materialize(staged, cabinet.model, target, CABINET_LAYOUT)
-
-    def write_installs() -> DataFrame:
-        staged = stage_installs(raw["af_installs"])
-        return materialize(staged, "stg_af_installs", target, INSTALLS_LAYOUT)
+    def write(model: str) -> DataFrame:
+        if model == INSTALLS:
+            staged, layout = stage_installs(raw["af_installs"]), INSTALLS_LAYOUT
+        else:
+            cabinet = CABINET_BY_MODEL[model]
+            staged, layout = stage_cabinet(raw[cabinet.table.lower()], cabinet), CABINET_LAYOUT
+        return materialize(require_schema(staged, model), model, target, layout)
 
     with ThreadPoolExecutor(WRITERS) as writers:
-        written = {c.model: writers.submit(write_cabinet, c) for c in CABINETS}
-        written["stg_af_installs"] = writers.submit(write_installs)
+        written = {model: writers.submit(write, model) for model in models}
         return {model: frame.result() for model, frame in written.items()}
 
 
 def build_mart(staging: Mapping[str, DataFrame], target: Target) -> DataFrame:
     """Write the mart from the written staging models."""
     cabinets = {cabinet.model: staging[cabinet.model] for cabinet in CABINETS}
-    mart = performance_mart(cabinets, staging["stg_af_installs"], summed=True)
-    return materialize(mart, "mart", target, Layout(), always_table=True)
+    mart = performance_mart(cabinets, staging[INSTALLS], summed=True)
+    return materialize(require_schema(mart, "mart"), "mart", target, Layout(), always_table=True)
 
 
 def build_models(
-    spark: SparkSession, raw: Mapping[str, DataFrame], target: Target
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    target: Target,
+    select: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every model in order of dependence."""
-    models = build_staging(raw, target)
-    models["mart"] = build_mart(models, target)
-    first = example_first(spark)
-    models["example_first"] = materialize(first, "example_first", target, always_table=True)
-    second = example_second(models["example_first"])
-    models["example_second"] = materialize(second, "example_second", target)
+    """Write every model in order of dependence, or the selected ones.
+
+    What a selected model reads and is not selected itself must be there from an earlier run.
+    """
+    chosen = set(MODELS if select is None else select)
+    if unknown := sorted(chosen - set(MODELS)):
+        raise ValueError(f"unknown models: {', '.join(unknown)}")
+    models = build_staging(raw, target, [model for model in STAGING if model in chosen])
+
+    def given(model: str) -> DataFrame:
+        if model in models:
+            return models[model]
+        return read_model(spark, model, target, MODEL_SCHEMAS[model])
+
+    if "mart" in chosen:
+        models["mart"] = build_mart({model: given(model) for model in STAGING}, target)
+    if "example_first" in chosen:
+        first = example_first(spark)
+        models["example_first"] = materialize(first, "example_first", target, always_table=True)
+    if "example_second" in chosen:
+        second = example_second(given("example_first"))
+        models["example_second"] = materialize(second, "example_second", target)
     return models
 
 
@@ -78,10 +113,11 @@ def run_checks(
 ) -> DataFrame:
     """Write the failing rows of each check to its own audit table; return one row per check.
 
-    Each check runs once: its failures are counted on the written table.  A check that cannot
+    Checks of unknown kind or with equal names are refused before any runs.  Each check runs once: its failures are counted on the written table.  A check that cannot
     run gets the status error, and the others go on.
     """
-    audit = Target(target.name, f"{target.schema}_audit", target.folder)
+    declared = validated(checks)
+    audit = Target(target.name, f"{target.schema}{AUDIT}", target.folder)
     spark = next(iter(models.values())).sparkSession
 
     def run_one(check: Check) -> tuple:
@@ -96,5 +132,5 @@ def run_checks(
         return check.name, check.model, check.column, n_failures, status
 
     with ThreadPoolExecutor(WRITERS) as runners:
-        rows = list(runners.map(run_one, checks))
+        rows = list(runners.map(run_one, declared))
     return spark.createDataFrame(rows, RESULTS_SCHEMA)

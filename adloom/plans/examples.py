@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+EXAMPLE_SCHEMA = T.StructType([T.StructField("id", T.IntegerType())])
 
 
 def example_first(spark: SparkSession) -> DataFrame:

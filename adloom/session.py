@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 
@@ -20,9 +22,8 @@ REQUIRED = {
 # Bytes one task should take: they fit in memory next to a sort or hash map.
 TASK_BYTES = 256 * MIB
 
-# More tasks than this on both sides of a shuffle burden the driver, which keeps a size for every
-# pair; beyond it tasks grow, and spill.
-MOST_TASKS = 50_000
+# A shuffle of Parquet rows takes about this many times the bytes of their files.
+SHUFFLE_GROWTH = 3
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -36,16 +37,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_settings(input_bytes: int, shuffle_bytes: int | None = None) -> dict[str, str]:
+def cluster_settings(
+    input_bytes: int,
+    shuffle_bytes: int | None = None,
+    *,
+    fewest_tasks: int = 200,
+    most_tasks: int = 50_000,
+) -> dict[str, str]:
     """Settings for a session by its largest input and largest shuffle.
 
     Start with enough partitions for the largest shuffle and let adaptive execution merge
-    the small ones, so that one setting serves the raw tables and the small aggregates.
+    the small ones, so that one setting serves the raw tables and the small aggregates.  The driver
+    keeps a size for every pair of map and reduce tasks; beyond ``most_tasks`` tasks grow instead,
+    and spill.  A driver with more memory can have more of them.
     """
     if shuffle_bytes is None:
         shuffle_bytes = input_bytes
-    partitions = min(MOST_TASKS, max(200, -(-shuffle_bytes // TASK_BYTES)))
-    split_bytes = max(TASK_BYTES, -(-input_bytes // MOST_TASKS))
+    partitions = min(most_tasks, max(fewest_tasks, -(-shuffle_bytes // TASK_BYTES)))
+    split_bytes = max(TASK_BYTES, -(-input_bytes // most_tasks))
     return REQUIRED | {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -54,11 +63,30 @@ def cluster_settings(input_bytes: int, shuffle_bytes: int | None = None) -> dict
     }
 
 
-def most_shuffle_partitions(spark: SparkSession) -> int:
-    """Upper bound of the partitions a shuffle without a given number has."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(partitions, int(initial or 0))
+def input_bytes(frames: Iterable[DataFrame]) -> int:
+    """Bytes that Spark expects to scan for all frames, by the sizes of their files or tables."""
+    plans = (frame._jdf.queryExecution().optimizedPlan() for frame in frames)
+    return sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
+
+
+@contextmanager
+def settings_for(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings that hold within the block."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+# The temporary folder of each local session that names none.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def working_folder(spark: SparkSession) -> str:
@@ -70,13 +98,13 @@ def working_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+        folder = context.getConf().get("spark.checkpoint.dir") or _LOCAL_FOLDERS.get(
+            context.applicationId
+        )
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="adloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        folder = _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="adloom-")
     return folder
 
 

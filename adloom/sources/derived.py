@@ -125,6 +125,9 @@ def dirty_metrics(lineitem: DataFrame) -> DataFrame:
         "NULL",
         "concat('0x1p', {d})",
         "{d}",
+        "'-Infinity'",
+        "' inf'",
+        "elt(1 + {d} % 4, 'NaN', '+nan', '-NAN', 'nan1')",
     )
     cases = " ".join(f"WHEN {i} THEN {s.format(d=digits)}" for i, s in enumerate(spellings))
     raw = f"CASE l_orderkey % {len(spellings)} {cases} END"

@@ -12,13 +12,41 @@ from pyspark.sql import types as T
 class SourceTable:
     """A raw table: which group it is delivered in, its name and what it holds.
 
-    ``columns`` are the ones staging reads; tables nothing reads declare none.
+    ``columns`` are the ones staging reads; tables nothing reads declare none.  The one named
+    ``time`` holds days or timestamps; with ``days_only`` it must hold days.  Metrics may come as
+    text or as numbers, all other columns are text.
     """
 
     group: str
     name: str
     description: str
     columns: tuple[str, ...] = ()
+    time: str | None = None
+    days_only: bool = False
+
+    @property
+    def schema(self) -> T.StructType:
+        """The columns as an export delivers them: with text for every metric."""
+        day = T.DateType() if self.days_only else T.TimestampType()
+        return T.StructType(
+            [T.StructField(c, day if c == self.time else T.StringType()) for c in self.columns]
+        )
+
+    def accepts(self, field: T.StructField) -> bool:
+        """Whether staging can read a column of this type."""
+        name, dtype = field.name.lower(), field.dataType
+        if self.time is not None and name == self.time.lower():
+            days = (T.DateType,)
+            return isinstance(
+                dtype, days if self.days_only else (*days, T.TimestampType, T.TimestampNTZType)
+            )
+        if name in _METRICS:
+            return isinstance(dtype, (T.StringType, T.NumericType, T.BooleanType))
+        return isinstance(dtype, T.StringType)
+
+
+# The columns of the exports that hold metrics.
+_METRICS = ("clicks", "spend", "costs", "installs", "impressions", "show")
 
 
 # Raw table and column names as the exports deliver them.
@@ -45,6 +73,8 @@ _DECLARED = (
         "facebook",
         "Facebook cabinet",
         ("date", "Campaign", "adset", "clicks", "spend", "installs", "show"),
+        time="date",
+        days_only=True,
     ),
     SourceTable(
         "advertising",
@@ -59,36 +89,42 @@ _DECLARED = (
             "installs",
             "impressions",
         ),
+        time="ad_date",
     ),
     SourceTable(
         "advertising",
         "huawei_ads",
         "Huawei Ads cabinet",
         ("date", "campaign_name", "clicks", "spend", "impressions"),
+        time="date",
     ),
     SourceTable(
         "advertising",
         "mytarget",
         "MyTarget cabinet",
         ("date", "cmp_name", "adset", "clicks", "costs", "impressions"),
+        time="date",
     ),
     SourceTable(
         "advertising",
         "TIKTOK",
         "TikTok cabinet",
         ("date", "name", "adset", "clicks", "costs", "impressions"),
+        time="date",
     ),
     SourceTable(
         "advertising",
         "vkontakte",
         "VK cabinet",
         ("date", "campaign_name", "adset_name", "clicks", "spend", "impressions"),
+        time="date",
     ),
     SourceTable(
         "advertising",
         "yandex",
         "Yandex cabinet",
         ("date", "campaign_name", "adset_name", "clicks", "spend", "impressions"),
+        time="date",
     ),
 )
 
@@ -126,11 +162,15 @@ def read_source(
 
 
 def require_columns(frame: DataFrame, source: SourceTable) -> None:
-    """Name the missing columns at once instead of failing deep inside a plan."""
-    present = {column.lower() for column in frame.columns}
+    """Name missing columns and wrong types at once instead of failing deep inside a plan."""
+    present = {field.name.lower(): field for field in frame.schema}
     missing = [column for column in source.columns if column.lower() not in present]
     if missing:
         raise ValueError(f"raw table {source.name} lacks {', '.join(missing)}")
+    read = [present[column.lower()] for column in source.columns]
+    wrong = [f"{f.name} {f.dataType.simpleString()}" for f in read if not source.accepts(f)]
+    if wrong:
+        raise ValueError(f"raw table {source.name} has unreadable columns: {', '.join(wrong)}")
 
 
 def registry_frame(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import getpass
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +23,40 @@ CABINET_LAYOUT = Layout(cluster=("is_realweb", "is_ret_campaign"))
 INSTALLS_LAYOUT = Layout(cluster=("is_realweb", "is_ret_campaign", "source"))
 
 
+# The environment that writes tables, and the schema that only it may write to.
+PRODUCTION = "prod"
+PRODUCTION_SCHEMA = "production"
+AUDIT = "_audit"
+
+
 @dataclass(frozen=True)
 class Target:
     """An environment: ``prod`` writes tables, any other name makes staging models views.
 
-    Tables go to ``folder/schema/model`` as Parquet, or to the catalog without a folder.
+    Tables go to ``folder/schema/model`` as Parquet, or to the catalog without a folder.  Only
+    ``prod`` may write to the production schema, as a run replaces the tables it finds there.
     """
 
     name: str
     schema: str
     folder: str | None = None
 
+    def __post_init__(self) -> None:
+        own = self.schema.strip().strip("`").lower().removesuffix(AUDIT)
+        if own == PRODUCTION_SCHEMA and self.name != PRODUCTION:
+            raise ValueError(f"target {self.name} must not write to schema {self.schema}")
+
+    @classmethod
+    def of(cls, name: str, schema: str | None = None, folder: str | None = None) -> Target:
+        """A target whose schema follows from its name: every developer has one of their own."""
+        if schema is None:
+            user = re.sub("[^a-z0-9]+", "_", getpass.getuser().lower())
+            schema = PRODUCTION_SCHEMA if name == PRODUCTION else f"{name}_{user}"
+        return cls(name, schema, folder)
+
     @property
     def writes_tables(self) -> bool:
-        return self.name == "prod"
+        return self.name == PRODUCTION
 
     def path(self, model: str) -> str:
         return f"{self.folder.rstrip('/')}/{self.schema}/{model}"

@@ -6,8 +6,7 @@ Every statement reads the given tables as a whole.  Raw tables are spelled out a
 
 from __future__ import annotations
 
-from adloom.functions import fixed_values as fixed
-from adloom.operators.cabinets import CABINETS, Cabinet
+from typing import NamedTuple
 
 _SPACE = (
     r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
@@ -15,6 +14,46 @@ _SPACE = (
 )
 
 
+class Cabinet(NamedTuple):
+    """Where an export keeps what; written out here, apart from the library's own table."""
+
+    source: str
+    table: str
+    date: str
+    campaign: str
+    adset: str | None
+    clicks: str
+    costs: str
+    installs: str | None
+    impressions: str
+    day_delivered: bool = False
+
+    @property
+    def model(self) -> str:
+        return f"stg_{self.table.lower()}"
+
+    @property
+    def raw_columns(self) -> list[str]:
+        return [name for name in self[2:9] if name]
+
+
+CABINETS = (
+    Cabinet("facebook", "facebook", "date", "Campaign", "adset", "clicks", "spend", "installs",
+            "show", True),
+    Cabinet("google_ads", "google_ads", "ad_date", "campaign_name", "adset_name", "clicks", "spend",
+            "installs", "impressions"),
+    Cabinet("huawei", "huawei_ads", "date", "campaign_name", None, "clicks", "spend", None,
+            "impressions"),
+    Cabinet("mytarget", "mytarget", "date", "cmp_name", "adset", "clicks", "costs", None,
+            "impressions"),
+    Cabinet("tiktok", "TIKTOK", "date", "name", "adset", "clicks", "costs", None, "impressions"),
+    Cabinet("vkontakte", "vkontakte", "date", "campaign_name", "adset_name", "clicks", "spend",
+            None, "impressions"),
+    Cabinet("yandex", "yandex", "date", "campaign_name", "adset_name", "clicks", "spend", None,
+            "impressions"),
+)
+
+
 def _name(column: str) -> str:
     """Column names may be reserved words."""
     return f'"{column}"'
@@ -87,11 +126,11 @@ def _clean(text: str) -> str:
 
 
 def _is_realweb(name: str) -> str:
-    return f"starts_with({_clean(name)}, '{fixed.AGENCY_PREFIX}')"
+    return f"starts_with({_clean(name)}, 'realweb')"
 
 
 def _is_ret(name: str) -> str:
-    return f"regexp_matches(lower({name}), '{fixed.RETARGETING_PATTERN}')"
+    return f"regexp_matches(lower({name}), '([\\[_]old[\\]_])|([\\[_]ret[\\]_])')"
 
 
 def _has_marker(name: str, markers: tuple[str, ...]) -> str:
@@ -99,15 +138,18 @@ def _has_marker(name: str, markers: tuple[str, ...]) -> str:
 
 
 def _platform(name: str) -> str:
-    ios = f"if({_has_marker(name, fixed.IOS_MARKERS)}, '{fixed.IOS}', NULL)"
-    android = f"if({_has_marker(name, fixed.ANDROID_MARKERS)}, '{fixed.ANDROID}', NULL)"
-    return f"coalesce({ios}, {android}, '{fixed.NO_PLATFORM}')"
+    ios = f"if({_has_marker(name, ('[p:ios]', '_ios_', 'p02'))}, 'ios', NULL)"
+    android = _has_marker(name, ("[p:and]", "_and_", "android", "p01"))
+    return f"coalesce({ios}, if({android}, 'android', NULL), 'no_platform')"
 
 
 def _source(name: str) -> str:
-    codes, sources = map(_texts, zip(*fixed.SOURCE_BY_CODE.items()))
-    code = f"regexp_extract({_clean(name)}, '{fixed.INSTALL_CODE_PATTERN}', 1)"
-    return f"coalesce({sources}[list_position({codes}, {code})], '{fixed.UNKNOWN_SOURCE}')"
+    codes = _texts(("fb", "hw", "mt", "tiktok", "uac", "vk", "ya"))
+    sources = _texts(
+        ("facebook", "huawei", "mytarget", "tiktok", "google_ads", "vkontakte", "yandex")
+    )
+    code = f"regexp_extract({_clean(name)}, 'realweb_([a-z]+)_', 1)"
+    return f"coalesce({sources}[list_position({codes}, {code})], 'other')"
 
 
 def _int(text: str) -> str:
@@ -122,8 +164,9 @@ def _int(text: str) -> str:
 
 
 def _float(text: str) -> str:
-    return rf"""CASE WHEN regexp_full_match({text},
- '(?i)\s*[+-]?(inf(inity)?|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*')
+    return rf"""CASE WHEN regexp_full_match({text}, '(?i)\s*[+-]?nan\s*')
+ THEN CAST('nan' AS DOUBLE) WHEN regexp_full_match({text},
+ '(?i)\s*[+-]?(inf(inity)?|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*')
  THEN TRY_CAST(trim({text}, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')
  AS DOUBLE) END"""
 
@@ -178,7 +221,7 @@ FROM numbered WHERE id_counter = 1"""
 def _mart() -> str:
     kept = "WHERE is_realweb AND NOT is_ret_campaign"
     reported = [cabinet.source for cabinet in CABINETS if cabinet.installs]
-    left_out = ", ".join(f"'{source}'" for source in [fixed.UNKNOWN_SOURCE, *reported])
+    left_out = ", ".join(f"'{source}'" for source in ["other", *reported])
     parts = [f"SELECT *, '{c.source}' AS source FROM {c.model} {kept}" for c in CABINETS]
     parts.append(
         f"""SELECT date, campaign_name, adset_name, platform, source, 1 AS installs
@@ -196,6 +239,9 @@ def _expressions() -> dict[str, str]:
     parts |= {cabinet.model: _staged_cabinet(cabinet) for cabinet in CABINETS}
     parts["numbered"] = _NUMBERED
     parts["stg_af_installs"] = _STAGED_INSTALLS
+    parts["all_cabinets"] = " UNION ALL BY NAME ".join(
+        f"SELECT *, '{c.table.lower()}' AS cabinet FROM {c.model}" for c in CABINETS
+    )
     parts["mart"] = _mart()
     parts["example_first"] = "SELECT 1 AS id UNION ALL SELECT NULL"
     parts["example_second"] = "SELECT * FROM example_first WHERE id = 1"
@@ -224,6 +270,26 @@ def _accepted(model: str) -> str:
  WHERE platform NOT IN ('ios', 'android') GROUP BY platform"""
 
 
+# What the usual parameters of a kind of check add to its name.
+_SUFFIXES = {"accepted_values": "__ios__android"}
+
+
+def _distinct(cabinet: Cabinet) -> str:
+    common = {
+        "campaign": cabinet.campaign,
+        "adset": cabinet.adset,
+        "clicks": cabinet.clicks,
+        "costs": cabinet.costs,
+        "installs": cabinet.installs,
+        "impressions": cabinet.impressions,
+    }
+    named = ", ".join(f"{_name(column)} AS {name}" for name, column in common.items() if column)
+    raw_columns = ", ".join(map(_name, cabinet.raw_columns))
+    return f"""SELECT '{cabinet.table.lower()}' AS cabinet,
+ CAST({_name(cabinet.date)} AS DATE) AS date, {named}
+FROM (SELECT DISTINCT {raw_columns} FROM {_raw(cabinet)})"""
+
+
 def _check_results() -> str:
     checks = [
         ("unique", "example_first", "id", _unique("example_first", "id")),
@@ -251,20 +317,53 @@ def _check_results() -> str:
         ),
         ("accepted_values", "mart", "platform", _accepted("mart")),
     ]
+    return _counted(checks)
+
+
+def _parameter_checks() -> str:
+    def accepted(*values: str) -> str:
+        listed = ", ".join(f"'{value}'" for value in values)
+        return f"""SELECT platform FROM all_cabinets WHERE platform NOT IN ({listed})
+ GROUP BY platform"""
+
+    limited = "SELECT costs FROM all_cabinets WHERE costs > "
+    return _counted(
+        [
+            ("accepted_values", "all_cabinets", "platform", accepted("ios", "android")),
+            ("accepted_values", "all_cabinets", "platform", accepted("ios"), "__ios"),
+            ("exceed_costs_limit", "all_cabinets", "costs", limited + "5000"),
+            ("exceed_costs_limit", "all_cabinets", "costs", limited + "100", "__100"),
+            (
+                "not_null",
+                "all_cabinets",
+                "campaign_name",
+                "SELECT 1 FROM all_cabinets WHERE campaign_name IS NULL",
+            ),
+            ("unique", "all_cabinets", "campaign_name", _unique("all_cabinets", "campaign_name")),
+        ]
+    )
+
+
+def _counted(checks: list[tuple[str, ...]]) -> str:
+    named = [
+        (*check[:4], check[4] if len(check) > 4 else _SUFFIXES.get(check[0], ""))
+        for check in checks
+    ]
     return " UNION ALL ".join(
-        f"""SELECT '{kind}_{model}_{column}' AS "check", '{model}' AS model,
+        f"""SELECT '{kind}_{model}_{column}{suffix}' AS "check", '{model}' AS model,
  '{column}' AS "column", COUNT(*) AS n_failures,
  CASE WHEN COUNT(*) > 0 THEN 'fail' ELSE 'pass' END AS status FROM ({failing})"""
-        for kind, model, column, failing in checks
+        for kind, model, column, failing, suffix in named
     )
 
 
-_DIRTY = """SELECT l_orderkey, l_linenumber, CASE l_orderkey % 16
+_DIRTY = """SELECT l_orderkey, l_linenumber, CASE l_orderkey % 19
  WHEN 0 THEN ' ' || q || chr(9) WHEN 1 THEN '+' || q WHEN 2 THEN '-' || q || '.5'
  WHEN 3 THEN q || 'e3' WHEN 4 THEN '0x' || q WHEN 5 THEN '-0X' || q || 'aF'
  WHEN 6 THEN '92233720368547758' || q WHEN 7 THEN q || '.0d' WHEN 8 THEN '.' || q
  WHEN 9 THEN q || ',5' WHEN 10 THEN q || '_000' WHEN 11 THEN q || ' 0' WHEN 12 THEN ''
- WHEN 13 THEN NULL WHEN 14 THEN '0x1p' || q ELSE q END AS raw
+ WHEN 13 THEN NULL WHEN 14 THEN '0x1p' || q WHEN 15 THEN q WHEN 16 THEN '-Infinity'
+ WHEN 17 THEN ' inf' ELSE ['NaN', '+nan', '-NAN', 'nan1'][1 + CAST(q AS BIGINT) % 4] END AS raw
 FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q
  FROM lineitem)"""
 
@@ -275,9 +374,9 @@ def statements() -> dict[str, str]:
     selects["stg_af_installs"] = "SELECT * FROM stg_af_installs"
     for key in ("mart", "mart_from_tables"):
         selects[key] = "SELECT * FROM mart"
-    selects["ua_rows"] = "SELECT * FROM stg_yandex WHERE is_realweb AND NOT is_ret_campaign"
-    selects["distinct_raw"] = """SELECT DISTINCT date, Campaign, adset, clicks, spend, installs,
- "show" FROM raw_facebook"""
+    selects["ua_rows"] = "SELECT * FROM all_cabinets WHERE is_realweb AND NOT is_ret_campaign"
+    selects["distinct_raw"] = " UNION ALL BY NAME ".join(map(_distinct, CABINETS))
+    selects["read_sources"] = "SELECT * FROM all_cabinet_campaigns"
     selects["install_row_number"] = "SELECT * FROM numbered"
     selects["first_install"] = "SELECT * EXCLUDE (id_counter) FROM numbered WHERE id_counter = 1"
     selects["normalise_strings"] = f"""SELECT cabinet, campaign, {_clean('campaign')}
@@ -293,16 +392,17 @@ def statements() -> dict[str, str]:
     selects["check_unique"] = _unique("raw_af_installs", "appsflyer_id")
     selects["check_not_null"] = "SELECT * FROM stg_af_installs WHERE appsflyer_id IS NULL"
     selects["check_accepted_values"] = _accepted("stg_af_installs")
-    selects["check_exceed_costs"] = """SELECT costs AS limit_field FROM stg_facebook
+    selects["check_exceed_costs"] = """SELECT costs AS limit_field FROM all_cabinets
  WHERE costs > 5000"""
+    selects["check_campaign_not_null"] = "SELECT * FROM all_cabinets WHERE campaign_name IS NULL"
+    selects["check_parameters"] = _parameter_checks()
     selects["check_mart_campaign"] = "SELECT * FROM mart WHERE campaign_name IS NULL"
     selects["check_mart_platform"] = _accepted("mart")
     for key in ("check_results", "checks_on_tables"):
         selects[key] = _check_results()
     selects["failed_checks"] = f"""SELECT "check", 'Failure in test ' || "check" AS message
  FROM ({_check_results()}) WHERE status = 'fail'"""
-    selects["sink_view"] = "SELECT * FROM stg_tiktok"
-    selects["sink_table"] = "SELECT * FROM stg_google_ads"
+    selects["sink_view"] = selects["sink_table"] = "SELECT * FROM all_cabinets"
     selects["sink_partitioned"] = "SELECT * FROM stg_af_installs"
     result = {key: _with(select) for key, select in selects.items()}
     result["safe_cast_metrics"] = f"""SELECT l_orderkey, l_linenumber, raw,

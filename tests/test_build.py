@@ -4,10 +4,11 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from adloom.operators.cabinets import CABINETS
 from adloom.operators.checks import DECLARED_CHECKS, Check, check_results
-from adloom.plans.build import build_models, run_checks
+from adloom.plans.build import STAGING, build_models, run_checks
 from adloom.sources.derived import RawTables
 from adloom.sources.sinks import Target
 
@@ -51,8 +52,8 @@ def test_checks_agree_with_the_lazy_results_and_store_failures(spark, models, ta
     assert set(failed) == {
         "not_null_example_first_id",
         "not_null_stg_af_installs_appsflyer_id",
-        "accepted_values_stg_af_installs_platform",
-        "accepted_values_mart_platform",
+        "accepted_values_stg_af_installs_platform__ios__android",
+        "accepted_values_mart_platform__ios__android",
     }
     for name, n_failures in failed.items():
         stored = spark.read.parquet(f"{target.folder}/production_audit/{name}")
@@ -63,18 +64,46 @@ def test_a_check_that_cannot_run_is_an_error_and_others_go_on(models, target):
     checks = (
         Check("unique", "mart", "no_such_column"),
         Check("unique", "no_such_model", "id"),
-        Check("no_such_kind", "mart", "platform"),
         Check("not_null", "mart", "campaign_name"),
     )
     rows = run_checks(models, target, checks).collect()
     assert [(row.n_failures, row.status) for row in rows] == [
-        (None, "error"),
         (None, "error"),
         (None, "error"),
         (0, "pass"),
     ]
 
 
+def test_checks_that_differ_in_parameters_do_not_meet(spark, models, target):
+    checks = (
+        Check("accepted_values", "mart", "platform", values=("ios",)),
+        Check("accepted_values", "mart", "platform", values=("ios", "android", "no_platform")),
+        Check("exceed_costs_limit", "mart", "costs", limit=10.0),
+        Check("exceed_costs_limit", "mart", "costs", limit=1e9),
+    )
+    assert len({check.name for check in checks}) == 4
+    results = run_checks(models, target, checks)
+    assert rows_of(results) == rows_of(check_results(models, checks))
+    assert len({row.n_failures for row in results.collect()}) >= 3
+
+
+def test_a_timestamp_day_is_refused_by_name(spark, tmp_path):
+    raw = dict(RawTables(spark, SMALL).items())
+    raw["facebook"] = raw["facebook"].withColumn("date", F.col("date").cast("timestamp"))
+    with pytest.raises(ValueError, match="stg_facebook has unexpected columns: date timestamp"):
+        build_models(spark, raw, Target("prod", "production", str(tmp_path)), ["stg_facebook"])
+
+
+def test_selected_models_read_what_is_there(spark, models, tmp_path):
+    target = Target("prod", "production", str(tmp_path))
+    build_models(spark, RawTables(spark, SMALL), target, STAGING)
+    built = build_models(spark, RawTables(spark, SMALL), target, ["mart"])
+    assert list(built) == ["mart"]
+    assert rows_of(built["mart"]) == rows_of(models["mart"])
+    with pytest.raises(ValueError, match="unknown models: no_such"):
+        build_models(spark, RawTables(spark, SMALL), target, ["no_such"])
+
+
 def test_development_build_makes_views(spark, tmp_path):
     target = Target("dev", "personal", str(tmp_path))
     models = build_models(spark, RawTables(spark, SMALL), target)
@@ -95,5 +124,5 @@ def test_catalog_build_and_checks(spark, models):
     )
     results = run_checks(built, target)
     assert rows_of(results) == rows_of(check_results(models, DECLARED_CHECKS))
-    stored = spark.table("catalog_build_audit.accepted_values_mart_platform")
+    stored = spark.table("catalog_build_audit.accepted_values_mart_platform__ios__android")
     assert stored.count() == 2

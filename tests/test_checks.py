@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
 
 from adloom.operators import checks
 from adloom.operators.checks import Check
+from adloom.plans.build import run_checks
+from adloom.sources.sinks import Target
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +78,34 @@ def test_results_count_what_each_check_reports(spark, model):
 def test_unknown_check_is_refused(model):
     with pytest.raises(ValueError, match="unknown check"):
         checks.failing_rows(Check("odd", "m", "id"), model)
+
+
+def test_both_engines_refuse_what_cannot_run(model):
+    for wrong in (
+        [Check("nonull", "m", "id")],
+        [Check("accepted_values", "m", "platform")],
+        [Check("unique", "m", "id"), Check("unique", "M", "ID")],
+    ):
+        with pytest.raises(ValueError):
+            checks.check_results({"m": model}, wrong)
+        with pytest.raises(ValueError):
+            run_checks({"m": model}, Target("prod", "production", "/nowhere"), wrong)
+
+
+def test_names_tell_parameters_apart():
+    odd = ("a__b", "c d", "e" * 99, "\u00e9")
+    names = {Check("accepted_values", "m", "c", values=(value,)).name for value in odd}
+    assert len(names) == 4 and all(re.fullmatch("[a-z0-9_]+", name) for name in names)
+    assert Check("exceed_costs_limit", "m", "c").name == "exceed_costs_limit_m_c"
+    assert Check("exceed_costs_limit", "m", "c", limit=0.5).name != "exceed_costs_limit_m_c"
+
+
+def test_a_model_is_read_once(spark, model):
+    declared = [
+        Check("unique", "m", "id"),
+        Check("accepted_values", "m", "platform", values=("ios",)),
+        Check("not_null", "m", "id"),
+    ]
+    result = checks.check_results({"m": model}, declared)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Relation [") == 1

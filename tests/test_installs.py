@@ -6,11 +6,11 @@ from datetime import date, datetime
 
 import pytest
 
-from adloom.operators import installs
 from adloom.operators.installs import (
     INSTALLS_SCHEMA,
     first_install,
     number_installs,
+    slice_borders,
     stage_installs,
 )
 
@@ -105,28 +105,28 @@ def _many_installs(seed):
     return rows + rows[:700]
 
 
-@pytest.mark.parametrize("broadcast", [100_000, 0])
 @pytest.mark.parametrize("slices", [1, 5, 32])
-def test_numbers_equal_a_plain_count_with_a_hot_id(spark, conf, monkeypatch, slices, broadcast):
-    monkeypatch.setattr(installs, "BROADCAST_SLICES", broadcast)
+def test_numbers_equal_a_plain_count_with_a_hot_id(spark, conf, tmp_path, slices):
     conf("spark.sql.shuffle.partitions", str(slices))
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rows = _many_installs(slices)
-    found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows)).collect())
+    folder = str(tmp_path / "slices")
+    found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows), folder).collect())
     assert found == Counter(_numbered_by_hand(rows))
 
 
-def test_numbers_hold_when_adaptive_execution_merges_slices(spark, conf):
+def test_numbers_hold_when_adaptive_execution_merges_slices(spark, conf, tmp_path):
     conf("spark.sql.shuffle.partitions", "64")
     conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
     conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
     rows = _many_installs(0)
-    found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows)).collect())
+    folder = str(tmp_path / "slices")
+    found = Counter(tuple(row) for row in number_installs(raw_rows(spark, rows), folder).collect())
     assert found == Counter(_numbered_by_hand(rows))
 
 
-def test_hot_id_is_numbered_by_several_tasks(spark, conf):
+def test_hot_id_is_numbered_by_several_tasks(spark, conf, tmp_path):
     conf("spark.sql.shuffle.partitions", "16")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     hot = spark.range(8000).selectExpr(
@@ -138,7 +138,18 @@ def test_hot_id_is_numbered_by_several_tasks(spark, conf):
         "'ios' AS platform",
         "'hot' AS appsflyer_id",
     )
-    numbered = number_installs(hot)
+    numbered = number_installs(hot, str(tmp_path / "slices"))
     sizes = numbered.selectExpr("spark_partition_id() AS p").groupBy("p").count().toPandas()
     assert sizes["count"].max() < 8000 / 3
     assert sorted(row.id_counter for row in numbered.collect()) == list(range(1, 8001))
+
+
+def test_only_border_ids_are_carried(spark):
+    rows = [(s, i) for s, ids in enumerate(["aab", "bbb", "bcdde", "e"]) for i in ids]
+    rows += [(4, None), (4, None), (4, "z")]
+    borders = slice_borders(spark.createDataFrame(rows, "slice int, appsflyer_id string"))
+    found = {(r.slice, r.id.appsflyer_id, r.n, r.first) for r in borders.collect()}
+    assert found == {
+        (0, "a", 2, True), (0, "b", 1, False), (1, "b", 3, True), (2, "b", 1, True),
+        (2, "e", 1, False), (3, "e", 1, True), (4, None, 2, True), (4, "z", 1, False),
+    }

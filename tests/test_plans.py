@@ -93,11 +93,16 @@ def test_mart_from_staged_tables_shuffles_once_and_skips_row_groups(spark, raw,
     assert all("= 2022-05-03" in filters for filters in day_filters)
 
 
-def test_numbering_broadcasts_only_the_carried_counts(raw, capsys):
-    text = plan(number_installs(raw["af_installs"]), capsys)
-    assert nodes(text, "BroadcastExchange") == 1
-    assert nodes(text, "BroadcastHashJoin") == 1
-    assert "NestedLoop" not in text
+def test_numbering_joins_one_way_whatever_its_size(raw, tmp_path, conf, capsys):
+    texts = []
+    for partitions in ("4", "300000"):
+        frame = number_installs(raw["af_installs"], str(tmp_path / partitions))
+        conf("spark.sql.shuffle.partitions", partitions)
+        texts.append(plan(frame, capsys))
+    for text in texts:
+        assert "NestedLoop" not in text
+    kinds = ("SortMergeJoin", "BroadcastHashJoin", "Window", "Exchange")
+    assert len({tuple(nodes(text, kind) for kind in kinds) for text in texts}) == 1
 
 
 def test_checks_read_the_mart_once(spark, raw, capsys):

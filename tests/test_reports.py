@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from adloom.operators import reports
 from adloom.operators.checks import RESULTS_SCHEMA
 
@@ -48,3 +50,18 @@ def test_written_results_read_back(spark, tmp_path):
     document = reports.read_document(spark, path)
     assert document.count() == 1
     assert reports.failed_checks(document).collect() == [("a_m_x", "Failure in test a_m_x")]
+
+
+def test_a_damaged_document_raises(spark, tmp_path):
+    for k, text in enumerate(
+        ('{"results": [{"status": "fail", "unique_id": "test.p.x"}', "{}", "no json")
+    ):
+        (tmp_path / f"{k}.json").write_text(text)
+        with pytest.raises(Exception):
+            reports.failed_checks(reports.read_document(spark, str(tmp_path / f"{k}.json"))).collect()
+
+
+def test_errors_have_their_own_messages(spark):
+    rows = [("error", "test.p.broken"), ("fail", "test.p.bad"), ("error", "source.p.a.late")]
+    document = spark.createDataFrame([(rows,)], reports.DOCUMENT_SCHEMA)
+    assert [r.message for r in reports.errored_checks(document).collect()] == ["Error in test broken"]

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from adloom.operators.cabinets import CABINETS
-from adloom.session import cluster_settings, most_shuffle_partitions, new_folder, prepare
-from adloom.session import working_folder
+from adloom.session import cluster_settings, input_bytes, new_folder, prepare
+from adloom.session import settings_for, working_folder
 from adloom.sources.derived import RawTables, given
 from adloom.sources.registry import SOURCES, read_source, registry_frame, source_table
 
@@ -96,14 +98,36 @@ def test_partitions_follow_the_data_up_to_a_bound():
     assert cluster_settings(10**15)[shuffle] == "50000"
 
 
-def test_most_shuffle_partitions(spark, conf):
-    conf("spark.sql.shuffle.partitions", "8")
-    assert most_shuffle_partitions(spark) == 8
-    conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "32")
-    assert most_shuffle_partitions(spark) == 32
+def test_most_tasks_is_an_argument():
+    settings = cluster_settings(10**15, fewest_tasks=8, most_tasks=100_000)
+    assert settings["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_settings(1, fewest_tasks=8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_settings_hold_within_the_block_only(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with settings_for(spark, {name: "77"}):
+        assert spark.conf.get(name) == "77"
+    assert spark.conf.get(name) == before
+
+
+def test_input_bytes_are_those_of_the_files(spark):
+    path = "/root/testdata/sf0.001/lineitem.parquet"
+    size = Path(path).stat().st_size
+    frame = spark.read.parquet(path)
+    assert input_bytes([frame, frame]) == 2 * size
+
+
+def test_wrong_types_are_named(spark, tmp_path):
+    day = "CAST('2022-05-01 10:00:00' AS TIMESTAMP) AS date"
+    texts = "'c' AS Campaign, 'a' AS adset, '1' AS clicks, '1' AS spend, 1 AS installs, '1' AS show"
+    spark.sql(f"SELECT {day}, {texts}").write.parquet(str(tmp_path / "facebook"))
+    with pytest.raises(ValueError, match="facebook has unreadable columns: date timestamp"):
+        read_source(spark, "facebook", folder=str(tmp_path))
 
 
-def test_default_number_of_shuffle_partitions(spark, conf):
-    conf("spark.sql.shuffle.partitions", "8")
-    spark.conf.unset("spark.sql.shuffle.partitions")
-    assert most_shuffle_partitions(spark) in (8, 200)
+def test_declared_schemas_are_accepted():
+    for source in SOURCES.values():
+        assert all(source.accepts(field) for field in source.schema)
+        assert [field.name for field in source.schema] == list(source.columns)
