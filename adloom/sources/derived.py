@@ -16,6 +16,9 @@ from adloom.functions.text import literal
 from adloom.operators.cabinets import CABINETS, Cabinet
 
 
+NO_BREAK, EM = "\u00a0", "\u2003"
+
+
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -40,7 +43,10 @@ def _day(number: str) -> str:
 
 
 def _ad_set(gap: str, number: str) -> str:
-    return f"if({gap} % 19 != 0, concat(' AdSet ', {number} % 4), NULL)"
+    """Some names are Cyrillic between a no-break space and an em space."""
+    return f"""CASE WHEN {gap} % 19 = 0 THEN NULL
+        WHEN {gap} % 19 = 1 THEN concat({literal(NO_BREAK + "Набор")}, {number} % 4, {literal(EM)})
+        ELSE concat(' AdSet ', {number} % 4) END"""
 
 
 def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
@@ -52,7 +58,8 @@ def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
     if cabinet.day_delivered:
         date = f"CAST({day} AS DATE)"
     else:
-        date = f"CAST(concat({day}, ' 10:00:00') AS TIMESTAMP)"
+        hour = _pick("l_partkey", 3, " 10:00:00", " 00:00:00", " 23:59:59.999")
+        date = f"CAST(concat({day}, {hour}) AS TIMESTAMP)"
     quantity = "CAST(l_quantity AS BIGINT)"
     unread = "WHEN l_partkey % 13 = 0 THEN"
     clicks = (
@@ -94,7 +101,12 @@ def installs_export(events: DataFrame) -> DataFrame:
         " WHEN 3 THEN 'web' ELSE 'ios' END"
     )
     columns = {
-        "event_time": f"if(event_id % 101 != 0, {time}, NULL)",
+        "event_time": f"""CASE WHEN event_id % 101 = 0 THEN NULL
+            WHEN event_id % 103 = 0 THEN substr({time}, 1, 19)
+            WHEN event_id % 107 = 0 THEN concat({time}, '\\n')
+            WHEN event_id % 109 = 0
+            THEN concat('2022-5-', event_id % 7 + 1, ' 9:', event_id % 6, ':0.123')
+            ELSE {time} END""",
         "Campaign": _campaign("user_id", "event_id"),
         "af_c_id": "CAST(event_id % 3 AS STRING)",
         "af_adset": _ad_set("event_id", "user_id"),

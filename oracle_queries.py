@@ -85,12 +85,14 @@ def _raw_cabinet(cabinet: Cabinet) -> str:
     if cabinet.day_delivered:
         date = f"CAST({day} AS DATE)"
     else:
-        date = f"CAST({day} || ' 10:00:00' AS TIMESTAMP)"
+        hour = "[' 10:00:00', ' 00:00:00', ' 23:59:59.999'][1 + l_partkey % 3]"
+        date = f"CAST({day} || {hour} AS TIMESTAMP)"
     quantity = "CAST(l_quantity AS BIGINT)"
     columns = {
         cabinet.date: date,
         cabinet.campaign: _campaign("l_partkey", "l_suppkey"),
-        cabinet.adset: "CASE WHEN l_orderkey % 19 = 0 THEN NULL"
+        cabinet.adset: "CASE WHEN l_orderkey % 19 = 0 THEN NULL WHEN l_orderkey % 19 = 1"
+        " THEN chr(160) || 'Набор' || CAST(l_partkey % 4 AS VARCHAR) || chr(8195)"
         " ELSE ' AdSet ' || CAST(l_partkey % 4 AS VARCHAR) END",
         cabinet.clicks: "CASE WHEN l_partkey % 13 = 0 THEN 'n/a' WHEN l_partkey % 17 = 0 THEN ''"
         f" WHEN l_partkey % 29 = 0 THEN '12.5' ELSE CAST({quantity} AS VARCHAR) END",
@@ -106,19 +108,24 @@ def _raw_cabinet(cabinet: Cabinet) -> str:
 
 
 _RAW_INSTALLS = f"""SELECT
- CASE WHEN event_id % 101 = 0 THEN NULL ELSE '2022-05-0' || CAST(1 + event_id % 7 AS VARCHAR)
-  || ' 1' || CAST(event_id % 10 AS VARCHAR) || ':0' || CAST(event_id % 6 AS VARCHAR)
-  || ':00.123' END AS event_time,
+ CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN left(usual, 19)
+  WHEN event_id % 107 = 0 THEN usual || chr(10)
+  WHEN event_id % 109 = 0 THEN '2022-5-' || CAST(1 + event_id % 7 AS VARCHAR) || ' 9:'
+   || CAST(event_id % 6 AS VARCHAR) || ':0.123'
+  ELSE usual END AS event_time,
  {_campaign('user_id', 'event_id')} AS Campaign,
  CAST(event_id % 3 AS VARCHAR) AS af_c_id,
  CASE WHEN event_id % 19 = 0 THEN NULL
+  WHEN event_id % 19 = 1 THEN chr(160) || 'Набор' || CAST(user_id % 4 AS VARCHAR) || chr(8195)
   ELSE ' AdSet ' || CAST(user_id % 4 AS VARCHAR) END AS af_adset,
  event_type AS Media_Source,
  CASE event_id % 9 WHEN 0 THEN ' iOS' WHEN 1 THEN 'Android ' WHEN 2 THEN NULL WHEN 3 THEN 'web'
   ELSE 'ios' END AS platform,
  CASE WHEN event_id % 97 = 0 THEN NULL
   ELSE 'af-' || CAST(event_id // 3 AS VARCHAR) END AS appsflyer_id
-FROM events"""
+FROM (SELECT *, '2022-05-0' || CAST(1 + event_id % 7 AS VARCHAR) || ' 1'
+  || CAST(event_id % 10 AS VARCHAR) || ':0' || CAST(event_id % 6 AS VARCHAR) || ':00.123' AS usual
+ FROM events)"""
 
 
 def _clean(text: str) -> str:
