@@ -113,8 +113,9 @@ def run_checks(
 ) -> DataFrame:
     """Write the failing rows of each check to its own audit table; return one row per check.
 
-    Checks of unknown kind or with equal names are refused before any runs.  Each check runs once: its failures are counted on the written table.  A check that cannot
-    run gets the status error, and the others go on.
+    Checks of unknown kind or with equal names are refused before any runs.  Each check runs once:
+    its failures are counted on the written table.  A check that cannot run gets the status error,
+    and the others go on.
     """
     declared = validated(checks)
     audit = Target(target.name, f"{target.schema}{AUDIT}", target.folder)
