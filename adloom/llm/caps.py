@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.common import column, saved
+from adloom.llm.common import column, drop_saved, saved
 from adloom.llm.components import components
 
 
@@ -332,6 +332,7 @@ def near_vectors(
         ),
         "caps-found",
     )
+    drop_saved(nodes, decoded, sides, found)
     lone = rows.where("digest IS NULL").selectExpr(
         "vec_id", "CAST(0 AS BIGINT) AS n_links", "vec_id AS component_id"
     )

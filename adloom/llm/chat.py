@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from adloom.llm.common import column, saved, vocabulary_path
+from adloom.llm.common import column, drop_saved, saved, vocabulary_path
 
 BEGIN, END = "<s>", "</s>"
 
@@ -296,6 +296,7 @@ def chat_forest(
     nodes = saved(
         placed.join(tokens, "node").join(ancestors, "node"), "chat-nodes"
     )
+    drop_saved(tokens, known, steps, placed)
     return ChatForest(
         nodes,
         paths.select("rank", "depth", "node"),

@@ -51,12 +51,13 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
-def drop_saved(frame: DataFrame) -> None:
-    """Delete the files of a frame that ``saved`` wrote and nothing reads any more."""
-    context = frame.sparkSession.sparkContext
-    for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+def drop_saved(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``saved`` wrote and nothing reads any more."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(taken: Iterable[str], name: str) -> str:
