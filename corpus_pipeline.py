@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm import jaccard, mixing, packing, pii, quality
-from adloom.llm.common import prepare, saved, table
+from adloom.llm.common import drop_saved, prepare, saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -67,6 +67,10 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
     docs = table(spark, folder, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, folder), f"pipeline-{name}")
+        if before is not None:
+            drop_saved(before)
+        before = docs
     return STAGES[-1][1](spark, docs, folder)
