@@ -12,10 +12,15 @@ Steps, each over all documents:
 1. A sketch of fixed size counts shingles in hashed buckets; it gives the order.
 2. Every document leaves its longest prefix and a digest of its set; equal sets become one node.
 3. Prefix shingles that occur once are dropped; the others choose each node's prefix length.
-4. Each node is compared with one leader, the node that stands first in most of its shingles'
-   lists.  So a large group of near copies costs one comparison per copy.
-5. Of the shingles' lists, only entries outside the leader's component are then paired with the
-   rest, if places in the prefixes leave room for enough common shingles, and are compared.
+4. Each node is compared with one leader, the nearest of those that stand first in its shingles'
+   lists, then with the nearest of other delegates of the lists that are still of several
+   components.  So a large group of near copies costs a few comparisons per copy.
+5. Of the shingles' lists, only entries outside the largest component are then paired with those
+   of larger components, once for all lists with the same members, if places in the prefixes and
+   bitmaps leave room for enough common shingles, and are compared.
+
+Every set has a bitmap in which each shingle flips one bit.  Two sets differ in at least as many
+shingles as their bitmaps differ in bits, which is an exact bound, and a sharp one for near copies.
 
 Comparisons are exact: sets are made again from the whole texts of the nodes concerned.
 
@@ -32,10 +37,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adloom.llm.common import column, distinct_words, fresh, saved, words
+from adloom.llm.common import column, distinct_words, drop_saved, fresh, saved, words
 from adloom.llm.components import components
 
 # Buckets of the counting sketch: 2 ** 20 counters of 8 bytes, whatever the input.
@@ -45,6 +50,10 @@ CHUNK_BITS = 12
 # Bits that tell which documents must be read again; a fixed size, too.
 FILTER_BITS = 23
 
+# 64-bit words of a set's bitmap, and of the one it is folded to where there are many entries.
+BITMAP_WORDS = 32
+FOLDED_WORDS = 8
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -53,14 +62,18 @@ _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 class JaccardRule:
     """Documents are linked if 100 * intersection >= percent * union.
 
-    ``most_matches`` bounds the prefixes: a cost estimate may ask for that many matches at most.
+    Every set is asked for one match and one more per ``per_match`` shingles; a cost estimate may
+    ask for up to ``extra_matches`` beyond these.
     ``compare_cost`` is the cost of one comparison of sets in prefix entries walked.
     """
 
     width: int = 4
     percent: int = 85
-    most_matches: int = 8
+    per_match: int = 16
+    extra_matches: int = 7
     compare_cost: int = 20
+    # Comparisons of each node with one delegate before the rest of the lists is paired.
+    rounds: int = 1
 
 
 def _mixed(state: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -92,6 +105,25 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return sets
 
 
+def bitmap(own: np.ndarray) -> np.ndarray:
+    """The bits that an odd number of the set's shingles flip."""
+    bits = np.bincount((own & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64),
+                       minlength=64 * BITMAP_WORDS)
+    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
+
+
+def _bitmap_names(words_held: int = FOLDED_WORDS) -> list[str]:
+    return [f"bits{k}" for k in range(words_held)]
+
+
+def _folded() -> list[str]:
+    """The words of the folded bitmap from those of the whole one, as SQL expressions."""
+    return [
+        " ^ ".join(f"bits{k}" for k in range(place, BITMAP_WORDS, FOLDED_WORDS)) + f" AS bits{place}"
+        for place in range(FOLDED_WORDS)
+    ]
+
+
 def _needed(size: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of a set of this size with any set linked to it."""
     return (percent * size + 99) // 100
@@ -146,9 +178,10 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, rule: JaccardRule, classes: np.ndarray) -> DataFrame:
-    """Per document: the size of its set, a digest of it, and its longest prefix in order."""
-    width, percent, most = rule.width, rule.percent, rule.most_matches
+    """Per document: the size of its set, a digest, a bitmap, and its longest prefix in order."""
+    width, percent = rule.width, rule.percent
     shared = docs.sparkSession.sparkContext.broadcast(classes)
+    names = _bitmap_names(BITMAP_WORDS)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of = shared.value
@@ -159,8 +192,10 @@ def signatures(docs: DataFrame, rule: JaccardRule, classes: np.ndarray) -> DataF
                 rank = class_of[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 ordered = own[np.argsort(rank, kind="stable")]
                 size = len(own)
+                most = 1 + size // rule.per_match + rule.extra_matches
                 prefixes.append(ordered[: size - int(_needed(size, percent)) + most])
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()) if size else None)
+            bitmaps = np.array([bitmap(own) for own in sets]).reshape(-1, BITMAP_WORDS).T
             ends = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -169,20 +204,31 @@ def signatures(docs: DataFrame, rule: JaccardRule, classes: np.ndarray) -> DataF
                     pa.array([len(own) for own in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
+                    *(pa.array(column) for column in bitmaps),
                 ],
-                ["doc_id", "size", "digest", "prefix"],
+                ["doc_id", "size", "digest", "prefix", *names],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id bigint, size bigint, digest binary, prefix array<bigint>"
+        sign,
+        "doc_id bigint, size bigint, digest binary, prefix array<bigint>, "
+        + ", ".join(f"{name} bigint" for name in names),
     )
 
 
-def postings(nodes: DataFrame, rule: JaccardRule) -> DataFrame:
+def postings(nodes: DataFrame, rule: JaccardRule) -> tuple[DataFrame, DataFrame]:
     """The prefix entries that can lead to candidates: ``token, node, size, place, rank, matches``.
 
     ``place`` counts all shingles of the node up to the entry, ``rank`` those that other prefixes
     share.  ``matches`` is the node's number of shared shingles asked for.
+
+    A set that may be linked to this one is asked for at least ``1 + least // per_match`` matches,
+    where ``least`` is the smallest size it can have.  A set that shares fewer entries than that
+    with all others together is linked with nothing and left out.  As so many entries are common to both, all
+    but one of that number may be left out on one side: ``skip`` marks those of the longest lists,
+    ``skipped`` is their number.
+
+    Also returns the table of shared tokens, which the entries read.
     """
     entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "token"))
     entries = entries.withColumn("place", F.col("place") + 1)
@@ -192,23 +238,35 @@ def postings(nodes: DataFrame, rule: JaccardRule) -> DataFrame:
     )
     shared = entries.join(often, "token")
     needed = f"(({rule.percent} * size + 99) DIV 100)"
+    asked = [f"(1 + size DIV {rule.per_match} + {m})" for m in range(rule.extra_matches + 1)]
     costs = ", ".join(
-        f"""IF({m} > {needed}, NULL, struct(
+        f"""IF({m} > {needed} AND {m} > 1, NULL, struct(
             sum(IF(place <= size - {needed} + {m}, listed - 1, 0)) OVER (PARTITION BY node)
                 * (1 + {rule.compare_cost} / {m}) AS cost, {m} AS matches))"""
-        for m in range(1, rule.most_matches + 1)
+        for m in asked
     )
-    return (
+    entries = (
         shared.selectExpr(
             "token",
             "node",
             "size",
             "place",
+            "listed",
             "row_number() OVER (PARTITION BY node ORDER BY place) AS rank",
             f"array_min(filter(array({costs}), x -> x IS NOT NULL)).matches AS matches",
         )
         .where(f"place <= size - {needed} + matches")
+        .selectExpr(
+            "token", "node", "size", "place", "rank", "matches",
+            f"{needed} DIV {rule.per_match} AS skipped",
+            "row_number() OVER (PARTITION BY node ORDER BY listed DESC, token)"
+            f" <= {needed} DIV {rule.per_match} AS skip",
+            "count(1) OVER (PARTITION BY node) AS shared",
+        )
+        .where(f"shared > {needed} DIV {rule.per_match}")
+        .drop("shared")
     )
+    return entries, often
 
 
 def _room(rule: JaccardRule) -> str:
@@ -220,13 +278,26 @@ def _room(rule: JaccardRule) -> str:
     return f"100 * {common} >= {rule.percent} * (x.size + y.size - {common})"
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, rule: JaccardRule) -> DataFrame:
-    """The pairs (a, b) of different ids that are linked, by their whole sets."""
+def _apart(words_held: int = FOLDED_WORDS) -> str:
+    """A lower bound of the number of shingles that only one of x and y has."""
+    return " + ".join(f"bit_count(x.{name} ^ y.{name})" for name in _bitmap_names(words_held))
+
+
+def _near(rule: JaccardRule, words_held: int = FOLDED_WORDS) -> str:
+    """Whether the bitmaps of x and y leave room for enough common shingles."""
+    common = f"((x.size + y.size - ({_apart(words_held)})) DIV 2)"
+    return f"100 * {common} >= {rule.percent} * (x.size + y.size - {common})"
+
+
+def read_sets(docs: DataFrame, ids: DataFrame, rule: JaccardRule) -> DataFrame:
+    """The sets of the documents whose ``id`` is given, and of a few others.
+
+    Which texts to read is told by a bitmap of fixed size, so that texts are not shuffled.
+    """
     spark = docs.sparkSession
     mask = (1 << FILTER_BITS) - 1
-    wanted = pairs.selectExpr("inline(array(struct(a AS id), struct(b AS id)))")
     marked = (
-        wanted.selectExpr(f"(id & {mask}) DIV 32 AS word", "CAST(id & 31 AS INT) AS bit")
+        ids.selectExpr(f"(id & {mask}) DIV 32 AS word", "CAST(id & 31 AS INT) AS bit")
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(CAST(1 AS BIGINT), bit))").alias("bits"))
         .toArrow()
@@ -252,26 +323,103 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, rule: JaccardRule) -> DataF
                 ["id", "shingles"],
             )
 
-    sets = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
         read, "id bigint, shingles array<bigint>"
     )
+
+
+def linked_pairs(pairs: DataFrame, sets: DataFrame, rule: JaccardRule) -> DataFrame:
+    """The pairs (a, b) of different ids that are linked, by their whole sets."""
     first = sets.selectExpr("id AS a", "shingles AS x")
     second = sets.selectExpr("id AS b", "shingles AS y")
     common = pairs.join(first, "a").join(second, "b").selectExpr(
-        "a", "b", "size(x) + size(y) AS sizes", "size(array_intersect(x, y)) AS common"
+        *pairs.columns, "size(x) + size(y) AS sizes", "size(array_intersect(x, y)) AS common"
+    )
+    return common.where(f"100 * common >= {rule.percent} * (sizes - common)").select(*pairs.columns)
+
+
+def _entry(bits: list[str]) -> Column:
+    return F.struct("place", "size", "rank", *bits)
+
+
+def _open(lists: DataFrame) -> DataFrame:
+    """The lists that have entries outside their leader's component."""
+    tokens = lists.where("component != leading").select("token").distinct()
+    return lists.join(tokens, "token", "left_semi")
+
+
+def _delegates(lists: DataFrame, turn: int) -> DataFrame:
+    """An entry of each list, picked by digest."""
+    chance = F.xxhash64("node", "token", F.lit(turn)).alias("chance")
+    left_out = ("token", "node", "matches", "leading", "skip", "skipped")
+    own = [name for name in lists.columns if name not in left_out]
+    return lists.groupBy("token").agg(F.min(F.struct(chance, "node", *own)).alias("delegate"))
+
+
+def _alike_lists(weighed: DataFrame) -> DataFrame:
+    """One entry per node for all lists that hold the very same nodes.
+
+    Two long near copies share hundreds of shingles that nobody else has; this makes them meet once.
+    The first of the shared shingles is the same for all nodes, as their order is, so the least
+    place and rank belong together.  Lists are told apart by two digests and their length.
+    """
+    lists = saved(
+        weighed.groupBy("token").agg(
+            F.struct(
+                F.bit_xor(F.xxhash64("node")).alias("one"),
+                F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+                F.count(F.lit(1)).alias("n"),
+            ).alias("members"),
+            F.max("weight").alias("largest"),
+        ),
+        "jaccard-members",
     )
-    return common.where(f"100 * common >= {rule.percent} * (sizes - common)").select("a", "b")
+    same = ["size", "matches", "skipped", "component", "weight", "largest"]
+    return (
+        weighed.join(lists, "token")
+        .groupBy("members", "node")
+        .agg(
+            F.min("place").alias("place"),
+            F.min("rank").alias("rank"),
+            F.count_if(~F.col("skip")).alias("kept"),
+            *(F.first(name).alias(name) for name in same),
+        )
+    )
+
+
+def _with_label(frame: DataFrame, name: str, merged: DataFrame) -> DataFrame:
+    """Replace the components in a column by those they have become part of."""
+    labels = merged.select(F.col("node").alias(name), F.col("component").alias("label"))
+    return frame.join(labels, name, "left").withColumn(
+        name, F.coalesce("label", name)
+    ).drop("label")
+
 
+def _relabelled(lists: DataFrame, merged: DataFrame) -> DataFrame:
+    return _with_label(_with_label(lists, "component", merged), "leading", merged)
 
-def _led(entries: DataFrame) -> DataFrame:
-    """Add to every entry the leader of its token's list, the entry with the smallest place."""
+
+def _merged(pairs: DataFrame, sets: DataFrame, rule: JaccardRule) -> DataFrame:
+    """Compare pairs (a, b) of components (ca, cb); which components are one now."""
+    pairs = saved(pairs, "jaccard-candidates")
+    links = saved(linked_pairs(pairs, sets, rule).select("ca", "cb"), "jaccard-links")
+    merged = saved(components(links, "ca", "cb"), "jaccard-merged")
+    drop_saved(pairs, links)
+    return merged
+
+
+def _led(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add to every entry the leader of its token's list, the entry with the smallest place.
+
+    Also returns the table of leaders, which the result reads.
+    """
     leaders = saved(
         entries.groupBy("token").agg(
             F.min(F.struct("place", "node", "size", "rank")).alias("leader")
         ),
         "jaccard-leaders",
     )
-    return entries.join(leaders, "token")
+    return entries.join(leaders, "token"), leaders
 
 
 def similar_documents(
@@ -284,6 +432,7 @@ def similar_documents(
     narrow = docs.select(
         column(doc_id).cast("bigint").alias("doc_id"), column(text).alias("text")
     )
+    bits, whole = _bitmap_names(), _bitmap_names(BITMAP_WORDS)
     classes = frequency_classes(sketch(narrow, rule))
     signed = saved(signatures(narrow, rule, classes), "jaccard-signatures")
     nodes = saved(
@@ -293,69 +442,124 @@ def similar_documents(
             F.min("doc_id").alias("node"),
             F.first("size").alias("size"),
             F.first("prefix").alias("prefix"),
+            *(F.first(name).alias(name) for name in whole),
         ),
         "jaccard-nodes",
     )
-    entries = saved(postings(nodes, rule), "jaccard-entries")
-    led = saved(_led(entries), "jaccard-led")
+    entries, often = postings(nodes, rule)
+    entries = saved(entries, "jaccard-entries")
+    drop_saved(often)
+    led, leaders = _led(entries)
+    led = saved(led, "jaccard-led")
+    drop_saved(entries, leaders)
+
+    bitmaps = nodes.selectExpr("node", "size", *_folded())
 
-    # One comparison per node: with the leader of most of its entries that leave room.
+    # One comparison per node: with the nearest leader of its entries that leave room.
     x, y = "struct(place, size, rank) AS x", "leader AS y"
     starred = (
         led.where("leader.node != node")
         .selectExpr("node", "leader.node AS other", x, y)
         .where(_room(rule))
-        .groupBy("node", "other")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select("node", "other")
+        .distinct()
+        .join(bitmaps.select("node", F.struct("size", *bits).alias("x")), "node")
+        .join(bitmaps.select(F.col("node").alias("other"), F.struct("size", *bits).alias("y")), "other")
+        .where(_near(rule))
+        .selectExpr("node", f"struct({_apart()} AS apart, other) AS near")
         .groupBy("node")
-        .agg(F.max(F.struct("n", F.expr("-other AS other"))).alias("best"))
-        .selectExpr("node AS a", "-best.other AS b")
+        .agg(F.min("near").alias("best"))
+        .selectExpr("node AS a", "best.other AS b")
     )
-    stars = saved(similar_pairs(narrow, saved(starred, "jaccard-stars"), rule), "jaccard-links")
+    starred = saved(starred, "jaccard-stars")
+    ends = starred.selectExpr("inline(array(struct(a AS id), struct(b AS id)))")
+    stars = saved(linked_pairs(starred, read_sets(narrow, ends, rule), rule), "jaccard-links")
     grouped = saved(components(stars, "a", "b"), "jaccard-groups")
-
-    # What is left: entries outside the component of their list's leader, against the whole list.
-    known = led.join(grouped, "node", "left").selectExpr(
-        "token", "node", "size", "place", "rank", "matches", "leader.node AS other",
+    lists = led.join(grouped, "node", "left").selectExpr(
+        "token", "node", "size", "place", "rank", "matches", "skip", "skipped",
+        "leader.node AS leading",
         "coalesce(component, node) AS component",
     )
-    leading = grouped.selectExpr("node AS other", "component AS leading")
-    known = saved(
-        known.join(leading, "other", "left").selectExpr(
-            "token", "node", "size", "place", "rank", "matches", "component",
-            "coalesce(leading, other) = component AS inside",
+    labels = grouped.select(F.col("node").alias("leading"), F.col("component").alias("label"))
+    lists = lists.join(labels, "leading", "left").withColumn(
+        "leading", F.expr("coalesce(label, leading)")
+    )
+    known = saved(lists.drop("label"), "jaccard-known")
+    lists = saved(_open(known).join(bitmaps.drop("size"), "node"), "jaccard-lists")
+    drop_saved(starred, stars, led, known)
+    sets = saved(
+        read_sets(narrow, lists.select(F.col("node").alias("id")), rule), "jaccard-sets"
+    )
+
+    # Then with the nearest of its lists' delegates, which change from round to round.
+    merges = []
+    for turn in range(rule.rounds):
+        delegates = saved(_delegates(lists, turn), "jaccard-delegates")
+        near = (
+            lists.join(delegates, "token")
+            .where("component != delegate.component")
+            .select("node", "component", _entry(bits).alias("x"), F.col("delegate").alias("y"))
+            .where(f"{_room(rule)} AND {_near(rule)}")
+            .selectExpr(
+                "node", "component",
+                f"struct({_apart()} AS apart, y.node AS other, y.component AS label) AS near",
+            )
+            .groupBy("node", "component")
+            .agg(F.min("near").alias("best"))
+            .selectExpr("node AS a", "best.other AS b", "component AS ca", "best.label AS cb")
+        )
+        merged = _merged(near, sets, rule)
+        merges.append(merged)
+        relabelled = saved(_relabelled(lists, merged), "jaccard-known")
+        drop_saved(lists, delegates)
+        lists = saved(_open(relabelled), "jaccard-lists")
+        drop_saved(relabelled)
+
+    # What is left: entries outside the largest component of their list, against those of larger
+    # components.  So of two nodes always the same one has entries left out.
+    sizes = saved(
+        lists.select("node", "component").distinct().groupBy("component").agg(
+            F.struct(F.count(F.lit(1)).alias("nodes"), "component").alias("weight")
         ),
-        "jaccard-known",
+        "jaccard-sizes",
     )
-    open_lists = saved(known.where("NOT inside").select("token").distinct(), "jaccard-open")
-    lists = saved(known.join(open_lists, "token"), "jaccard-lists")
+    weighed = saved(lists.drop("leading").join(sizes, "component"), "jaccard-lists")
+    drop_saved(lists, sizes)
+    alike = saved(
+        _alike_lists(weighed).join(nodes.select("node", *whole), "node"), "jaccard-alike"
+    )
+    drop_saved(weighed)
     candidates = (
-        lists.where("NOT inside").alias("x")
+        alike.where("weight < largest AND kept > 0").alias("x")
         .join(
-            lists.alias("y"),
+            alike.alias("y"),
             F.expr(
-                f"""x.token = y.token AND x.component != y.component
-                AND (y.inside OR x.node < y.node) AND {_room(rule)}"""
+                f"""x.members = y.members AND x.weight < y.weight
+                AND {_room(rule)} AND {_near(rule, BITMAP_WORDS)}"""
             ),
         )
         .selectExpr(
             "least(x.node, y.node) AS a",
             "greatest(x.node, y.node) AS b",
-            "least(x.matches, y.matches) AS asked",
+            "IF(x.node < y.node, x.component, y.component) AS ca",
+            "IF(x.node < y.node, y.component, x.component) AS cb",
+            "least(x.matches, y.matches) - x.skipped AS asked",
+            "x.kept AS kept",
         )
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("asked").alias("asked"))
+        .groupBy("a", "b", "ca", "cb")
+        .agg(F.sum("kept").alias("n"), F.first("asked").alias("asked"))
         .where("n >= asked")
-        .select("a", "b")
+        .select("a", "b", "ca", "cb")
     )
-    rest = similar_pairs(narrow, saved(candidates, "jaccard-candidates"), rule)
-    links = saved(rest.union(stars), "jaccard-all-links")
-    found = saved(components(links, "a", "b"), "jaccard-components")
+    merges.append(_merged(candidates, sets, rule))
 
-    of_node = nodes.select("digest", "node").join(found, "node", "left").selectExpr(
-        "digest", "coalesce(component, node) AS component_id"
+    of_node = nodes.select("digest", "node").join(grouped, "node", "left").selectExpr(
+        "digest", "coalesce(component, node) AS component"
     )
-    of_node = saved(of_node, "jaccard-classes")
+    for merged in merges:
+        of_node = _with_label(of_node, "component", merged)
+    of_node = saved(of_node.withColumnRenamed("component", "component_id"), "jaccard-classes")
+    drop_saved(nodes, grouped, alike, sets, *merges)
     result = (
         signed.where("size > 0 AND doc_id IS NOT NULL")
         .select("doc_id", "size", "digest")
@@ -384,14 +588,8 @@ def one_of_each_group(
     without an id stay.
     """
     found = saved(similar_documents(docs, rule, doc_id, text), "jaccard-documents")
-    dropped = (
-        found.where(column(doc_id) != F.col("component_id"))
-        .select(column(doc_id).alias(fresh(docs.columns, "dropped_id")))
-        .distinct()
-    )
-    name = dropped.columns[0]
+    kept = _without(docs, found.where(column(doc_id) != F.col("component_id")), doc_id)
     place = fresh(docs.columns, "place")
-    kept = docs.join(dropped, column(doc_id).cast("bigint") == F.col(name), "left_anti")
     first = Window.partitionBy(column(doc_id)).orderBy(column(text))
     repeated = found.groupBy(column(doc_id)).count().where("count > 1").limit(1).count()
     if not repeated:
@@ -401,3 +599,33 @@ def one_of_each_group(
         .where((F.col(place) == 1) | column(doc_id).isNull())
         .drop(place)
     )
+
+
+def _without(docs: DataFrame, found: DataFrame, doc_id: str) -> DataFrame:
+    """The documents without those whose ids are found.
+
+    A bitmap of fixed size, broadcast as rows of 32 bits, tells which documents may be among them;
+    only these texts are shuffled to be compared by id.
+    """
+    mask = (1 << FILTER_BITS) - 1
+    names = [fresh(docs.columns, name) for name in ("dropped_id", "bitmap_word", "bitmap_bits")]
+    dropped_id, word, bits = names
+    dropped = saved(
+        found.select(column(doc_id).cast("bigint").alias(dropped_id)).distinct(), "jaccard-dropped"
+    )
+    bitmap_rows = saved(
+        dropped.selectExpr(
+            f"({dropped_id} & {mask}) DIV 32 AS {word}", f"CAST({dropped_id} & 31 AS INT) AS bit"
+        )
+        .groupBy(word)
+        .agg(F.expr("bit_or(shiftleft(CAST(1 AS BIGINT), bit))").alias(bits)),
+        "jaccard-bitmap",
+    )
+    own = column(doc_id).cast("bigint")
+    marked = docs.withColumn(word, F.floor(own.bitwiseAND(mask) / 32)).join(
+        F.broadcast(bitmap_rows), word, "left"
+    )
+    bit = F.expr(f"shiftright({bits}, CAST(CAST(`{doc_id}` AS BIGINT) & 31 AS INT)) & 1")
+    hit = F.coalesce(bit == 1, F.lit(False))
+    maybe = marked.where(hit).join(dropped, own == F.col(dropped_id), "left_anti")
+    return marked.where(~hit).union(maybe).select(*map(column, docs.columns))
