@@ -16,6 +16,9 @@ from adloom.llm.common import drop_saved, prepare, saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Near duplicates share four fifths of their five-word shingles; op2's rule is a contract of its own.
+NEAR_DUPLICATES = jaccard.JaccardRule(width=5, percent=80)
+
 
 def _measured(docs: DataFrame) -> DataFrame:
     """Bring the length column up to date with the texts."""
@@ -31,7 +34,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of similar ones, that with the least id; rows without id stay."""
     prepare(spark)
-    return jaccard.one_of_each_group(docs)
+    return jaccard.one_of_each_group(docs, NEAR_DUPLICATES)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

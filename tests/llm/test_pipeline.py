@@ -71,6 +71,43 @@ def test_each_stage_decides(spark):
     assert len({p.sequence_id for p in pieces}) * 4096 < sum(p.length for p in pieces) + 4096
 
 
+def similarity(a: str, b: str, width: int) -> float:
+    x, y = (
+        {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
+        for words in (a.split(), b.split())
+    )
+    return len(x & y) / len(x | y)
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    chance = random.Random(3)
+    texts = []
+    for group in range(30):
+        base = [f"g{group}w{k}" for k in range(chance.choice([60, 100, 140]))]
+        for changes in (0, 1, 2, 3, 4):
+            copy = base[:]
+            for place in chance.sample(range(len(copy)), changes):
+                copy[place] = f"c{chance.randrange(10**9)}"
+            texts.append(" ".join(copy))
+    plain = [f"w{k}" for k in range(100)]
+    texts += [" ".join(plain), " ".join(plain[:30] + ["x"] + plain[31:70] + ["y"] + plain[71:])]
+    assert similarity(*texts[-2:], 5) == 86 / 106 and similarity(*texts[-2:], 4) == 89 / 105
+    chance.shuffle(texts)
+    component = list(range(len(texts)))
+    between = 0
+    for b in range(len(texts)):
+        for a in range(b):
+            alike = similarity(texts[a], texts[b], 5)
+            between += 0.8 <= alike < 0.85
+            if alike >= 0.8:
+                old, new = sorted((component[a], component[b]), reverse=True)
+                component = [new if c == old else c for c in component]
+    assert between >= 10
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = corpus_pipeline.without_near_duplicates(spark, frame, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(component))
+
+
 def test_run_over_the_smallest_tables(spark):
     frame = corpus_pipeline.run(spark, FOLDER)
     assert frame.columns[0] == "doc_id" and frame.count() > 100
