@@ -14,7 +14,8 @@ shares give the tables.  A page's own share is taken out of what it is judged by
 
 Defined cases: a page without visible text is judged by the rest; a null address has no host; markup
 without a declared language says nothing; a document without a label or text is not learned from;
-without any labelled document every language is null; an empty table gives an empty result.
+without any labelled document every language is null; more labels than ``most_languages`` are an
+error; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ class LanguageRule:
     added: float = 0.5
     # Pages that a smoothing step counts as.
     strength: float = 5.0
+    # More labels than this are an error: the driver holds 512 KB of counts for each, several times.
+    most_languages: int = 500
 
 
 def visible_text(page: str) -> str:
@@ -93,6 +96,11 @@ def learn_languages(
     labelled = docs.select(column(text).alias("text"), column(lang).alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
+    if labelled.select("lang").distinct().limit(rule.most_languages + 1).count() > rule.most_languages:
+        raise ValueError(
+            f"{lang} has more than {rule.most_languages} different values; clean the labels, or raise"
+            " most_languages if the driver and the tasks have memory for their counts"
+        )
     counted = (
         labelled.mapInArrow(count, "lang string, bucket int, n bigint")
         .groupBy("lang", "bucket")

@@ -56,6 +56,16 @@ def test_markup_suffix_and_host_decide_without_text(spark, labelled):
     assert all(0 < r.probability <= 1 for r in found)
 
 
+def test_too_many_labels_are_an_error(spark):
+    most = language.LanguageRule().most_languages
+    docs = spark.range(most + 1).selectExpr("id AS doc_id", "'a text' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError, match=f"lang has more than {most} different values"):
+        language.learn_languages(docs, language.LanguageRule(), "text", "lang")
+    few = docs.where(f"doc_id < {most}")
+    names, _ = language.learn_languages(few, language.LanguageRule(), "text", "lang")
+    assert len(names) == most
+
+
 def test_visible_text():
     html = "a<!-- x --><nav>b</nav><STYLE>c</STYLE><p>d &amp; e</p><script>f<g</script>"
     assert language.visible_text(html).split() == ["a", "d", "&", "e"]
