@@ -119,12 +119,13 @@ def host_verdicts(flags: DataFrame, rules: QualityRules) -> DataFrame:
     )
     strength = f"""least({rules.strongest}D, greatest({rules.weakest}D,
         IF(variance > 0, mean * (1 - mean) / variance - 1, {rules.strongest}D)))"""
+    # Two aggregates of one row each; hosts can be too many for a window over all of them.
+    hosts = saved(hosts, "quality-counts")
+    mean = hosts.selectExpr("CAST(sum(f) AS DOUBLE) / sum(n) AS mean")
+    with_mean = hosts.crossJoin(F.broadcast(mean))
+    variance = with_mean.selectExpr("sum(n * (f / n - mean) * (f / n - mean)) / sum(n) AS variance")
     return (
-        hosts.selectExpr("*", "CAST(sum(f) OVER () AS DOUBLE) / sum(n) OVER () AS mean")
-        .selectExpr(
-            "*",
-            "sum(n * (f / n - mean) * (f / n - mean)) OVER () / sum(n) OVER () AS variance",
-        )
+        with_mean.crossJoin(F.broadcast(variance))
         .selectExpr("host", "n", "f", "mean", f"{strength} AS strength")
         .selectExpr(
             "host", f"(f + mean * strength) / (n + strength) > {rules.host_limit}D AS bad_host"

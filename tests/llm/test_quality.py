@@ -64,6 +64,25 @@ def test_a_host_decides_on_soft_failures(spark):
     assert not any(kept[3000 + k] for k in range(100))
 
 
+def test_hosts_are_judged_without_a_window_over_all(spark):
+    chance = random.Random(5)
+    counts = {f"h{k}": chance.randint(1, 60) for k in range(200)}
+    fails = {host: min(n, chance.choice([0, 0, 0, 1, n // 2])) for host, n in counts.items()}
+    rows = [(host, k < fails[host]) for host, n in counts.items() for k in range(n)]
+    rules = quality.QualityRules()
+    found = quality.host_verdicts(spark.createDataFrame(rows, "host string, failed boolean"), rules)
+    total = sum(counts.values())
+    mean = sum(fails.values()) / total
+    variance = sum(n * (fails[h] / n - mean) ** 2 for h, n in counts.items()) / total
+    strength = min(rules.strongest, max(rules.weakest, mean * (1 - mean) / variance - 1))
+    expected = {
+        h: (fails[h] + mean * strength) / (n + strength) > rules.host_limit for h, n in counts.items()
+    }
+    assert {row.host: row.bad_host for row in found.collect()} == expected
+    assert set(expected.values()) == {True, False}
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_good_documents_keep_columns(spark):
     rows = [(k, prose(k), None, "w", k % 2 == 0) for k in range(20)] + [(99, "short", None, "w", True)]
     frame = spark.createDataFrame(
