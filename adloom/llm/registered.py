@@ -19,6 +19,7 @@ from adloom.llm import (
     quality,
     sharding,
     statements,
+    whitening,
 )
 from adloom.llm.common import table
 
@@ -79,6 +80,10 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_caps": op1_caps,
@@ -91,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_language": op9_language,
         "op10_lm_score": op10_lm_score,
+        "op13_whitening": op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
 
