@@ -12,6 +12,7 @@ from adloom.llm import (
     chat,
     jaccard,
     language,
+    lexical,
     lm_score,
     mixing,
     packing,
@@ -80,6 +81,12 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.best_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings"))
 
@@ -96,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_language": op9_language,
         "op10_lm_score": op10_lm_score,
+        "op11_hybrid_search": op11_hybrid_search,
         "op13_whitening": op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
@@ -108,4 +116,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat": statements.CHAT,
         "op7_mixing": statements.MIXING,
         "op8_quality": statements.QUALITY,
+        "op11_hybrid_search": statements.SEARCH,
     }

@@ -148,3 +148,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT (soft AND bad_host) AS kept
 FROM flagged JOIN verdicts USING (host)
 """
+
+SEARCH = r"""
+WITH texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, item_id, text FROM benchmark),
+terms AS (
+  SELECT kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM texts),
+lengths AS (SELECT id AS doc_id, count(*) AS n FROM terms WHERE kind = 0 GROUP BY id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+asked AS (SELECT DISTINCT id AS item_id, term FROM terms WHERE kind = 1),
+counts AS (
+  SELECT id AS doc_id, term, count(*) AS tf FROM terms
+  WHERE kind = 0 AND term IN (SELECT term FROM asked) GROUP BY id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT
+      AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER best AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER best <= 50
+"""

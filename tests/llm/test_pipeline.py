@@ -31,7 +31,7 @@ def test_query_equals_statement(spark, duckdb_tables, name):
 
 def test_every_operator_is_registered():
     numbers = {name.split("_")[0] for name in entry_points.queries() if name.startswith("op")}
-    assert numbers == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry_points.queries()
+    assert numbers == {f"op{k}" for k in range(1, 14)} and "pipeline" in entry_points.queries()
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "pii", "mixing", "packing",
     ]
