@@ -185,9 +185,8 @@ class Shard:
 
     def search(self, query: np.ndarray, best: Best) -> None:
         """Add the shard's documents that can be among the query's best."""
-        at = np.searchsorted(self.terms, query)
-        at = at[at < len(self.terms)]
-        lists = at[np.isin(self.terms[at], query)]
+        at = np.minimum(np.searchsorted(self.terms, query), len(self.terms) - 1)
+        lists = at[self.terms[at] == query]
         places = self.long_place[lists]
         sums = self.accumulated(lists[places < 0])
         places = places[places >= 0]
@@ -261,12 +260,11 @@ def searched(
                 shard.search(query, own)
 
         docs = entries = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            docs += batch.num_rows
-            entries += len(batch.column("terms").flatten())
+        step = min(1000, rule.shard_documents)
+        for piece in (b.slice(k, step) for b in batches for k in range(0, b.num_rows, step)):
+            held.append(piece)
+            docs += piece.num_rows
+            entries += len(piece.column("terms").flatten())
             if docs >= rule.shard_documents or entries >= rule.shard_entries:
                 answer()
                 docs = entries = 0

@@ -75,7 +75,7 @@ def collection(seed: int, n: int) -> tuple[list, list]:
     [
         lexical.SearchRule(),
         lexical.SearchRule(shard_documents=100, block=8, short=0.1, block_terms=60, parts=3),
-        lexical.SearchRule(top=3, shard_entries=500, block=16, short=0.0),
+        lexical.SearchRule(top=3, shard_documents=40, shard_entries=500, block=16, short=0.0),
         lexical.SearchRule(top=7, shard_documents=250, block=4, short=1.0),
     ],
 )
