@@ -20,6 +20,7 @@ from adloom.llm import (
     quality,
     sharding,
     statements,
+    syncmers,
     whitening,
 )
 from adloom.llm.common import table
@@ -87,6 +88,10 @@ def op11_hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.compared_with_next(table(spark, folder, "documents"))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings"))
 
@@ -104,6 +109,7 @@ def queries() -> dict[str, Query]:
         "op9_language": op9_language,
         "op10_lm_score": op10_lm_score,
         "op11_hybrid_search": op11_hybrid_search,
+        "op12_syncmers": op12_syncmers,
         "op13_whitening": op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
