@@ -55,12 +55,12 @@ class WhiteningRule:
     # Residuals, as parts of the largest eigenvalue and per root of the dimension.
     tolerance: float = 1e-14
     # Directions searched beyond those wanted.
-    spare: int = 4
+    spare: int = 8
     # MINRES steps for a correction, and the part of its residual that may be left.
-    inner_steps: int = 4
+    inner_steps: int = 2
     inner_left: float = 0.05
     # The search space shrinks when it is so many times as wide as at the start.
-    widest: int = 5
+    widest: int = 8
     most_rounds: int = 300
     seed: int = 13
 
