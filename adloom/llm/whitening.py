@@ -36,10 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import column, saved
+from adloom.session import MIB, input_bytes
 
 # Sums of tasks are added up in so many groups before the driver adds the rest.
 GROUPS = 64
 
+# Bytes of vectors in a file that the products read, so that they don't open many small files.
+FILE_BYTES = 32 * MIB
+
 # Digits of whole numbers are summed in two parts, so that 64 bits hold the sums.
 LOW_BITS = 31
 
@@ -411,7 +415,10 @@ def whitened(
     narrow = vectors.select(
         column(vec_id).cast("bigint").alias("vec_id"), column(embedding).alias("vector")
     )
-    rows = saved(whole_entries(narrow, rule), "whitening-rows")
+    # Merging partitions needs no shuffle, and does nothing where there are fewer.
+    parallel = narrow.sparkSession.sparkContext.defaultParallelism
+    files = max(parallel, input_bytes([narrow]) // FILE_BYTES)
+    rows = saved(whole_entries(narrow, rule).coalesce(files), "whitening-rows")
     parts = []
     # One row per length of vectors: one, in a sound table.
     for length, n in sorted(tuple(r) for r in rows.groupBy("length").count().collect()):
