@@ -43,6 +43,7 @@ GROUPS = 64
 
 # Bytes of vectors in a file that the products read, so that they don't open many small files.
 FILE_BYTES = 32 * MIB
+MOST_FILES = 100_000
 
 # Digits of whole numbers are summed in two parts, so that 64 bits hold the sums.
 LOW_BITS = 31
@@ -417,7 +418,7 @@ def whitened(
     )
     # Merging partitions needs no shuffle, and does nothing where there are fewer.
     parallel = narrow.sparkSession.sparkContext.defaultParallelism
-    files = max(parallel, input_bytes([narrow]) // FILE_BYTES)
+    files = max(parallel, min(MOST_FILES, input_bytes([narrow]) // FILE_BYTES))
     rows = saved(whole_entries(narrow, rule).coalesce(files), "whitening-rows")
     parts = []
     # One row per length of vectors: one, in a sound table.
