@@ -2,7 +2,7 @@
 
 The covariance is never formed.  All that is asked of the vectors is its product with a narrow
 block of directions: every task centres its vectors, multiplies them with the block and back, and
-sums; the sums of tasks are added up in a second stage, so that the driver receives few of them.
+sums; the sums of many tasks are added up in a second stage, so that the driver receives few.
 
 Around these products runs a block Jacobi-Davidson iteration.  A search space holds trial
 directions; a Rayleigh-Ritz step picks from it the pairs nearest to eigenpairs.  For each wanted
@@ -49,7 +49,6 @@ MOST_FILES = 100_000
 LOW_BITS = 31
 
 Product = Callable[[np.ndarray], np.ndarray]
-Matrices = Iterator[np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -141,14 +140,24 @@ def _matrix(entries: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(raw), np.int64).reshape(len(raw), -1)
 
 
-def distributed_sum(rows: DataFrame, part: Callable[[Matrices], np.ndarray]) -> np.ndarray:
-    """The sum over all tasks of what ``part`` makes of a task's vectors.
+def distributed_sum(
+    rows: DataFrame, part: Callable[[np.ndarray], np.ndarray], tasks: int | None = None
+) -> np.ndarray:
+    """The sum of what ``part`` makes of all vectors, some at a time.
 
-    Tasks' sums are added in order of their numbers, so that a repeated run rounds alike.
+    Tasks' sums are added in order of their numbers, so that a repeated run rounds alike.  The
+    driver receives no more than ``GROUPS`` of them: if there are more tasks, a second stage adds
+    them up in so many groups.
     """
+    if tasks is None:
+        tasks = rows.rdd.getNumPartitions()
 
     def sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = part(_matrix(b.column("entries")) for b in batches if b.num_rows)
+        own = None
+        for batch in batches:
+            if batch.num_rows:
+                found = part(_matrix(batch.column("entries")))
+                own = found if own is None else own + found
         if own is not None:
             number = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
@@ -180,28 +189,22 @@ def distributed_sum(rows: DataFrame, part: Callable[[Matrices], np.ndarray]) ->
             )
 
     schema = "task int, group int, kind string, numbers binary"
-    grouped = rows.select("entries").mapInArrow(sum_task, schema).repartition("group")
-    sums = grouped.sortWithinPartitions("group", "task").mapInArrow(add, schema).collect()
-    return reduce(
-        np.add, (np.frombuffer(r.numbers, r.kind) for r in sorted(sums, key=lambda r: r.group))
-    )
-
-
-def _added(parts: Iterator[np.ndarray]) -> np.ndarray | None:
-    total = None
-    for own in parts:
-        total = own if total is None else total + own
-    return total
+    sums = rows.select("entries").mapInArrow(sum_task, schema)
+    if tasks > GROUPS:
+        in_order = sums.repartition("group").sortWithinPartitions("group", "task")
+        sums = in_order.mapInArrow(add, schema)
+    found = sorted(sums.collect(), key=lambda r: (r.task, r.group))
+    return reduce(np.add, (np.frombuffer(r.numbers, r.kind) for r in found))
 
 
-def column_sums(rows: DataFrame) -> list[int]:
+def column_sums(rows: DataFrame, tasks: int | None = None) -> list[int]:
     """The exact sum of each entry over all vectors."""
 
     def of(entries: np.ndarray) -> np.ndarray:
         low = entries & ((1 << LOW_BITS) - 1)
-        return np.stack(((entries >> LOW_BITS).sum(axis=0), low.sum(axis=0)))
+        return np.concatenate(((entries >> LOW_BITS).sum(axis=0), low.sum(axis=0)))
 
-    high, low = distributed_sum(rows, lambda m: _added(map(of, m))).reshape(2, -1).tolist()
+    high, low = distributed_sum(rows, of, tasks).reshape(2, -1).tolist()
     return [(h << LOW_BITS) + part for h, part in zip(high, low)]
 
 
@@ -325,7 +328,8 @@ def leading_pairs(
 
 def fit(rows: DataFrame, n: int, rule: WhiteningRule) -> Whitening:
     """The whitening of all vectors, which have one length, as ``whole_entries`` gives them."""
-    sums = column_sums(rows)
+    tasks = rows.rdd.getNumPartitions()
+    sums = column_sums(rows, tasks)
     whole = np.array([s // n for s in sums], np.int64)
     rest = np.array([s % n for s in sums], np.int64)
     dimension = len(sums)
@@ -336,12 +340,12 @@ def fit(rows: DataFrame, n: int, rule: WhiteningRule) -> Whitening:
             apart = centre(entries)
             return (apart.T @ (apart @ block)).ravel()
 
-        return distributed_sum(rows, lambda m: _added(map(of, m))).reshape(block.shape) / n
+        return distributed_sum(rows, of, tasks).reshape(block.shape) / n
 
     def squares(entries: np.ndarray) -> np.ndarray:
         return np.square(centre(entries)).sum(keepdims=True).ravel()
 
-    trace = float(distributed_sum(rows, lambda m: _added(map(squares, m)))[0]) / n
+    trace = float(distributed_sum(rows, squares, tasks)[0]) / n
     values, vectors = leading_pairs(product, dimension, rule)
     varied = values > dimension * np.finfo(np.float64).eps * max(trace, 0.0)
     found = Whitening(n, whole, rest, vectors[:, varied], values[varied], trace)
@@ -359,13 +363,13 @@ def _identity_error(rows: DataFrame, found: Whitening) -> float:
     def sums(entries: np.ndarray) -> np.ndarray:
         return (found.centred(entries) @ projection).sum(axis=0)
 
-    mean = distributed_sum(rows, lambda m: _added(map(sums, m))) / found.n
+    mean = distributed_sum(rows, sums) / found.n
 
     def products(entries: np.ndarray) -> np.ndarray:
         apart = found.centred(entries) @ projection - mean
         return (apart.T @ apart).ravel()
 
-    covariance = distributed_sum(rows, lambda m: _added(map(products, m))) / found.n
+    covariance = distributed_sum(rows, products) / found.n
     return float(np.abs(covariance.reshape(size, size) - np.eye(size)).max())
 
 

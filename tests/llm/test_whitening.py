@@ -127,6 +127,21 @@ def test_pairs_of_known_matrices(dimension, spread):
     assert products < 260
 
 
+def test_sums_of_many_tasks_are_added_in_groups(spark, monkeypatch):
+    chance = np.random.default_rng(8)
+    vectors = chance.normal(size=(90, 6)).tolist()
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id int, embedding array<double>")
+    rows = whitening.whole_entries(
+        frame.selectExpr("vec_id", "embedding AS vector"), whitening.WhiteningRule()
+    ).repartition(12)
+    one = whitening.column_sums(rows)
+    monkeypatch.setattr(whitening, "GROUPS", 5)
+    assert whitening.column_sums(rows) == one
+    x = np.floor(1024 * np.array(vectors)).astype(np.int64) + 100_000
+    assert one == x.sum(axis=0).tolist()
+    compared(table(whitening.whitened(frame.repartition(9)).collect()), list(range(90)), vectors)
+
+
 def test_minres_solves_each_column():
     chance = np.random.default_rng(3)
     one = chance.normal(size=(30, 30))
