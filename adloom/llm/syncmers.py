@@ -43,7 +43,7 @@ class SyncmerRule:
     # Characters after which a run without white space is cut.
     longest: int = 16
     # Characters of texts in a slice, and the most slices, which are sorted by tasks each.
-    slice_chars: int = 8_000_000
+    slice_chars: int = 2_000_000
     most_slices: int = 20_000
 
 

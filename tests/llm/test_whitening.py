@@ -130,7 +130,7 @@ def test_pairs_of_known_matrices(dimension, spread):
 def test_sums_of_many_tasks_are_added_in_groups(spark, monkeypatch):
     chance = np.random.default_rng(8)
     vectors = chance.normal(size=(90, 6)).tolist()
-    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id int, embedding array<double>")
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
     rows = whitening.whole_entries(
         frame.selectExpr("vec_id", "embedding AS vector"), whitening.WhiteningRule()
     ).repartition(12)
