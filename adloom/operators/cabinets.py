@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions import is_realweb, is_ret_campaign, platform, process_strings
 from adloom.functions import safe_float, safe_int
+from adloom.operators.sums import exact_sums
 
 
 @dataclass(frozen=True)
@@ -205,14 +205,12 @@ def stage_cabinet(raw: DataFrame, cabinet: Cabinet) -> DataFrame:
     """Sums per day, campaign, ad set and platform, with the campaign flags.
 
     Platform and flags follow from the campaign name, so they are left out of the grouping and
-    worked out on the groups.  Both aggregates combine on the map side before they shuffle: a
-    campaign that holds a large share of the rows reaches the second shuffle as one row per task.
+    worked out on the groups.  All aggregates combine on the map side before they shuffle: a
+    campaign that holds a large share of the rows reaches the second shuffle as a row or two per
+    task.  Costs are summed exactly, so they do not depend on the order of the rows.
     """
     rows = distinct_raw(raw, cabinet)
-    sums = [F.expr(f"sum({metric}) AS {metric}") for metric in cabinet.metrics]
-    return (
-        rows.selectExpr(*_named(cabinet), *_measures(rows, cabinet))
-        .groupBy(*cabinet.keys)
-        .agg(*sums)
-        .selectExpr(*cabinet.keys, *_classified("campaign_name", True), *cabinet.metrics)
+    named = rows.selectExpr(*_named(cabinet), *_measures(rows, cabinet))
+    return exact_sums(named, cabinet.keys, cabinet.metrics).selectExpr(
+        *cabinet.keys, *_classified("campaign_name", True), *cabinet.metrics
     )

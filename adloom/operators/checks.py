@@ -53,10 +53,17 @@ def accepted_values(frame: DataFrame, column: str, values: Iterable[str]) -> Dat
     )
 
 
+def _above(column: str, limit: float) -> str:
+    return f"({column} > {limit!r}D AND NOT isnan({column}))"
+
+
 def exceed_costs_limit(frame: DataFrame, column: str, limit: float = COST_LIMIT) -> DataFrame:
-    """Values above the limit; NULL is let through."""
+    """Values above the limit; NULL is let through, and so is NaN, which is above nothing.
+
+    Spark itself sorts NaN above all numbers.
+    """
     own = F.col(identifier(column)).alias("limit_field")
-    return frame.select(own).where(F.col("limit_field") > limit)
+    return frame.select(own).where(_above("limit_field", limit))
 
 
 @dataclass(frozen=True)
@@ -124,8 +131,8 @@ def _value_failures(check: Check, place: int) -> str:
 
 
 def _row_condition(check: Check) -> str:
-    condition = "IS NULL" if check.kind == "not_null" else f"> {check.limit!r}D"
-    return f"{identifier(check.column)} {condition}"
+    column = identifier(check.column)
+    return f"{column} IS NULL" if check.kind == "not_null" else _above(column, check.limit)
 
 
 def _one_pass(frame: DataFrame, by_value: list[Check], by_row: list[Check]) -> DataFrame:

@@ -6,12 +6,12 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.fixed_values import UNKNOWN_SOURCE
 from adloom.functions.text import literal
 from adloom.operators.cabinets import CABINET_BY_MODEL, CABINETS, Cabinet
+from adloom.operators.sums import exact_sums
 
 KEYS = ["date", "campaign_name", "adset_name", "platform", "source"]
 METRICS = ["clicks", "impressions", "installs", "costs"]
@@ -77,5 +77,4 @@ def performance_mart(
         complete = summed and cabinet.installs is not None
         (finished if complete else parts).append(_cabinet_part(frame, cabinet))
     stacked = reduce(DataFrame.unionByName, parts)
-    sums = [F.expr(f"sum({metric}) AS {metric}") for metric in METRICS]
-    return reduce(DataFrame.unionByName, finished, stacked.groupBy(*KEYS).agg(*sums))
+    return reduce(DataFrame.unionByName, finished, exact_sums(stacked, KEYS, METRICS))

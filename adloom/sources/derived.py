@@ -66,7 +66,11 @@ def cabinet_export(lineitem: DataFrame, cabinet: Cabinet) -> DataFrame:
         f"CASE {unread} 'n/a' WHEN l_partkey % 17 = 0 THEN '' WHEN l_partkey % 29 = 0 THEN '12.5'"
         f" ELSE CAST({quantity} AS STRING) END"
     )
-    costs = f"CASE {unread} '--' ELSE CAST(l_quantity * 25.25D AS STRING) END"
+    # Cents have no exact double; refunds and amounts of unlike sizes make sums depend on order.
+    costs = f"""CASE {unread} '--' WHEN l_orderkey % 211 = 0 THEN 'NaN'
+        WHEN l_partkey % 37 = 0 THEN '-0.1' WHEN l_orderkey % 41 = 0 THEN '1e15'
+        WHEN l_orderkey % 43 = 0 THEN '-1e15' WHEN l_partkey % 47 = 0 THEN '9.313225746154785e-10'
+        ELSE CAST(CAST({quantity} AS DECIMAL(12, 0)) * 19.99BD AS STRING) END"""
     columns = {
         cabinet.date: date,
         cabinet.campaign: _campaign("l_partkey", "l_suppkey"),

@@ -96,8 +96,11 @@ def _raw_cabinet(cabinet: Cabinet) -> str:
         " ELSE ' AdSet ' || CAST(l_partkey % 4 AS VARCHAR) END",
         cabinet.clicks: "CASE WHEN l_partkey % 13 = 0 THEN 'n/a' WHEN l_partkey % 17 = 0 THEN ''"
         f" WHEN l_partkey % 29 = 0 THEN '12.5' ELSE CAST({quantity} AS VARCHAR) END",
-        cabinet.costs: "CASE WHEN l_partkey % 13 = 0 THEN '--'"
-        " ELSE CAST(l_quantity * 25.25 AS VARCHAR) END",
+        cabinet.costs: "CASE WHEN l_partkey % 13 = 0 THEN '--' WHEN l_orderkey % 211 = 0 THEN 'NaN'"
+        " WHEN l_partkey % 37 = 0 THEN '-0.1' WHEN l_orderkey % 41 = 0 THEN '1e15'"
+        " WHEN l_orderkey % 43 = 0 THEN '-1e15'"
+        " WHEN l_partkey % 47 = 0 THEN '9.313225746154785e-10'"
+        f" ELSE CAST(CAST({quantity} AS DECIMAL(12, 0)) * 19.99 AS VARCHAR) END",
         cabinet.installs: "CASE WHEN l_partkey % 31 = 0 THEN NULL"
         f" ELSE CAST({quantity} % 5 AS VARCHAR) END",
         cabinet.impressions: f"CAST({quantity} * 100 AS VARCHAR)",
@@ -178,6 +181,31 @@ def _float(text: str) -> str:
  AS DOUBLE) END"""
 
 
+def _exact_parts(value: str) -> list[str]:
+    """The sum in units of 2 ** -60, of which all values are multiples, as a 128-bit integer."""
+    units = f"CAST({value} * {2.0**60!r} AS HUGEINT)"
+    return [
+        f"SUM(CASE WHEN NOT isnan({value}) THEN {units} END) AS units",
+        f"bool_or(isnan({value})) AS odd",
+    ]
+
+
+def _rounded(table: str) -> str:
+    """All other columns, and ``costs`` rounded once.
+
+    The first bits become a 64-bit integer whose last bit tells whether anything follows, so that
+    its conversion rounds as the whole would be.
+    """
+    size = "CAST(abs(units) AS DOUBLE)"
+    cut = f"CASE WHEN units = 0 THEN 0 ELSE greatest(0, CAST(ceil(log2({size})) AS INT) - 60) END"
+    step = "CAST(pow(2, cut) AS HUGEINT)"
+    first = f"CAST(abs(units) // {step} * 2 + CAST(abs(units) % {step} <> 0 AS INT) AS BIGINT)"
+    value = f"sign(units) * CAST({first} AS DOUBLE) * pow(2, cut - 61)"
+    return f"""SELECT * EXCLUDE (units, odd, cut),
+ CASE WHEN odd THEN CAST('nan' AS DOUBLE) ELSE {value} END AS costs
+FROM (SELECT *, {cut} AS cut FROM {table})"""
+
+
 def _event_day(text: str) -> str:
     return rf"""CASE WHEN regexp_matches({text}, '([\d-]*)\s')
  THEN CAST(regexp_extract({text}, '([\d-]*)\s', 1) AS DATE) END"""
@@ -202,12 +230,13 @@ def _staged_cabinet(cabinet: Cabinet) -> str:
         "installs": cabinet.installs,
         "impressions": cabinet.impressions,
     }
-    sums = [f"SUM({_float(_name(cabinet.costs))}) AS costs"]
+    sums = _exact_parts(_float(_name(cabinet.costs)))
     for metric, column in counts.items():
         if column:
             sums.append(f"CAST(SUM({_int(_name(column))}) AS BIGINT) AS {metric}")
-    return f"""WITH d AS (SELECT DISTINCT {raw_columns} FROM {_raw(cabinet)})
-SELECT {', '.join(keys + sums)} FROM d GROUP BY ALL"""
+    return f"""WITH d AS (SELECT DISTINCT {raw_columns} FROM {_raw(cabinet)}),
+ sums AS (SELECT {', '.join(keys + sums)} FROM d GROUP BY ALL)
+{_rounded('sums')}"""
 
 
 _TIES = ", ".join(
@@ -333,7 +362,7 @@ def _parameter_checks() -> str:
         return f"""SELECT platform FROM all_cabinets WHERE platform NOT IN ({listed})
  GROUP BY platform"""
 
-    limited = "SELECT costs FROM all_cabinets WHERE costs > "
+    limited = "SELECT costs FROM all_cabinets WHERE NOT isnan(costs) AND costs > "
     return _counted(
         [
             ("accepted_values", "all_cabinets", "platform", accepted("ios", "android")),
@@ -400,7 +429,7 @@ def statements() -> dict[str, str]:
     selects["check_not_null"] = "SELECT * FROM stg_af_installs WHERE appsflyer_id IS NULL"
     selects["check_accepted_values"] = _accepted("stg_af_installs")
     selects["check_exceed_costs"] = """SELECT costs AS limit_field FROM all_cabinets
- WHERE costs > 5000"""
+ WHERE NOT isnan(costs) AND costs > 5000"""
     selects["check_campaign_not_null"] = "SELECT * FROM all_cabinets WHERE campaign_name IS NULL"
     selects["check_parameters"] = _parameter_checks()
     selects["check_mart_campaign"] = "SELECT * FROM mart WHERE campaign_name IS NULL"

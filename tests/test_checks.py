@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -47,6 +48,17 @@ def test_cost_limit_is_strict_and_lets_null_through(model):
     assert checks.exceed_costs_limit(model, "costs", limit=6000).count() == 1
 
 
+def test_nan_is_above_no_limit(spark):
+    rows = [("nan",), ("inf",), ("-inf",), ("7000",), (None,)]
+    frame = spark.createDataFrame(rows, "x string").selectExpr("CAST(x AS DOUBLE) AS costs")
+    assert rows_of(checks.exceed_costs_limit(frame, "costs")) == Counter([(7000.0,), (math.inf,)])
+    limit = Check("exceed_costs_limit", "m", "costs")
+    [row] = checks.check_results({"m": frame}, [limit]).collect()
+    assert row.n_failures == 2
+    whole = frame.selectExpr("CAST(costs AS INT) AS costs").where("false")
+    assert checks.exceed_costs_limit(whole, "costs").collect() == []
+
+
 ATTACHED = (
     Check("unique", "m", "id"),
     Check("not_null", "m", "id"),
