@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from adloom.functions import event_date, event_datetime, install_source
 from adloom.functions import is_realweb, is_ret_campaign, process_strings
+from adloom.operators.slices import SLICES_PER_PARTITION, slices_of
 from adloom.sources.registry import source_table
 
 INSTALL_ID = "appsflyer_id"
@@ -51,47 +52,41 @@ def first_install(raw: DataFrame) -> DataFrame:
 def slice_borders(sliced: DataFrame) -> DataFrame:
     """The first and the last install id of every slice with their rows: two rows per slice at most.
 
-    Ranges are sorted by id first, so only these can go on across a border.  Structs compare with
-    NULL first, as the ranges do.
+    Slices are in order of the id, so only these can go on across a border.  A row's number within
+    slice and id counts the rows before it, so the largest one counts them all; structs compare with
+    NULL first, as the slices do.  One pass over two narrow columns, combined in each task.
     """
     ends = sliced.groupBy("slice").agg(
-        F.expr(f"min(struct({INSTALL_ID})) AS lowest"),
-        F.expr(f"max(struct({INSTALL_ID})) AS highest"),
+        F.expr(f"min(struct({INSTALL_ID} AS id, -in_slice AS n)) AS lowest"),
+        F.expr(f"max(struct({INSTALL_ID} AS id, in_slice AS n)) AS highest"),
     )
-    counted = (
-        sliced.select("slice", INSTALL_ID)
-        .join(ends, "slice")
-        .groupBy("slice", "lowest", "highest")
-        .agg(
-            F.expr(f"count_if({INSTALL_ID} <=> lowest.{INSTALL_ID}) AS n_lowest"),
-            F.expr(f"count_if({INSTALL_ID} <=> highest.{INSTALL_ID}) AS n_highest"),
-        )
-    )
-    first = "struct(lowest AS id, n_lowest AS n, true AS first)"
-    last = "struct(highest AS id, n_highest AS n, false AS first)"
-    return counted.selectExpr(
-        "slice", f"inline(IF(lowest = highest, array({first}), array({first}, {last})))"
+    first = "struct(struct(lowest.id) AS id, -lowest.n AS n, true AS first)"
+    last = "struct(struct(highest.id) AS id, highest.n AS n, false AS first)"
+    return ends.selectExpr(
+        "slice", f"inline(IF(lowest.id <=> highest.id, array({first}), array({first}, {last})))"
     )
 
 
 def number_installs(raw: DataFrame, folder: str) -> DataFrame:
     """All distinct raw rows with their position within the install id.
 
-    A plain window would sort all rows of an id in one task.  Here rows are range-partitioned
-    by id and time, so that a hot id spreads over several slices, and are numbered within the
-    slice.  An id that goes on in a slice starts there after the rows of the earlier slices.
+    A plain window would sort all rows of an id in one task.  Here rows are cut into slices by id
+    and time, so that a hot id spreads over several, and are numbered within the slice while they
+    are written.  An id that goes on in a slice starts there after the rows of the earlier slices:
+    a prefix sum over two rows per slice, which is joined to the written rows without moving them.
 
-    The slices are written to ``folder`` because they are read several times and must be the same
-    every time; the counts read only the id from there.  The result reads them too, so the folder
-    is the caller's to delete when the result is used up.
+    The slices are written to ``folder``, which the result reads, so the folder is the caller's to
+    delete when the result is used up.
     """
     spark = raw.sparkSession
-    order = [F.expr(name).asc_nulls_first() for name in _ORDER_COLUMNS]
+    rows = raw.select(*_RAW_COLUMNS)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices_of(rows, [INSTALL_ID, *_ORDER_COLUMNS], SLICES_PER_PARTITION * partitions)
+    in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
     (
-        raw.select(*_RAW_COLUMNS)
-        .distinct()
-        .repartitionByRange(F.expr(INSTALL_ID).asc_nulls_first(), *order)
-        .selectExpr("*", "spark_partition_id() AS slice")
+        slices.place(rows.distinct())
+        .repartition("slice")
+        .selectExpr("*", f"CAST({in_slice} AS BIGINT) AS in_slice")
         .write.parquet(folder)
     )
     sliced = spark.read.parquet(folder)
@@ -102,16 +97,12 @@ def number_installs(raw: DataFrame, folder: str) -> DataFrame:
         slice_borders(sliced)
         .selectExpr("slice", "id", "first", f"sum(n) {earlier_slices} AS earlier")
         .where("first AND earlier IS NOT NULL")
-        .selectExpr("slice", f"id.{INSTALL_ID} AS carried_id", "earlier")
+        .selectExpr("slice", "id.id AS carried_id", "earlier")
     )
-    in_slice = f"row_number() OVER (PARTITION BY slice, {INSTALL_ID} ORDER BY {_TIME_ORDER})"
-    return (
-        sliced.selectExpr("*", f"{in_slice} AS in_slice")
-        .join(carried, "slice", "left")
-        .selectExpr(
-            *_RAW_COLUMNS,
-            f"in_slice + if({INSTALL_ID} <=> carried_id, coalesce(earlier, 0L), 0L) AS id_counter",
-        )
+    # One row per slice at most, and their number is bounded by the number of partitions.
+    return sliced.join(F.broadcast(carried), "slice", "left").selectExpr(
+        *_RAW_COLUMNS,
+        f"in_slice + if({INSTALL_ID} <=> carried_id, coalesce(earlier, 0L), 0L) AS id_counter",
     )
 
 

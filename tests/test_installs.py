@@ -13,6 +13,7 @@ from adloom.operators.installs import (
     slice_borders,
     stage_installs,
 )
+from adloom.operators.slices import slices_of
 
 RAW = (
     "event_time string, Campaign string, af_c_id string, af_adset string, "
@@ -147,9 +148,47 @@ def test_hot_id_is_numbered_by_several_tasks(spark, conf, tmp_path):
 def test_only_border_ids_are_carried(spark):
     rows = [(s, i) for s, ids in enumerate(["aab", "bbb", "bcdde", "e"]) for i in ids]
     rows += [(4, None), (4, None), (4, "z")]
-    borders = slice_borders(spark.createDataFrame(rows, "slice int, appsflyer_id string"))
-    found = {(r.slice, r.id.appsflyer_id, r.n, r.first) for r in borders.collect()}
+    sliced = spark.createDataFrame(rows, "slice int, appsflyer_id string").selectExpr(
+        "*", "CAST(row_number() OVER (PARTITION BY slice, appsflyer_id ORDER BY 1) AS BIGINT) AS in_slice"
+    )
+    borders = slice_borders(sliced)
+    found = {(r.slice, r.id.id, r.n, r.first) for r in borders.collect()}
     assert found == {
         (0, "a", 2, True), (0, "b", 1, False), (1, "b", 3, True), (2, "b", 1, True),
         (2, "e", 1, False), (3, "e", 1, True), (4, None, 2, True), (4, "z", 1, False),
     }
+
+
+def test_written_slices_are_not_shuffled(spark, conf, tmp_path):
+    """Rows move twice, for distinct rows and into slices; their numbers need no more."""
+    numbered = number_installs(raw_rows(spark, _many_installs(1)), str(tmp_path / "slices"))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "BroadcastHashJoin" in line)
+    assert "LeftOuter" in join and "SortMergeJoin" not in plan
+    # What is shuffled is the borders: two aggregates a slice, and their prefix sums.
+    shuffled = [line for line in plan.splitlines() if " Exchange " in line]
+    assert len(shuffled) == 2
+    assert not any("event_time" in line for line in shuffled)
+    probe = plan.splitlines()[plan.splitlines().index(join) + 1 :]
+    rows = next(k for k, line in enumerate(probe) if "Scan" in line)
+    assert not any("Exchange" in line for line in probe[:rows])
+
+
+def test_slices_follow_one_another(spark):
+    rows = [(k % 7 if k % 3 else None, k) for k in range(500)]
+    frame = spark.createDataFrame(rows, "a int, b int").repartition(3)
+    slices = slices_of(frame, ["a", "-b"], 20)
+    assert 10 <= slices.number <= 20
+    placed = slices.place(frame, "part", "begins").collect()
+    order = sorted(placed, key=lambda r: (r.a is not None, r.a or 0, -r.b))
+    parts = [r.part for r in order]
+    assert parts == sorted(parts) and set(parts) == set(range(slices.number))
+    assert [k for k, r in enumerate(order) if r.begins] == [parts.index(p) for p in sorted(set(parts))]
+
+
+def test_slices_of_nothing_and_of_equal_keys(spark):
+    empty = spark.createDataFrame([], "a int")
+    assert slices_of(empty, ["a"], 5).place(empty).collect() == []
+    equal = spark.createDataFrame([(1,)] * 9, "a int")
+    slices = slices_of(equal, ["a"], 5)
+    assert slices.number == 1 and {r.slice for r in slices.place(equal).collect()} == {0}
