@@ -12,14 +12,14 @@ products changes by a normal deviate of known size, because the rotation is rand
 its standard deviations are allowed for.  At 6 a pair at the very limit is lost about once in
 1e8, closer pairs far more rarely.  What is linked is decided by cosines in double precision.
 
-Equal vectors are one node with a number of copies.  Hot filters are cut into a grid of blocks of
+Equal vectors are one node, with a number of its own and a number of copies.  Hot filters are cut into a grid of blocks of
 vectors that live there and vectors that look there; blocks are compared as matrices, homes in
 memory and lookers passing by, and leave only sums and a spanning forest of the links.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite numbers, a null label
 or a null id link with nothing; a null id has no component and is not kept; vectors of different
-lengths are not compared; rows with equal ids count as vectors each; an empty table gives an empty
-result.
+lengths are not compared; rows with equal ids are vectors each, and link as their own vectors do; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -280,11 +280,12 @@ def near_vectors(
         rows.where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(
-            F.min("vec_id").alias("node"),
+            F.min("vec_id").alias("least"),
             F.count(F.lit(1)).alias("copies"),
             F.first("label").alias("label"),
             F.first("vector").alias("vector"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "caps-nodes",
     )
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
@@ -321,18 +322,25 @@ def near_vectors(
     found = saved(_compared(blocks, kind, rule), "caps-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.where("other IS NOT NULL"), "node", "other")
-    of_node = saved(
-        nodes.select("digest", "node", "copies")
+    placed_nodes = saved(
+        nodes.select("digest", "node", "copies", "least")
         .join(links, "node", "left")
         .join(grouped, "node", "left")
         .selectExpr(
             "digest",
             "coalesce(links, 0) + copies - 1 AS n_links",
-            "coalesce(component, node) AS component_id",
+            "coalesce(component, node) AS component",
+            "least",
         ),
+        "caps-placed",
+    )
+    # Components are of nodes; each is called by the least id of all its vectors.
+    names = placed_nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_node = saved(
+        placed_nodes.join(names, "component").select("digest", "n_links", "component_id"),
         "caps-found",
     )
-    drop_saved(nodes, decoded, sides, found)
+    drop_saved(nodes, decoded, sides, found, placed_nodes)
     lone = rows.where("digest IS NULL").selectExpr(
         "vec_id", "CAST(0 AS BIGINT) AS n_links", "vec_id AS component_id"
     )

@@ -24,9 +24,13 @@ shingles as their bitmaps differ in bits, which is an exact bound, and a sharp o
 
 Comparisons are exact: sets are made again from the whole texts of the nodes concerned.
 
-Defined cases: a null or empty text has an empty set and is linked with nothing; documents without
-an id are linked with nothing and have no component; rows with equal ids share a component;
+Defined cases: a null or empty text has an empty set and is linked with nothing; rows with equal ids
+are documents each, linked by their own texts; documents without an id are linked with nothing and
+have no component, but near duplicates among them are told apart from others by their texts alike;
 an empty table gives an empty result.  Shingles are told apart by 64-bit hashes.
+
+Where ids repeat or are missing, the rows are written with a number of their own first, and the
+steps above work on the numbers.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import column, distinct_words, drop_saved, fresh, saved, words
@@ -422,6 +426,17 @@ def _led(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entries.join(leaders, "token"), leaders
 
 
+def _has_own_ids(ids: DataFrame) -> bool:
+    """Whether no id is missing or stands on two rows."""
+    counts = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return not counts.where("n > 1 OR doc_id IS NULL").limit(1).count()
+
+
+def _numbered(docs: DataFrame, number: str) -> DataFrame:
+    """The rows as written to the shared folder, so that their numbers stay."""
+    return saved(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
+
+
 def similar_documents(
     docs: DataFrame,
     rule: JaccardRule = JaccardRule(),
@@ -432,6 +447,26 @@ def similar_documents(
     narrow = docs.select(
         column(doc_id).cast("bigint").alias("doc_id"), column(text).alias("text")
     )
+    if _has_own_ids(narrow.select("doc_id")):
+        found = _linked(narrow, rule)
+    else:
+        rows = _numbered(narrow, "row")
+        linked = _linked(rows.selectExpr("IF(doc_id IS NULL, NULL, row) AS doc_id", "text"), rule)
+        known = linked.where("doc_id IS NOT NULL").withColumnsRenamed(
+            {"doc_id": "row", "component_id": "component"}
+        )
+        of_row = saved(known.join(rows.select("row", "doc_id"), "row"), "jaccard-documents")
+        least = of_row.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        found = (
+            of_row.join(least, "component")
+            .select("doc_id", "n_shingles", "component_id")
+            .union(linked.where("doc_id IS NULL"))
+        )
+    return found.withColumnRenamed("doc_id", doc_id)
+
+
+def _linked(narrow: DataFrame, rule: JaccardRule) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of documents whose ids are their own, or null."""
     bits, whole = _bitmap_names(), _bitmap_names(BITMAP_WORDS)
     classes = frequency_classes(sketch(narrow, rule))
     signed = saved(signatures(narrow, rule, classes), "jaccard-signatures")
@@ -571,9 +606,7 @@ def similar_documents(
             )
         )
     )
-    return result.select(
-        F.col("doc_id").alias(doc_id), F.col("size").alias("n_shingles"), "component_id"
-    )
+    return result.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
 
 
 def one_of_each_group(
@@ -584,21 +617,28 @@ def one_of_each_group(
 ) -> DataFrame:
     """The documents without the near duplicates, with all their columns.
 
-    Of a group the document with the least id stays; of rows with one id, the first by text.  Rows
-    without an id stay.
+    Of a group the document with the least id stays; an id comes before none, and of rows with one
+    id any one stays.  Every row is judged by its own text, rows without an id and rows that share
+    one with other texts included.
     """
-    found = saved(similar_documents(docs, rule, doc_id, text), "jaccard-documents")
-    kept = _without(docs, found.where(column(doc_id) != F.col("component_id")), doc_id)
-    place = fresh(docs.columns, "place")
-    first = Window.partitionBy(column(doc_id)).orderBy(column(text))
-    repeated = found.groupBy(column(doc_id)).count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return (
-        kept.withColumn(place, F.row_number().over(first))
-        .where((F.col(place) == 1) | column(doc_id).isNull())
-        .drop(place)
+    ids = docs.select(column(doc_id).cast("bigint").alias("doc_id"))
+    if _has_own_ids(ids):
+        found = saved(similar_documents(docs, rule, doc_id, text), "jaccard-documents")
+        return _without(docs, found.where(column(doc_id) != F.col("component_id")), doc_id)
+    row = fresh(docs.columns, "row")
+    rows = _numbered(docs, row)
+    narrow = rows.select(column(row).alias("doc_id"), column(text).alias("text"))
+    order = rows.select(
+        column(row).alias("row"),
+        F.struct(column(doc_id).isNull(), column(doc_id).cast("bigint"), column(row)).alias("place"),
+    )
+    grouped = _linked(narrow, rule).where("n_shingles > 0").select(
+        F.col("doc_id").alias("row"), "component_id"
     )
+    of_row = saved(grouped.join(order, "row"), "jaccard-documents")
+    first = of_row.groupBy("component_id").agg(F.min("place").alias("first"))
+    dropped = of_row.join(first, "component_id").where("place != first")
+    return _without(rows, dropped.select(F.col("row").alias(row)), row).drop(row)
 
 
 def _without(docs: DataFrame, found: DataFrame, doc_id: str) -> DataFrame:

@@ -38,15 +38,19 @@ def brute(rows) -> Counter:
     for a, x in enumerate(units):
         for b, y in enumerate(units[:a]):
             if x and y and x[0] == y[0] and len(x[1]) == len(y[1]) and x[1] @ y[1] >= 0.98:
-                links.append((rows[a][0], rows[b][0]))
+                links.append((a, b))
                 counts[a] += 1
                 counts[b] += 1
-    ids = {r[0] for r in rows if r[0] is not None}
-    least = least_reachable(ids, links)
-    return Counter(
-        (r[0], counts[k], least.get(r[0]), r[0] is not None and least[r[0]] == r[0])
-        for k, r in enumerate(rows)
-    )
+    node = least_reachable(range(len(rows)), links)
+    least: dict = {}
+    for k, (vec_id, _, _) in enumerate(rows):
+        if vec_id is not None:
+            least[node[k]] = min(vec_id, least.get(node[k], vec_id))
+    found = Counter()
+    for k, (vec_id, _, _) in enumerate(rows):
+        component = None if vec_id is None else least[node[k]]
+        found[vec_id, counts[k], component, vec_id is not None and component == vec_id] += 1
+    return found
 
 
 def vectors(seed: int, dimension: int = 24) -> list[tuple]:
@@ -85,6 +89,19 @@ def test_links_equal_all_pairs(spark, kind):
         assert got == brute(rows)
 
 
+def test_rows_that_share_an_id_are_vectors_each(spark):
+    """Ids that stand on unlike vectors, on vectors of unlike lengths and on copies."""
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    few = [(1, a, 1), (1, b, 1), (2, b, 1), (3, [1.0, 0.01, 0.0], 1)]
+    folded = [(k % 200, v, c) for k, v, c in vectors(5)]
+    short = [(k % 200, v and v[: 12 + k % 2 * 12], c) for k, v, c in vectors(6)]
+    for rows in (few, folded, short):
+        frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+        found = caps.near_vectors(frame).collect()
+        got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in found)
+        assert got == brute(rows)
+
+
 def test_list_decoding_finds_the_filters_of_near_vectors():
     """Pairs at the limiting angle: a looks under the filter that b lives under."""
     chance = np.random.default_rng(1)
