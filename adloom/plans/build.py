@@ -5,19 +5,23 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from adloom.operators.cabinets import CABINETS, CABINET_BY_MODEL, stage_cabinet
 from adloom.operators.checks import DECLARED_CHECKS, ERROR, FAIL, PASS, RESULTS_SCHEMA
-from adloom.operators.checks import Check, failing_rows, validated
+from adloom.operators.checks import BY_VALUE, Check, can_run, read_failures, tagged_failures
+from adloom.operators.checks import validated
 from adloom.operators.installs import INSTALLS_SCHEMA, stage_installs
 from adloom.plans.examples import EXAMPLE_SCHEMA, example_first, example_second
 from adloom.plans.mart import MART_SCHEMA, performance_mart
 from adloom.sources.sinks import CABINET_LAYOUT, INSTALLS_LAYOUT, Layout, Target
-from adloom.sources.sinks import AUDIT, materialize, read_model, stored_rows, write_table
+from adloom.sources.sinks import AUDIT, materialize, read_model, write_table
 
 logger = logging.getLogger(__name__)
 
@@ -32,7 +36,17 @@ INSTALLS = "stg_af_installs"
 STAGING = (*(cabinet.model for cabinet in CABINETS), INSTALLS)
 MODELS = (*STAGING, "mart", "example_first", "example_second")
 
-# Models written, or checks run, at the same time; none of them depends on another.
+# The audit table, one for all checks.
+FAILURES = "failures"
+FAILURES_SCHEMA = StructType(
+    [
+        StructField("check", StringType()),
+        StructField("failure", StringType()),
+        StructField("n_records", LongType()),
+    ]
+)
+
+# Models written, or checks tried, at the same time; none of them depends on another.
 WRITERS = 8
 
 
@@ -106,32 +120,79 @@ def build_models(
     return models
 
 
+def _tagged(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """The failures of all checks, with one pass over each model."""
+    by_model: dict[str, list[Check]] = {}
+    for check in checks:
+        by_model.setdefault(check.model, []).append(check)
+    parts = [tagged_failures(models[model], own) for model, own in by_model.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_checks(
     models: Mapping[str, DataFrame],
     target: Target,
     checks: Iterable[Check] = DECLARED_CHECKS,
 ) -> DataFrame:
-    """Write the failing rows of each check to its own audit table; return one row per check.
+    """Write the failures of all checks to one audit table; return one row per check.
 
-    Checks of unknown kind or with equal names are refused before any runs.  Each check runs once:
-    its failures are counted on the written table.  A check that cannot run gets the status error,
-    and the others go on.
+    Checks of unknown kind or with equal names are refused before any runs.  One job reads every
+    model once, whatever checks it has, and writes the audit table, which is partitioned by check;
+    failures are counted there.  A check that cannot run gets the status error, and the others go
+    on: if the job fails, every check is tried alone, and the sound ones are written together.
     """
     declared = validated(checks)
-    audit = Target(target.name, f"{target.schema}{AUDIT}", target.folder)
+    sound = [check for check in declared if can_run(check, models)]
+    audit = audit_target(target)
+    counts: dict[str, tuple[int, int]] = {}
+    if sound:
+        try:
+            stored = _store(models, sound, audit)
+        except (PySparkException, Py4JJavaError):
+            logger.warning("checks could not run together", exc_info=True)
+            sound = _sound(models, sound)
+            stored = _store(models, sound, audit) if sound else None
+        if stored is not None:
+            counted = stored.groupBy("check").agg(F.count(F.lit(1)), F.sum("n_records"))
+            counts = {name: (values, rows) for name, values, rows in counted.collect()}
+
+    def result(check: Check) -> tuple:
+        if check not in sound:
+            return check.name, check.model, check.column, None, ERROR
+        n_failures = counts.get(check.name, (0, 0))[check.kind not in BY_VALUE]
+        status = FAIL if n_failures else PASS
+        return check.name, check.model, check.column, n_failures, status
+
     spark = next(iter(models.values())).sparkSession
+    return spark.createDataFrame([result(check) for check in declared], RESULTS_SCHEMA)
+
+
+def audit_target(target: Target) -> Target:
+    return Target(target.name, f"{target.schema}{AUDIT}", target.folder)
+
 
-    def run_one(check: Check) -> tuple:
+def _store(models: Mapping[str, DataFrame], checks: list[Check], audit: Target) -> DataFrame:
+    return write_table(_tagged(models, checks), FAILURES, audit, Layout("check"))
+
+
+def _sound(models: Mapping[str, DataFrame], checks: list[Check]) -> list[Check]:
+    """The checks that run alone."""
+
+    def runs(check: Check) -> bool:
         try:
-            # Failures are scattered; rebalancing keeps them from one small file per task.
-            failures = failing_rows(check, models[check.model]).hint("rebalance")
-            n_failures = stored_rows(write_table(failures, check.name, audit))
-            status = FAIL if n_failures else PASS
-        except (PySparkException, Py4JJavaError, KeyError, ValueError):
+            _tagged(models, [check]).write.format("noop").mode("overwrite").save()
+        except (PySparkException, Py4JJavaError):
             logger.warning("check %s could not run", check.name, exc_info=True)
-            n_failures, status = None, ERROR
-        return check.name, check.model, check.column, n_failures, status
+            return False
+        return True
 
     with ThreadPoolExecutor(WRITERS) as runners:
-        rows = list(runners.map(run_one, declared))
-    return spark.createDataFrame(rows, RESULTS_SCHEMA)
+        return [check for check, fine in zip(checks, runners.map(runs, checks)) if fine]
+
+
+def stored_failures(
+    spark: SparkSession, target: Target, check: Check, schema: StructType
+) -> DataFrame:
+    """What a check reported when the checks last ran, with types; ``schema`` is the model's."""
+    tagged = read_model(spark, FAILURES, audit_target(target), FAILURES_SCHEMA)
+    return read_failures(tagged, check, schema)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import getpass
+import posixpath
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from adloom.sources.versions import current_folder, new_folder_version, new_table_version
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -29,12 +32,24 @@ PRODUCTION_SCHEMA = "production"
 AUDIT = "_audit"
 
 
+def identifier_parts(name: str) -> list[str]:
+    """The parts of a name like ``catalog.`schema```, without their quotes."""
+    part = r"\s*(?:`((?:[^`]|``)+)`|([^`.\s]+))\s*"
+    if not re.fullmatch(rf"{part}(?:\.{part})*", name):
+        raise ValueError(f"{name!r} is no name of a schema")
+    return [
+        quoted.replace("``", "`") if quoted else plain
+        for quoted, plain in re.findall(rf"{part}(?:\.|$)", name)
+    ]
+
+
 @dataclass(frozen=True)
 class Target:
     """An environment: ``prod`` writes tables, any other name makes staging models views.
 
     Tables go to ``folder/schema/model`` as Parquet, or to the catalog without a folder.  Only
-    ``prod`` may write to the production schema, as a run replaces the tables it finds there.
+    ``prod`` may write to the production schema, as a run replaces the tables it finds there; the
+    schema counts as it is resolved, whatever catalog, quotes, case or folder it is spelled with.
     """
 
     name: str
@@ -42,8 +57,15 @@ class Target:
     folder: str | None = None
 
     def __post_init__(self) -> None:
-        own = self.schema.strip().strip("`").lower().removesuffix(AUDIT)
-        if own == PRODUCTION_SCHEMA and self.name != PRODUCTION:
+        parts = identifier_parts(self.schema)
+        places = [parts[-1]]
+        if self.folder is not None:
+            if len(parts) > 1 or not re.fullmatch(r"\w+", parts[0]):
+                raise ValueError(f"schema {self.schema} is no plain name for a folder")
+            # Models of a schema that lies in the production schema's folder would be found there.
+            places.append(posixpath.basename(posixpath.normpath(unquote(self.folder.strip()))))
+        own = {place.strip().lower().removesuffix(AUDIT) for place in places}
+        if PRODUCTION_SCHEMA in own and self.name != PRODUCTION:
             raise ValueError(f"target {self.name} must not write to schema {self.schema}")
 
     @classmethod
@@ -76,22 +98,24 @@ def arranged(frame: DataFrame, layout: Layout) -> DataFrame:
 def write_table(
     frame: DataFrame, model: str, target: Target, layout: Layout | None = None
 ) -> DataFrame:
-    """Replace the table of a model and return a scan of it in the model's column order."""
+    """Replace the table of a model and return a scan of it in the model's column order.
+
+    The new rows are written as a version of their own, which then takes the table's place at once.
+    """
     spark = frame.sparkSession
-    ready = arranged(frame, layout) if layout else frame
-    # Static: a rebuild also removes days that are no longer there.
-    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = (arranged(frame, layout) if layout else frame).write
     if layout:
         writer = writer.partitionBy(layout.partition)
     if target.folder is not None:
-        path = target.path(model)
-        writer.parquet(path)
+        with new_folder_version(spark, target.path(model)) as folder:
+            writer.parquet(folder)
         # The schema is given: Spark would guess the type of the partition column.
-        written = spark.read.schema(frame.schema).parquet(path)
+        written = spark.read.schema(frame.schema).parquet(folder)
     else:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {target.schema}")
-        writer.format("parquet").saveAsTable(f"{target.schema}.{model}")
-        written = spark.table(f"{target.schema}.{model}")
+        with new_table_version(spark, target.schema, model) as table:
+            writer.format("parquet").saveAsTable(table)
+        written = spark.table(table)
     return written.select(*frame.columns)
 
 
@@ -118,12 +142,8 @@ def read_model(
 ) -> DataFrame:
     """Scan a model that another job wrote as a table, in the model's column order."""
     if target.folder is not None:
-        stored = spark.read.schema(schema).parquet(target.path(model))
+        folder = current_folder(spark, target.path(model))
+        stored = spark.read.schema(schema).parquet(folder)
     else:
         stored = spark.table(f"{target.schema}.{model}")
     return stored.select(*schema.names)
-
-
-def stored_rows(frame: DataFrame) -> int:
-    """Row count of a written table, from its footers."""
-    return frame.agg(F.count(F.lit(1))).first()[0]

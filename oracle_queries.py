@@ -432,6 +432,12 @@ def statements() -> dict[str, str]:
  WHERE NOT isnan(costs) AND costs > 5000"""
     selects["check_campaign_not_null"] = "SELECT * FROM all_cabinets WHERE campaign_name IS NULL"
     selects["check_parameters"] = _parameter_checks()
+    selects["stored_limit_failures"] = """SELECT costs AS limit_field, COUNT(*) AS n_records
+ FROM all_cabinets WHERE NOT isnan(costs) AND costs > 5000 GROUP BY costs"""
+    selects["stored_null_rows"] = """SELECT *, COUNT(*) AS n_records FROM all_cabinets
+ WHERE adset_name IS NULL GROUP BY ALL"""
+    selects["stored_repeated_values"] = _unique("all_cabinets", "campaign_name")
+    selects["sink_rebuilt"] = "SELECT * FROM all_cabinets WHERE costs IS NOT NULL"
     selects["check_mart_campaign"] = "SELECT * FROM mart WHERE campaign_name IS NULL"
     selects["check_mart_platform"] = _accepted("mart")
     for key in ("check_results", "checks_on_tables"):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 from pathlib import Path
 
@@ -7,16 +8,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from adloom.operators.cabinets import CABINETS
-from adloom.operators.checks import DECLARED_CHECKS, Check, check_results
-from adloom.plans.build import STAGING, build_models, run_checks
+from adloom.operators.checks import (
+    DECLARED_CHECKS,
+    Check,
+    check_results,
+    failing_rows,
+    read_failures,
+    tagged_failures,
+)
+from adloom.plans.build import STAGING, build_models, run_checks, stored_failures
 from adloom.sources.derived import RawTables
 from adloom.sources.sinks import Target
+from adloom.sources.versions import current_folder
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def rows_of(frame):
-    return Counter(map(tuple, frame.collect()))
+    return Counter(map(repr, frame.collect()))
 
 
 @pytest.fixture(scope="module")
@@ -55,9 +64,19 @@ def test_checks_agree_with_the_lazy_results_and_store_failures(spark, models, ta
         "accepted_values_stg_af_installs_platform__ios__android",
         "accepted_values_mart_platform__ios__android",
     }
-    for name, n_failures in failed.items():
-        stored = spark.read.parquet(f"{target.folder}/production_audit/{name}")
-        assert stored.count() == n_failures
+    for check in DECLARED_CHECKS:
+        model = models[check.model]
+        stored = stored_failures(spark, target, check, model.schema)
+        reported = failing_rows(check, model)
+        if check.kind in ("not_null", "exceed_costs_limit"):
+            reported = reported.groupBy(*reported.columns).agg(F.count("*").alias("n_records"))
+            n_stored = sum(row.n_records for row in stored.collect())
+        else:
+            n_stored = stored.count()
+        assert stored.columns == reported.columns and rows_of(stored) == rows_of(reported)
+        assert n_stored == failed.get(check.name, 0)
+    folder = current_folder(spark, f"{target.folder}/production_audit/failures")
+    assert {p.name for p in Path(folder).iterdir() if p.is_dir()} == {f"check={n}" for n in failed}
 
 
 def test_a_check_that_cannot_run_is_an_error_and_others_go_on(models, target):
@@ -124,5 +143,51 @@ def test_catalog_build_and_checks(spark, models):
     )
     results = run_checks(built, target)
     assert rows_of(results) == rows_of(check_results(models, DECLARED_CHECKS))
-    stored = spark.table("catalog_build_audit.accepted_values_mart_platform__ios__android")
-    assert stored.count() == 2
+    stored = spark.table("catalog_build_audit.failures")
+    assert stored.where("check = 'accepted_values_mart_platform__ios__android'").count() == 2
+
+
+def test_both_engines_agree_on_what_cannot_run(spark, tmp_path):
+    frame = spark.createDataFrame([("1", 1.0), ("x", 2.0)], "text string, costs double")
+    checks = (
+        Check("exceed_costs_limit", "m", "no_such"),
+        Check("unique", "gone", "id"),
+        Check("not_null", "m", "costs"),
+    )
+    target = Target("prod", "production", str(tmp_path))
+    stored, counted = run_checks({"m": frame}, target, checks), check_results({"m": frame}, checks)
+    assert rows_of(stored) == rows_of(counted)
+    assert [row.status for row in stored.collect()] == ["error", "error", "pass"]
+    # Whether this one can run shows only on the rows; the others run all the same.
+    late = Check("exceed_costs_limit", "m", "text")
+    found = {row.check: row.status for row in run_checks({"m": frame}, target, (*checks, late)).collect()}
+    assert found[late.name] == "error" and found["not_null_m_costs"] == "pass"
+
+
+def test_a_model_is_read_once_for_all_its_checks(spark, models):
+    checks = [
+        Check("accepted_values", "mart", "platform", values=("ios",)),
+        Check("accepted_values", "mart", "platform", values=("ios", "android")),
+        Check("exceed_costs_limit", "mart", "costs", limit=10.0),
+        Check("unique", "mart", "campaign_name"),
+        Check("not_null", "mart", "adset_name"),
+    ]
+    frame = tagged_failures(models["mart"], checks)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count(" Exchange ") == 1
+    assert rows_of(read_failures(frame, checks[4], models["mart"].schema)) == rows_of(
+        models["mart"].where("adset_name IS NULL").withColumn("n_records", F.lit(1))
+    )
+
+
+def test_odd_values_come_back_from_the_audit_table(spark):
+    rows = [(1, "a\"b\n", math.nan, 3), (1, "a\"b\n", math.nan, 3), (1, "", math.inf, None)]
+    frame = spark.createDataFrame(rows, "id int, s string, x double, n int").selectExpr(
+        "*", "CAST(NULL AS STRING) AS gone", "TIMESTAMP'1960-01-02 03:04:05.678901' AS t",
+        "TIMESTAMP_NTZ'2022-01-02 03:04:05.000001' AS u", "DATE'1582-01-01' AS d",
+        "CAST(1.50 AS DECIMAL(9, 3)) AS m", "array(1, NULL) AS a",
+    )
+    check = Check("not_null", "m", "gone")
+    found = read_failures(tagged_failures(frame, [check]), check, frame.schema)
+    expected = frame.groupBy(*frame.columns).agg(F.count("*").alias("n_records"))
+    assert found.columns == expected.columns and rows_of(found) == rows_of(expected)

@@ -110,6 +110,21 @@ def test_names_tell_parameters_apart():
     assert len(names) == 4 and all(re.fullmatch("[a-z0-9_]+", name) for name in names)
     assert Check("exceed_costs_limit", "m", "c").name == "exceed_costs_limit_m_c"
     assert Check("exceed_costs_limit", "m", "c", limit=0.5).name != "exceed_costs_limit_m_c"
+    near = {Check("exceed_costs_limit", "m", "c", limit=n).name for n in (1234567.0, 1234568.0)}
+    assert near == {"exceed_costs_limit_m_c__1234567", "exceed_costs_limit_m_c__1234568"}
+
+
+def test_unique_counts_digests_and_fetches_repeated_values_only(spark):
+    frame = spark.createDataFrame(
+        [(v,) for v in ["a", "b", "b", "", "", None, None, "c", "B"]], "s string"
+    )
+    found = checks.unique(frame, "s")
+    assert rows_of(found) == Counter([("b", 2), ("", 2)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    counted = [part for part in plan.split("\n") if "keys=[digest" in part and "partial" in part]
+    assert counted and not any("unique_field" in part for part in counted)
+    sound = frame.where("s IN ('a', 'c')")
+    assert checks.unique(sound, "s").collect() == []
 
 
 def test_a_model_is_read_once(spark, model):
