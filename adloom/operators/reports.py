@@ -6,12 +6,18 @@ status and a dotted id.  Its size follows the number of checks, not the data.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+from datetime import datetime
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.operators.checks import ERROR, FAIL
+from adloom.functions.text import identifier, literal
+from adloom.operators.checks import ERROR, FAIL, PASS
+from adloom.sources.registry import SourceTable
 
 DOCUMENT_SCHEMA = T.StructType(
     [
@@ -39,6 +45,40 @@ def result_document(results: DataFrame) -> DataFrame:
     return results.agg(F.collect_list(entry).alias("results"))
 
 
+def source_results(
+    raw: Mapping[str, DataFrame], sources: Iterable[SourceTable], stale_before: datetime
+) -> DataFrame:
+    """One row per source with a time column: its newest time, and ``error`` if that is too old.
+
+    Each source is read once, its time column alone.  A source without any time is stale.
+    """
+    limit = f"TIMESTAMP{literal(stale_before.isoformat(sep=' '))}"
+    parts = [
+        raw[source.name.lower()]
+        .selectExpr(f"max(CAST({identifier(source.time)} AS TIMESTAMP)) AS newest")
+        .selectExpr(
+            f"{literal(source.group)} AS source_group",
+            f"{literal(source.name.lower())} AS table_name",
+            "newest",
+            f"IF(coalesce(newest < {limit}, true), {literal(ERROR)}, {literal(PASS)}) AS status",
+        )
+        for source in sources
+        if source.time is not None
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def source_document(results: DataFrame) -> DataFrame:
+    """One row with all source results, ids as ``source.<project>.<group>.<table>``."""
+    unique_id = F.concat_ws(".", F.lit("source"), F.lit(PROJECT), "source_group", "table_name")
+    entry = F.struct(F.col("status"), unique_id.alias("unique_id"))
+    return results.agg(F.collect_list(entry).alias("results"))
+
+
+def write_source_document(results: DataFrame, path: str) -> None:
+    source_document(results).coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_document(results: DataFrame, path: str) -> None:
     result_document(results).coalesce(1).write.mode("overwrite").json(path)
 

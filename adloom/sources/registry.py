@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from adloom.sources.footers import require_files
+
 
 @dataclass(frozen=True)
 class SourceTable:
@@ -145,22 +147,67 @@ def read_source(
     *,
     folder: str | None = None,
     schemas: dict[str, str] | None = None,
+    every_file: bool = True,
 ) -> DataFrame:
     """Scan a raw table from Parquet under ``folder``, or else from the catalog.
 
     ``schemas`` maps a source group to the catalog schema that holds it; by default the
-    schema is named like the group.
+    schema is named like the group.  ``every_file`` looks at the footers of all files in the folder,
+    as one that lacks a column would read as NULL; without it, at the one Spark picks.
     """
     source = source_table(name)
     if folder is not None:
-        frame = spark.read.parquet(f"{folder.rstrip('/')}/{source.name}")
-    else:
-        schema = (schemas or {}).get(source.group, source.group)
-        frame = spark.table(f"{schema}.{source.name}")
+        path = f"{folder.rstrip('/')}/{source.name}"
+        frame = spark.read.parquet(path)
+        require_columns(frame, source)
+        if every_file and source.columns:
+            # Folders of partitions hold columns too; files need not repeat them.
+            given = {field.name.lower(): field for field in frame.schema}
+            in_files = {f.lower() for f in given} - set(partition_columns(frame))
+            require_files(spark, path, lambda s: file_problem(s, source, given, in_files), name)
+        return frame
+    schema = (schemas or {}).get(source.group, source.group)
+    frame = spark.table(f"{schema}.{source.name}")
     require_columns(frame, source)
     return frame
 
 
+def partition_columns(frame: DataFrame) -> list[str]:
+    """Lower-case names of columns that a scan takes from folder names."""
+    files = frame.inputFiles()[:1]
+    parts = files[0].split("/")[:-1] if files else []
+    return [part.partition("=")[0].lower() for part in parts if "=" in part]
+
+
+def file_problem(
+    found: T.StructType,
+    source: SourceTable,
+    given: dict[str, T.StructField],
+    in_files: set[str],
+) -> str | None:
+    """What keeps one file from being read like the others, if anything does."""
+    present = {field.name.lower(): field for field in found}
+    names = [column for column in source.columns if column.lower() in in_files]
+    missing = [column for column in names if column.lower() not in present]
+    if missing:
+        return f"lacks {', '.join(missing)}"
+    unlike = [
+        f"{c} {present[c.lower()].dataType.simpleString()}"
+        for c in names
+        if not _read_alike(present[c.lower()].dataType, given[c.lower()].dataType)
+    ]
+    return f"has other types: {', '.join(unlike)}" if unlike else None
+
+
+def _read_alike(own: T.DataType, others: T.DataType) -> bool:
+    """Whether a file's type is read as the table's.
+
+    A footer alone does not always tell a timestamp with a time zone from one without.
+    """
+    times = (T.TimestampType, T.TimestampNTZType)
+    return own == others or isinstance(own, times) and isinstance(others, times)
+
+
 def require_columns(frame: DataFrame, source: SourceTable) -> None:
     """Name missing columns and wrong types at once instead of failing deep inside a plan."""
     present = {field.name.lower(): field for field in frame.schema}

@@ -444,6 +444,15 @@ def statements() -> dict[str, str]:
         selects[key] = _check_results()
     selects["failed_checks"] = f"""SELECT "check", 'Failure in test ' || "check" AS message
  FROM ({_check_results()}) WHERE status = 'fail'"""
+    selects["source_times"] = " UNION ALL ".join(
+        f"""SELECT 'advertising' AS source_group, '{c.table.lower()}' AS table_name, newest,
+ CASE WHEN newest >= TIMESTAMP '2022-05-07 12:00:00' THEN 'pass' ELSE 'error' END AS status
+FROM (SELECT CAST(MAX({_name(c.date)}) AS TIMESTAMP) AS newest FROM {_raw(c)})"""
+        for c in CABINETS
+    )
+    selects["stale_sources"] = f"""SELECT table_name AS "check",
+ 'Failure in test freshness of source ' || table_name AS message
+FROM ({selects['source_times']}) WHERE status = 'error'"""
     selects["sink_view"] = selects["sink_table"] = "SELECT * FROM all_cabinets"
     selects["sink_partitioned"] = "SELECT * FROM stg_af_installs"
     result = {key: _with(select) for key, select in selects.items()}

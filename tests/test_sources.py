@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 
 from adloom.operators.cabinets import CABINETS
+from adloom.operators.reports import source_results
 from adloom.session import cluster_settings, input_bytes, new_folder, prepare
 from adloom.session import settings_for, working_folder
 from adloom.sources.derived import RawTables, given
@@ -131,3 +133,65 @@ def test_declared_schemas_are_accepted():
     for source in SOURCES.values():
         assert all(source.accepts(field) for field in source.schema)
         assert [field.name for field in source.schema] == list(source.columns)
+
+
+def yandex_files(spark, folder, *changes):
+    """One file per change, each a whole day of rows."""
+    raw = RawTables(spark, SMALL)["yandex"]
+    for change in changes:
+        change(raw).coalesce(1).write.mode("append").parquet(f"{folder}/yandex")
+
+
+def test_one_deviating_file_is_refused_by_name(spark, tmp_path):
+    changes = {
+        "lacks spend": lambda f: f.drop("spend"),
+        "has other types: clicks bigint": lambda f: f.selectExpr(
+            "* EXCEPT (clicks)", "CAST(try_cast(clicks AS INT) AS BIGINT) AS clicks"
+        ),
+        "lacks date, adset_name": lambda f: f.drop("date", "adset_name"),
+    }
+    for k, (problem, change) in enumerate(changes.items()):
+        for order, first in enumerate((True, False)):
+            folder = tmp_path / f"{k}-{order}"
+            whole = [lambda f: f] * 3
+            yandex_files(spark, folder, *([change, *whole] if first else [*whole, change]))
+            with pytest.raises(ValueError) as refused:
+                read_source(spark, "yandex", folder=str(folder))
+            message = str(refused.value)
+            if "deviating files" in message and "bigint" not in problem:
+                assert message.count("part-") == 1 and problem in message
+            else:
+                # Spark itself picked the deviating file for its schema.
+                assert "yandex lacks" in message or "types" in message
+
+
+def test_files_that_agree_are_read(spark, tmp_path):
+    extra = lambda f: f.withColumn("more", f["clicks"])
+    reordered = lambda f: f.select(*reversed(f.columns))
+    yandex_files(spark, tmp_path, lambda f: f, extra, reordered)
+    raw = RawTables(spark, SMALL)["yandex"]
+    assert read_source(spark, "yandex", folder=str(tmp_path)).count() == 3 * raw.count()
+    raw.withColumn("day", raw["date"].cast("date")).write.partitionBy("day").parquet(
+        f"{tmp_path}/x/yandex"
+    )
+    assert read_source(spark, "yandex", folder=f"{tmp_path}/x").count() == raw.count()
+
+
+def test_a_damaged_file_is_refused_by_name(spark, tmp_path):
+    yandex_files(spark, tmp_path, lambda f: f, lambda f: f)
+    (tmp_path / "yandex" / "part-99999.parquet").write_bytes(b"PAR1 no footer")
+    with pytest.raises(Exception, match="part-99999"):
+        read_source(spark, "yandex", folder=str(tmp_path))
+
+
+def test_old_and_empty_sources_are_stale(spark):
+    sources = [source_table(name) for name in ("yandex", "facebook", "vkontakte", "af_installs")]
+    raw = {
+        "yandex": spark.sql("SELECT TIMESTAMP'2022-05-02 00:00:00' AS date"),
+        "facebook": spark.sql("SELECT DATE'2022-05-01' AS date"),
+        "vkontakte": spark.sql("SELECT CAST(NULL AS TIMESTAMP) AS date"),
+    }
+    rows = source_results(raw, sources, datetime(2022, 5, 2)).collect()
+    assert [(r.table_name, r.status) for r in rows] == [
+        ("yandex", "pass"), ("facebook", "error"), ("vkontakte", "error"),
+    ]
