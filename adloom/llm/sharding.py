@@ -76,9 +76,13 @@ def place_documents(
 def write_shards(
     docs: DataFrame, shards: Sequence[str], path: str, files: int, doc_id: str = "doc_id"
 ) -> None:
-    """Write one folder per shard with ``files`` files each.  Rows are salted over the files."""
+    """Write one folder per shard with ``files`` files each.
+
+    Rows are salted over the files by their content, so that a task that runs again deals them alike.
+    """
     placed = place_documents(docs, shards, doc_id)
     salt = fresh(placed.columns, "salt")
-    dealt = placed.withColumn(salt, F.floor(F.rand(7) * files))
+    content = F.xxhash64(F.to_json(F.struct(*map(column, placed.columns))))
+    dealt = placed.withColumn(salt, F.pmod(content, F.lit(files)))
     dealt = dealt.repartition(len(shards) * files, "shard", salt).drop(salt)
     dealt.write.partitionBy("shard").parquet(path)
