@@ -35,10 +35,10 @@ def nodes(text, name):
     return len(re.findall(rf"^\(\d+\) {name}\b", text, re.MULTILINE))
 
 
-def test_cabinet_shuffles_twice_with_map_side_combine(raw, capsys):
+def test_cabinet_shuffles_rows_sums_and_windows_with_map_side_combine(raw, capsys):
     text = plan(stage_cabinet(raw["yandex"], YANDEX), capsys)
-    assert nodes(text, "Exchange") == 2
-    assert nodes(text, "HashAggregate") == 4
+    assert nodes(text, "Exchange") == 3
+    assert nodes(text, "HashAggregate") == 4 and nodes(text, "ObjectHashAggregate") == 2
     assert nodes(text, "Sort") == 0
     assert "Python" not in text
 
@@ -70,14 +70,14 @@ def test_first_install_shuffles_once_after_partial_aggregation(raw, capsys):
     assert nodes(text, "Window") == 0
 
 
-def test_mart_from_raw_has_one_shuffle_per_source_and_one_for_the_sums(raw, capsys):
+def test_mart_from_raw_has_one_shuffle_per_source_and_two_for_the_sums(raw, capsys):
     rows = {c.model: unsummed(raw[c.table.lower()], c) for c in CABINETS}
     text = plan(performance_mart(rows, stage_installs(raw["af_installs"])), capsys)
-    assert nodes(text, "Exchange") == len(CABINETS) + 2
+    assert nodes(text, "Exchange") == len(CABINETS) + 3
     assert "Join" not in text and "Cartesian" not in text and "Python" not in text
 
 
-def test_mart_from_staged_tables_shuffles_once_and_skips_row_groups(spark, raw, capsys, tmp_path):
+def test_mart_from_staged_tables_shuffles_sums_and_skips_row_groups(spark, raw, capsys, tmp_path):
     target = Target("prod", "production", str(tmp_path))
     staged = {}
     for cabinet in CABINETS:
@@ -86,7 +86,7 @@ def test_mart_from_staged_tables_shuffles_once_and_skips_row_groups(spark, raw,
     installs = write_table(stage_installs(raw["af_installs"]), "installs", target)
     mart = performance_mart(staged, installs, summed=True).where("date = DATE'2022-05-03'")
     text = plan(mart, capsys)
-    assert nodes(text, "Exchange") == 1
+    assert nodes(text, "Exchange") == 2
     assert text.count("EqualTo(is_realweb,true)") == len(CABINETS) + 1
     day_filters = re.findall(r"PartitionFilters: \[(.*)\]", text)
     assert len(day_filters) == len(CABINETS)
