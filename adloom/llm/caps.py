@@ -45,10 +45,12 @@ class CapRule:
     cosine: float = 0.98
     margin: float = 6.0
     seed: int = 11
-    # Vectors of the largest label that live under a filter on average.
-    per_filter: int = 16
+    # Vectors of the largest label that live under a filter on average.  A vector looks under about
+    # the square root of all filters, so cost is least, at any number of vectors, where comparing it
+    # with those who live under one takes as long as sending it there: some 500 comparisons.
+    per_filter: int = 512
     # Sides of a block that is compared at once.
-    homes: int = 512
+    homes: int = 2048
     lookers: int = 2048
 
 
