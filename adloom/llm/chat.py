@@ -44,6 +44,9 @@ _TURN = re.compile(r"<s>((?:[^\\\n]|\\.)*)\n(.*?)</s>", re.DOTALL)
 
 NODE_BYTES = 16
 
+# Tokens of a tree's sequence that make one join key when intervals are read back.
+STRETCH = 1024
+
 
 @dataclass(frozen=True)
 class ChatRule:
@@ -309,13 +312,45 @@ def chat_forest(
     )
 
 
+def _attended(forest: ChatForest) -> DataFrame:
+    """The tokens that the last node of every different conversation attends to, and its own.
+
+    They are found by their places in the tree's sequence alone.  Sequences are cut into stretches,
+    so that a long interval and a tree that many conversations share spread over many keys.
+    """
+    places = forest.nodes.select(
+        F.col("node").alias("leaf"),
+        "tree",
+        F.expr(
+            "concat(ancestors, array(named_struct('start', start, 'end', start + n_tokens)))"
+        ).alias("spans"),
+    )
+    stretches = (
+        forest.conversations.select("leaf")
+        .distinct()
+        .join(places, "leaf")
+        .select("leaf", "tree", F.explode("spans").alias("span"))
+        .selectExpr(
+            "leaf",
+            "tree",
+            "span.start AS begin",
+            "span.end AS end",
+            f"explode(sequence(span.start DIV {STRETCH}, (span.end - 1) DIV {STRETCH})) AS stretch",
+        )
+    )
+    tokens = forest.nodes.selectExpr(
+        "tree", f"start DIV {STRETCH} AS stretch", "start", "ids", "loss_from", "loss_to"
+    )
+    return stretches.join(tokens, ["tree", "stretch"]).where("begin <= start AND start < end")
+
+
 def conversation_digests(forest: ChatForest, rule: ChatRule, conv_id: str = "conv_id") -> DataFrame:
-    """Read every conversation back from its nodes' tokens and sum it up."""
+    """Read every conversation back from the tree's tokens by its intervals and sum it up."""
     shared = forest.nodes.sparkSession.sparkContext.broadcast(rule.vocabulary)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer.from_str(shared.value)
-        rank, leaf = None, b""
+        leaf = None
         whole, loss = hashlib.sha256(), hashlib.sha256()
         turns, loss_chars, chars = 0, 0, 0
         names = ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -335,36 +370,33 @@ def conversation_digests(forest: ChatForest, rule: ChatRule, conv_id: str = "con
             ids = batch.column("ids").to_pylist()
             spans = zip(batch.column("loss_from").to_pylist(), batch.column("loss_to").to_pylist())
             under_loss = decoded([own[a:b] for own, (a, b) in zip(ids, spans)])
-            for own, node, formatted, learned in zip(
-                batch.column("rank").to_pylist(),
-                batch.column("node").to_pylist(),
-                decoded(ids),
-                under_loss,
+            for own, formatted, learned in zip(
+                batch.column("leaf").to_pylist(), decoded(ids), under_loss
             ):
-                if own != rank:
-                    if rank is not None:
+                if own != leaf:
+                    if leaf is not None:
                         rows.append(
                             (leaf, turns, whole.hexdigest(), loss_chars, loss.hexdigest(), chars)
                         )
-                    rank, turns, loss_chars, chars = own, 0, 0, 0
+                    leaf, turns, loss_chars, chars = own, 0, 0, 0
                     whole, loss = hashlib.sha256(), hashlib.sha256()
                 for role, text in read_turns(formatted):
                     whole.update(f"{role}\n{text}\n".encode())
+                    turns += 1
                 learned = unescape(learned)
                 loss.update(learned.encode())
                 loss_chars += len(learned)
                 chars += len(formatted)
-                turns += 1
-                leaf = node
             yield batch_of(rows)
-        if rank is not None:
+        if leaf is not None:
             yield batch_of([(leaf, turns, whole.hexdigest(), loss_chars, loss.hexdigest(), chars)])
 
     ordered = (
-        forest.paths.join(forest.nodes.select("node", "ids", "loss_from", "loss_to"), "node")
-        .repartition("rank")
-        .sortWithinPartitions("rank", "depth")
-        .select("rank", "node", "ids", "loss_from", "loss_to")
+        _attended(forest)
+        .select("leaf", "start", "ids", "loss_from", "loss_to")
+        .repartition("leaf")
+        .sortWithinPartitions("leaf", "start")
+        .select("leaf", "ids", "loss_from", "loss_to")
     )
     digests = saved(
         ordered.mapInArrow(

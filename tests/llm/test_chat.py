@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from adloom.llm import chat
@@ -103,6 +105,22 @@ def test_sequences_are_gapless_and_intervals_give_each_conversation(forest, rule
         assert turns == [(r or "", t or "") for r, t in CONVERSATIONS[row.conv_id]]
 
 
+@pytest.mark.parametrize(
+    "column, wrong",
+    [
+        ("ancestors", "transform(ancestors, a -> struct(a.start + 1 AS start, a.end AS end))"),
+        ("ancestors", "transform(ancestors, a -> struct(a.start AS start, a.end + 1 AS end))"),
+        ("start", "IF(depth = 1, start + 1, start)"),
+    ],
+)
+def test_wrong_places_change_the_digests(forest, rule, column, wrong):
+    """Conversations are read through the tree, so faults of the tree show."""
+    right = {r.conv_id: r for r in chat.conversation_digests(forest, rule).collect()}
+    spoiled = replace(forest, nodes=forest.nodes.withColumn(column, F.expr(wrong)))
+    found = {r.conv_id: r for r in chat.conversation_digests(spoiled, rule).collect()}
+    assert any(found.get(conv) != row for conv, row in right.items())
+
+
 def test_turns_of_one_branch_have_one_interval(forest):
     leaf = max(forest.nodes.collect(), key=lambda n: n.depth)
     assert leaf.depth == 299 and len(leaf.ancestors) == 1
