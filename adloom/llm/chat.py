@@ -23,6 +23,7 @@ a null conversation id is one conversation; an empty table gives empty results.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -136,14 +137,21 @@ def _formatted_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+def _tokenizer(vocabulary: str) -> Tokenizer:
+    """The tokenizer on one thread: Spark's tasks are the threads, and more cost more than they do."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_str(vocabulary)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 def _tokenized(nodes: DataFrame, rule: ChatRule) -> DataFrame:
     """Add the tokens of each node: those of its header, its text and its end in a row."""
     shared = nodes.sparkSession.sparkContext.broadcast(rule.vocabulary)
     learned = rule.learned
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
+        tokenizer = _tokenizer(shared.value)
 
         def ids(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -349,7 +357,7 @@ def conversation_digests(forest: ChatForest, rule: ChatRule, conv_id: str = "con
     shared = forest.nodes.sparkSession.sparkContext.broadcast(rule.vocabulary)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(shared.value)
+        tokenizer = _tokenizer(shared.value)
         leaf = None
         whole, loss = hashlib.sha256(), hashlib.sha256()
         turns, loss_chars, chars = 0, 0, 0
@@ -367,7 +375,7 @@ def conversation_digests(forest: ChatForest, rule: ChatRule, conv_id: str = "con
 
         for batch in batches:
             rows = []
-            ids = batch.column("ids").to_pylist()
+            ids = [own.values.to_numpy().tolist() for own in batch.column("ids")]
             spans = zip(batch.column("loss_from").to_pylist(), batch.column("loss_to").to_pylist())
             under_loss = decoded([own[a:b] for own, (a, b) in zip(ids, spans)])
             for own, formatted, learned in zip(
