@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -43,21 +44,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+# Where each frame that ``saved`` returned has its files.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def saved(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared working folder and read it back, which cuts its lineage."""
     spark = frame.sparkSession
     folder = session.new_folder(spark, purpose)
     frame.write.parquet(folder)
-    return spark.read.schema(frame.schema).parquet(folder)
+    read = spark.read.schema(frame.schema).parquet(folder)
+    _FOLDERS[read] = folder
+    return read
 
 
 def drop_saved(*frames: DataFrame) -> None:
-    """Delete the files of frames that ``saved`` wrote and nothing reads any more."""
+    """Delete the files of frames that ``saved`` returned and nothing reads any more."""
     for frame in frames:
         context = frame.sparkSession.sparkContext
-        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        path = context._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(frame))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(taken: Iterable[str], name: str) -> str:

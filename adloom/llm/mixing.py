@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import SPACES, WORD, column, fresh, saved
+from adloom.operators.slices import slices_of
 
 # Keys are the first 15 hex digits of a digest.
 KEY_BITS = 60
@@ -36,6 +37,8 @@ class MixRule:
     seed: str = "mix"
     # Documents per key range on average over all sources.
     range_rows: int = 256
+    # Sources that one task numbers.
+    slice_sources: int = 100_000
 
 
 def document_size(text: str) -> str:
@@ -71,39 +74,53 @@ def measure(docs: DataFrame, rule: MixRule, doc_id: str, text: str, source: str)
     )
 
 
+def _weighed(sizes: DataFrame, rule: MixRule) -> DataFrame:
+    """One row per source with its weight: sources are numbered slice by slice in their order."""
+    order = ("source = 'n'", "source")
+    slices = slices_of(sizes, order, math.ceil(sizes.count() / rule.slice_sources))
+    placed = saved(slices.place(sizes), "mix-slices")
+    # One row per slice.
+    before = (
+        placed.groupBy("slice")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr("slice", "sum(n) OVER (ORDER BY slice) - n AS before")
+    )
+    weights = "array(" + ", ".join(map(str, rule.weights)) + ")"
+    number = f"before + row_number() OVER (PARTITION BY slice ORDER BY {', '.join(order)}) - 1"
+    return placed.join(before, "slice").selectExpr(
+        "source",
+        "source_size",
+        f"element_at({weights}, CAST(({number}) % {len(rule.weights)} AS INT) + 1) AS weight",
+        f"CAST({rule.most} AS DOUBLE) * source_size AS most",
+    )
+
+
 def targets(sizes: DataFrame, rule: MixRule) -> DataFrame:
     """One row per source with its target: weights filled up like water to the sources' limits.
 
-    ``sizes`` has one row per source.  In the order of limit by weight, a source is at its limit
-    as long as the level that the rest would reach lies above it.
+    ``sizes`` has one row per source.  The level rises from where it would be without limits: each
+    pass leaves out the sources that it covers and shares out what is left, until none is added.
+    The driver sees sums only.
     """
-    weights = "array(" + ", ".join(map(str, rule.weights)) + ")"
-    ordered = "OVER (ORDER BY most / weight, source"
+    weighed = saved(_weighed(sizes, rule), "mix-weights")
+    level, covered = 0.0, -1
+    while level is not None:
+        at_limit = f"most / weight < {level!r}D"
+        sums = weighed.agg(
+            F.count_if(F.expr(at_limit)).alias("covered"),
+            F.coalesce(F.sum("source_size"), F.lit(0)).alias("total"),
+            F.coalesce(F.sum(F.expr(f"IF({at_limit}, source_size, 0)")), F.lit(0)).alias("full"),
+            F.sum(F.expr(f"IF({at_limit}, 0, weight)")).alias("free"),
+        ).first()
+        if sums.covered == covered:
+            break
+        covered = sums.covered
+        # Sums of whole numbers, so that no order of the rows changes the level.
+        left = rule.share * sums.total - rule.most * sums.full
+        level = max(level, left / sums.free) if sums.free else None
+    target = "most" if level is None else f"least(most, weight * {level!r}D)"
     return (
-        sizes.selectExpr(
-            "source",
-            "source_size",
-            f"element_at({weights}, CAST((row_number() OVER (ORDER BY left(source, 1) DESC,"
-            f" source) - 1) % {len(rule.weights)} AS INT) + 1) AS weight",
-            f"CAST({rule.most} AS DOUBLE) * source_size AS most",
-            f"CAST({rule.share} AS DOUBLE) * sum(source_size) OVER () AS total",
-        )
-        .selectExpr(
-            "*",
-            f"row_number() {ordered}) AS place",
-            f"(total - coalesce(sum(most) {ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND"
-            f" 1 PRECEDING), 0D)) / sum(weight) {ordered} ROWS BETWEEN CURRENT ROW AND"
-            " UNBOUNDED FOLLOWING) AS level",
-        )
-        .selectExpr(
-            "*", "min(IF(level <= most / weight, struct(place, level), NULL)) OVER () AS first_free"
-        )
-        .selectExpr(
-            "source",
-            "source_size",
-            "IF(first_free IS NULL OR place < first_free.place, most,"
-            " least(most, weight * first_free.level)) AS target",
-        )
+        weighed.selectExpr("source", "source_size", f"{target} AS target")
         .selectExpr("*", "CAST(floor(target + 0.5D) AS BIGINT) AS budget")
         .selectExpr(
             "*", "IF(source_size = 0, 0, CAST(budget DIV source_size AS BIGINT)) AS epochs"
@@ -126,7 +143,7 @@ def cuts(measured: DataFrame, rule: MixRule) -> DataFrame:
     by_range = by_range.withColumn("group", F.shiftright("range", bits // 2))
     by_group = by_range.groupBy("source", "group").agg(F.sum("range_size").alias("group_size"))
     by_source = by_group.groupBy("source").agg(F.sum("group_size").alias("source_size"))
-    goals = targets(by_source, rule)
+    goals = targets(saved(by_source, "mix-sources"), rule)
 
     # The group, then the range, in which a source's left-over budget ends.
     ends = (

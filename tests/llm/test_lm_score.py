@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import sentencepiece
 
 from adloom.llm import lm_score
 
@@ -74,6 +75,37 @@ def test_scores_of_documents(spark, rule, monkeypatch):
     assert by_id[60] == by_id[61] == by_id[62] > by_id[None] > by_id[63]
 
 
+def test_document_scores_equal_the_model_by_hand(spark, rule, monkeypatch):
+    """Pieces counted with the vocabulary's own cut, all segmentations of each word summed."""
+    monkeypatch.setattr(lm_score, "HOT_WORDS", 4)
+    texts = {k: f"The cat {k % 5} sat, naïve 世界{k % 3} don't" for k in range(25)}
+    texts |= {25: None, 26: " ", 27: "tokenization of \U0001d4b3 unseen-words"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    own = sentencepiece.SentencePieceProcessor(model_proto=rule.model)
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    words = {k: (t or "").translate(lower).split() for k, t in texts.items()}
+    counts = Counter()
+    for doc_id, found in words.items():
+        if not held_out(doc_id):
+            counts[own.eos_id()] += 1
+            counts.update(piece for word in found for piece in own.encode(word))
+    total = sum(counts.values()) + 0.5 * own.get_piece_size()
+    chance = {own.id_to_piece(p): (counts[p] + 0.5) / total for p in range(own.get_piece_size())}
+    usual = {
+        name: math.log(chance[name])
+        for p, name in ((p, own.id_to_piece(p)) for p in range(own.get_piece_size()))
+        if not (own.is_byte(p) or own.is_control(p) or own.is_unknown(p))
+    }
+    bytes_ = [math.log(chance.get(f"<0x{b:02X}>", 1.0)) for b in range(256)]
+    model = lm_score.Lattice(usual, bytes_, 1)
+    end = math.log10(chance[own.id_to_piece(own.eos_id())])
+    for row in lm_score.score_documents(frame, rule).collect():
+        expected = end + sum(
+            math.log10(all_ways(model, lm_score.WORD_START + word)) for word in words[row.doc_id]
+        )
+        assert row.score == pytest.approx(expected, rel=1e-9)
+
+
 def test_a_text_like_the_training_texts_scores_higher(spark, rule):
     rows = [(k, "the cat sat on the mat") for k in range(40)]
     rows += [(1000, "the cat sat on the mat"), (1001, "zqx vvk jjw pfff xx qqqqq")]

@@ -97,6 +97,26 @@ def test_repeated_rows_and_long_text(spark):
     assert sum(len(r.text.split()) for r in cut) == total
 
 
+@pytest.mark.parametrize("sizes", [
+    {f"s{k:03}": 1 + (k * 37) % 101 for k in range(200)} | {None: 5000},
+    {f"s{k:03}": 3**k for k in range(12)} | {"": 0, None: 1},
+    {"only": 7},
+    {"a": 0, "b": 0},
+])
+def test_targets_of_many_sources_in_slices(spark, sizes):
+    """Sources numbered in several tasks, and limits that are reached one after the other."""
+    rows = [("n" if s is None else f"s{s}", n) for s, n in sizes.items()]
+    frame = spark.createDataFrame(rows, "source string, source_size bigint").repartition(5)
+    expected = goals(sizes) if any(sizes.values()) else dict.fromkeys(sizes, 0.0)
+    for per_slice in (7, 100_000):
+        rule = mixing.MixRule(slice_sources=per_slice)
+        found = {r.source: r.target for r in mixing.targets(frame, rule).collect()}
+        assert len(found) == len(sizes)
+        for source, target in expected.items():
+            name = "n" if source is None else f"s{source}"
+            assert found[name] == pytest.approx(target, rel=1e-12)
+
+
 def test_empty_table_and_texts_without_words(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert mixing.mix_sources(empty).collect() == []
