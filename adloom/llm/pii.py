@@ -5,13 +5,14 @@ further, overlapping candidates, with one or more patterns per kind: addresses w
 out, dotted or bracketed numbers, numbers with a dialling prefix, national numbers in groups.  Features of a candidate's format and context go to gradient-boosted
 trees; the trees become one SQL expression, so that all work on a document happens in its row.
 
-All texts are searched for base spans, which are written with their context.  The trees learn from
-the spans of a bounded number of texts for each kind (``sample_documents``, those with the smallest
-digests): the spans as they stand and in disguise are examples, the same spans damaged so that they
-can be nobody's data are counterexamples.  Thresholds per kind are calibrated on examples held out:
-the lowest score above which nearly all held-out examples are true.  Without enough examples nothing
-is added.  Added spans never replace base spans; they have kinds of their own (``likely_...``) and
-do not overlap base spans or better spans that are added.
+All texts are searched for base spans.  The trees learn from the spans of all different texts: the
+spans as they stand and in disguise are examples, the same spans damaged so that they can be nobody's
+data are counterexamples.  Examples with equal features are counted and weigh as many, so that
+training takes one row for each different set of features, however many spans there are.  Thresholds
+per kind are calibrated on all examples held out: the lowest score above which nearly all held-out
+examples are true.  A caller may ask for fewer texts (``sample_documents``); no query does.  Without
+enough examples nothing is added.  Added spans never replace base spans; they have kinds of their own
+(``likely_...``) and do not overlap base spans or better spans that are added.
 
 Positions are code points.  Defined cases: a null text has no spans; repeated rows are treated
 each; an empty table gives an empty result.
@@ -22,6 +23,7 @@ cannot match what they take, and a match may only begin where a run begins or th
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -76,14 +78,17 @@ _BLOCK = 256
 # Characters of the pieces that a text with spans is cut into.
 _PIECE = 64
 
-# Levels of digests for each doubling, and partitions of the sample; fixed, whatever the input.
+# Levels of digests for each doubling, and the fewest partitions of what is learned from; more only
+# where so many different examples ask for them, so that both depend on the rows alone.
 _LEVELS = 64
 _SAMPLE_PARTS = 8
+_PART_EXAMPLES = 50_000
 
 
 @dataclass(frozen=True)
 class PiiRule:
-    sample_documents: int = 2_000
+    # Texts to learn from for each kind; all of them unless a number is given.
+    sample_documents: int | None = None
     trees: int = 8
     depth: int = 4
     precision: float = 0.995
@@ -296,11 +301,7 @@ def _sampled(known: DataFrame, rule: PiiRule) -> DataFrame:
             if n < rule.sample_documents:
                 last[kind], n = row.level, n + row.n
     limits = " ".join(f"WHEN kind = '{kind}' THEN {level}" for kind, level in last.items())
-    sample = known.where(f"level <= CASE {limits} ELSE -1 END" if limits else "false")
-    # In an order of their own, so that the trees do not depend on how the input is cut into files.
-    return sample.repartition(_SAMPLE_PARTS, "digest", "start").sortWithinPartitions(
-        "digest", "start", "kind", "v", "l", "r"
-    )
+    return known.where(f"level <= CASE {limits} ELSE -1 END" if limits else "false")
 
 
 def _examples(spans: DataFrame) -> DataFrame:
@@ -372,6 +373,23 @@ def _examples(spans: DataFrame) -> DataFrame:
     )
 
 
+def _counted(spans: DataFrame) -> DataFrame:
+    """The examples made from all spans, equal ones in one row with their number ``n``."""
+    return (
+        _examples(spans)
+        .groupBy("kind", "x", "label", "held_out")
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+
+
+def _bins(different: int) -> int:
+    """Bins for which Spark ML takes a feature's possible limits from all rows, not from some of them.
+
+    It draws as many rows as the square of the bins, but 10,000 at least.
+    """
+    return 32 if different <= 10_000 else math.isqrt(different - 1) + 1
+
+
 def tree_expression(model: GBTClassificationModel) -> str:
     """The boosted trees as a SQL expression over the array ``x``: the probability of class 1."""
 
@@ -393,35 +411,44 @@ def tree_expression(model: GBTClassificationModel) -> str:
 
 def learn(docs: DataFrame, text: str, rule: PiiRule) -> PiiModel:
     """Fit the trees on part of the examples and set each kind's threshold on the rest."""
-    known = saved(_known(docs, text), "pii-known")
-    rows = _examples(_sampled(known, rule)).cache()
+    known = _known(docs, text)
+    if rule.sample_documents is None:
+        rows = saved(_counted(known), "pii-examples")
+    else:
+        known = saved(known, "pii-known")
+        rows = saved(_counted(_sampled(known, rule)), "pii-examples")
+        drop_saved(known)
     sizes = {
-        (row.held_out, row.label): row["count"]
-        for row in rows.groupBy("held_out", "label").count().collect()
+        (row.held_out, row.label): row
+        for row in rows.groupBy("held_out", "label")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"))
+        .collect()
     }
-    if min(sizes.get((held, label), 0) for held in (False, True) for label in (0.0, 1.0)) < (
-        rule.least_examples
-    ):
-        rows.unpersist()
-        drop_saved(known)
+    sides = [(held, label) for held in (False, True) for label in (0.0, 1.0)]
+    if min(sizes[side].n if side in sizes else 0 for side in sides) < rule.least_examples:
+        drop_saved(rows)
         return PiiModel("0D", {})
+    different = sum(row.different for (held, _), row in sizes.items() if not held)
     trainer = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=rule.trees, maxDepth=rule.depth,
-        seed=rule.seed,
+        featuresCol="features", labelCol="label", weightCol="n", maxIter=rule.trees,
+        maxDepth=rule.depth, maxBins=_bins(different), seed=rule.seed,
     )
-    model = trainer.fit(
-        rows.where("NOT held_out").select(array_to_vector("x").alias("features"), "label")
+    # In an order of their own, so that the trees do not depend on how the input is cut into files.
+    ordered = (
+        rows.where("NOT held_out")
+        .repartition(max(_SAMPLE_PARTS, -(-different // _PART_EXAMPLES)), "x", "label")
+        .sortWithinPartitions("x", "label")
     )
+    model = trainer.fit(ordered.select(array_to_vector("x").alias("features"), "label", "n"))
     score = tree_expression(model)
     bins = (
         rows.where("held_out")
-        .selectExpr("kind", "label", f"CAST(floor(100 * ({score})) AS INT) AS bin")
+        .selectExpr("kind", "label", "n", f"CAST(floor(100 * ({score})) AS INT) AS bin")
         .groupBy("kind", "bin")
-        .agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"))
         .collect()
     )
-    rows.unpersist()
-    drop_saved(known)
+    drop_saved(rows)
     thresholds = {}
     for kind in KINDS:
         right = n = 0

@@ -165,6 +165,37 @@ def test_sample_is_bounded_by_kind_and_has_copies_once(spark):
         assert digests[:20] == least and len(digests) <= 25
 
 
+def test_trees_and_thresholds_come_from_all_texts(spark, monkeypatch):
+    """More texts than a sample of 2,000: each different one is learned from, copies once."""
+    rows = [(k, f"Write to user{k}@mail{k % 7}.example.com or call +49 30 {1000000 + k}.") for k in range(2600)]
+    frame = spark.createDataFrame(rows + rows[:50], "doc_id bigint, text string")
+    seen, trainer = [], pii.GBTClassifier
+
+    class Recorder(trainer):
+        def fit(self, dataset):
+            weighed = self.isSet(self.weightCol)
+            seen.append(dataset.selectExpr(f"sum({self.getWeightCol() if weighed else 1})").first()[0])
+            return super().fit(dataset)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Recorder)
+    model = pii.learn(frame, "text", pii.PiiRule())
+    examples = pii._examples(pii._known(frame, "text"))
+    assert examples.count() == 2600 * (10 + 11)
+    assert seen == [examples.where("NOT held_out").count()]
+    held = examples.where("held_out").selectExpr("kind", "label", f"{model.score} AS score").collect()
+    for kind, limit in model.thresholds.items():
+        above = [row.label for row in held if row.kind == kind and row.score >= limit]
+        assert sum(above) >= pii.PiiRule().precision * len(above) > 0
+    assert set(model.thresholds) == {"email", "phone"}
+
+
+def test_limits_come_from_all_rows():
+    assert pii._bins(10_000) == 32
+    for different in (10_001, 10_404, 10_405, 3_000_000):
+        bins = pii._bins(different)
+        assert bins**2 >= different > (bins - 1) ** 2
+
+
 def test_redaction_merges_spans_and_keeps_columns(spark):
     rows = [("+4915112345678 x a@b.co", 1, "keep"), (None, 2, "keep"), ("plain", 3, "base")]
     frame = spark.createDataFrame(rows, "text string, base int, spans string")
