@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from adloom.llm import registered
+from adloom.llm import pii, registered
 from compare import connect, duckdb_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,6 +73,41 @@ def test_each_stage_decides(spark):
     assert len({p.sequence_id for p in pieces}) * 4096 < sum(p.length for p in pieces) + 4096
 
 
+def test_redaction_learns_from_all_texts(spark, monkeypatch):
+    """More texts than a sample of 2,000, each with an address and a number."""
+    rows = [(k, f"{prose(k)} user{k}@mail{k % 7}.example.com or +49 30 {1000000 + k}.", 0) for k in range(2600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
+    seen, trainer = [], pii.GBTClassifier
+
+    class Recorder(trainer):
+        def fit(self, dataset):
+            weighed = self.isSet(self.weightCol)
+            seen.append(dataset.selectExpr(f"sum({self.getWeightCol() if weighed else 1})").first()[0])
+            return super().fit(dataset)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Recorder)
+    clean = dict(corpus_pipeline.STAGES)["pii"](spark, docs, "").collect()
+    examples = pii._examples(pii._known(docs, "text"))
+    assert examples.count() == 2600 * (10 + 11)
+    assert seen == [examples.where("NOT held_out").count()]
+    assert {r.doc_id: r.text for r in clean} == {k: f"{prose(k)} [EMAIL] or [PHONE]." for k, _, _ in rows}
+
+
+def test_workers_give_freed_memory_back(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "environment", {"MALLOC_ARENA_MAX": "2"})
+    docs = spark.createDataFrame([], "doc_id bigint, text string, source string")
+    dict(corpus_pipeline.STAGES)["quality"](spark, docs, "")
+    names = list(corpus_pipeline.LEAN_WORKERS)
+
+    def told(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.environ.get(n) for n in names])], ["value"])
+
+    found = spark.range(1).mapInArrow(told, "value string").collect()
+    expected = corpus_pipeline.LEAN_WORKERS | {"MALLOC_ARENA_MAX": "2"}
+    assert [row.value for row in found] == [expected[name] for name in names]
+
+
 def similarity(a: str, b: str, width: int) -> float:
     x, y = (
         {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
